@@ -56,7 +56,7 @@ def read_evolved(spark: SparkSession, path: str, schema: str, renamed: dict[str,
 def scan_metrics(df: DataFrame) -> list[dict[str, int]]:
     """Run a query and read rows, files and bytes from its file scans."""
     query = df._jdf.queryExecution()
-    df.collect()
+    query.toRdd().count()
     found: list[dict[str, int]] = []
 
     def visit(plan) -> None:

@@ -229,8 +229,12 @@ def emissions(classified: DataFrame, wms: DataFrame) -> DataFrame:
         .where(F.col("_window") & (F.col("_reached") >= F.col("_at")))
         .select(F.col("_at").alias("window_end_us"), "fire_batch")
     )
+    # Reduced to one row per customer, window and batch before anything is joined.
+    added = kept.groupBy("customer_id", "window_start_us", "window_end_us", "arrival_batch").agg(
+        F.sum("fee").alias("_fee"), F.count(F.lit(1)).alias("_n")
+    )
     changes = (
-        kept.join(fires, "window_end_us")
+        added.join(fires, "window_end_us")
         .groupBy(
             "customer_id",
             "window_start_us",
@@ -238,7 +242,7 @@ def emissions(classified: DataFrame, wms: DataFrame) -> DataFrame:
             F.greatest("arrival_batch", "fire_batch").alias("emit_batch"),
             "fire_batch",
         )
-        .agg(F.sum("fee").alias("_fee"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_fee").alias("_fee"), F.sum("_n").alias("_n"))
     )
     # Per window at most one row for each batch inside its allowed lateness.
     so_far = (

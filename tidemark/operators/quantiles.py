@@ -8,9 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.operators.enrich import BROADCAST_ROWS
+from tidemark.session import keep
+
 ACCURACY = 100_000
 
 
+SALTS = 64
+
+
+def _with_ranks(work: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Give each value the brackets of its key.
+
+    The brackets are stored first, so their number is known: a few are sent to
+    every task and the values stay where they are. Beyond that the values of a
+    key are spread over salts, as one key may hold much of the table.
+    """
+    if not keys:
+        # One row per point: as many rows as the caller names percentiles.
+        return work.join(F.broadcast(wanted), F.lit(True))
+    stored = keep(wanted, "ranks")
+    if stored.count() <= BROADCAST_ROWS:
+        return work.join(F.broadcast(stored), keys)
+    salted = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = work.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, [*keys, "_salt"]).drop("_salt")
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -68,11 +92,7 @@ def exact_percentiles(
         ).alias("_w"),
     ).select(*keys, "_w.*")
 
-    if keys:
-        near = work.join(wanted, keys)
-    else:
-        # One row per point: constants of the query, at most len(points) rows.
-        near = work.join(F.broadcast(wanted), F.lit(True))
+    near = _with_ranks(work, wanted, keys)
     group = [*keys, "point"]
     zone = F.when(F.col("_v") < F.col("lo"), -1).when(F.col("_v") > F.col("hi"), 1).otherwise(0)
     # Everything outside the bracket collapses into two counted rows, which keep

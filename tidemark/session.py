@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "tidemark", **conf: str) -> SparkSession:
@@ -46,6 +46,17 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Store a small intermediate table in the shared folder and read it back.
+
+    Later steps then neither recompute it nor depend on its executors, and its
+    file size is known to the planner before any join on it is planned.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared root; nothing is reused or deleted."""
     return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"

@@ -15,6 +15,8 @@ from tidemark.operators.purchases import current_spend, normalize_purchase, runn
 from tidemark.sources.sinks import KeyedLog
 from tidemark.sources.wire import decode_purchases
 
+_BEFORE = -(1 << 60)
+
 
 @dataclass(frozen=True)
 class SpendStream:
@@ -41,17 +43,13 @@ class SpendStream:
 
     def per_row(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """One cumulative row per purchase of a batch, continuing earlier batches."""
-        rows = running_spend(self.cleaned(batch))
+        rows = self.cleaned(batch)
         if batch_id == 0:
-            return rows
-        held = self.spend.view(batch.sparkSession, before=batch_id).select("customer_id", F.col("amount").alias("_held"))
-        return rows.join(held, "customer_id", "left").select(
-            "arrival",
-            "customer_id",
-            F.when(F.col("_held").isNull(), F.col("product")).otherwise(F.lit("running-total")).alias("product"),
-            money(F.col("amount") + F.coalesce("_held", F.lit(0))).alias("amount"),
-            "occurred_at",
-        )
+            return running_spend(rows)
+        # Earlier totals stand before each customer's first row of this batch.
+        held = self.spend.view(batch.sparkSession, before=batch_id).select("customer_id", "amount", F.lit(_BEFORE).alias("arrival"))
+        continued = running_spend(rows.unionByName(held, allowMissingColumns=True))
+        return continued.where(F.col("arrival") > _BEFORE)
 
     def start(self, records: DataFrame, checkpoint: str, available_now: bool = False, every: str = "10 seconds") -> StreamingQuery:
         trigger = {"availableNow": True} if available_now else {"processingTime": every}
