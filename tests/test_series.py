@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,3 +48,20 @@ def test_series_reads_labels(spark):
     df = spark.sql("select 'up' metric, map('instance', 'x') labels, timestamp'2026-01-01' ts, 1.0D value")
     assert series.series(df, "up", "instance").first().instance == "x"
     assert series.latest_value(series.series(df, "up", "instance"), ["instance"]).first().value == 1.0
+
+
+@pytest.mark.parametrize("width", [1, 50, 10_000])
+def test_counter_totals_do_not_depend_on_the_chunk_width(spark, width):
+    rnd = random.Random(width)
+    rows, value = [], 0
+    for s in range(300):
+        value = 0 if rnd.random() < 0.05 else value + rnd.randrange(5)
+        rows.append(("ab"[s % 2], s, value))
+    got = series.counter_totals(frame(spark, rows), KEYS, width * 1_000_000)
+    want, last = {}, {}
+    for t, s, v in rows:
+        prev, total = last.get(t, (v, 0))
+        total += v if v < prev else v - prev
+        last[t] = (v, total)
+        want[(t, s)] = total
+    assert {(r.task, r.us // 1_000_000): int(r.total) for r in got.collect()} == want

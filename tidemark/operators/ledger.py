@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import from_micros, micros, money
 from tidemark.operators.scan import DAY_US, Running, running
+from tidemark.session import keep
 
 SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
@@ -50,7 +51,7 @@ def watermarks(
     partitions: int,
     bound_us: int = BOUND_US,
     idle_us: int | None = None,
-    width: int = BATCHES_PER_CHUNK,
+    width: int | None = BATCHES_PER_CHUNK,
 ) -> DataFrame:
     """The watermark after, and before, each arrival batch.
 
@@ -148,6 +149,20 @@ def advance(previous: DataFrame | None, ledger: DataFrame, partitions: int, boun
     ).select("source_partition", "seen_us", "last_heard_us", "started_us", "now_us", "wm_us")
 
 
+def stored_watermarks(arrivals: DataFrame, partitions: int, bound_us: int = BOUND_US, idle_us: int | None = None,
+                      clock: str | None = None) -> DataFrame:
+    """The watermarks of a bounded set of arrivals, as a stored table.
+
+    The ledger is one row per batch and partition and the result one row per
+    batch. Both are stored, so the arrivals are read once for them, and a join
+    on the result is planned with its size known.
+    """
+    rows = keep(ledger_of(arrivals, clock), "ledger")
+    short = rows.count() <= BATCHES_PER_CHUNK
+    marks = watermarks(rows, partitions, bound_us, idle_us, width=None if short else BATCHES_PER_CHUNK)
+    return keep(marks, "watermarks")
+
+
 def classify_at(arrivals: DataFrame, wm_before: Column, size_us: int = SIZE_US, lateness_us: int = LATENESS_US) -> DataFrame:
     """Add window_start_us, window_end_us and class, judged at a watermark.
 

@@ -61,12 +61,21 @@ def _over(how: str, name: str) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[how](name)
 
 
+def _windowed(rows, partition, order, values, inputs, ties, peers) -> DataFrame:
+    inside = Window.partitionBy(*partition).orderBy(order, *ties)
+    frame = inside.rangeBetween if peers else inside.rowsBetween
+    return rows.select(
+        "*",
+        *[_over(v.how, inputs[v.name]).over(frame(Window.unboundedPreceding, v.upto)).alias(v.name) for v in values],
+    )
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     values: Sequence[Running],
-    width: int,
+    width: int | None,
     ties: Sequence[str] = (),
     peers: bool = False,
 ) -> DataFrame:
@@ -74,11 +83,16 @@ def running(
 
     ``ties`` break equal positions. With ``peers`` rows at one position are
     treated as simultaneous (a RANGE frame) and ``ties`` must be empty.
+    ``width=None`` is for a caller who has counted that a key fits into one
+    chunk: it takes the plain window.
     """
     if peers and ties:
         raise ValueError("simultaneous rows cannot have a tie order")
     keys = list(keys)
     inputs = {v.name: f"_in_{v.name}" for v in values}
+    if width is None:
+        work = df.select("*", *[v.value.alias(inputs[v.name]) for v in values])
+        return _windowed(work, keys or [F.lit(0)], order, values, inputs, ties, peers).drop(*inputs.values())
     work = df.select(
         "*",
         (F.col(order) - F.pmod(F.col(order), F.lit(width))).alias(_CHUNK),
@@ -106,12 +120,7 @@ def running(
     ).where(reduce(or_, [F.col(c).isNotNull() for c in inputs.values()]))
 
     rows = work.withColumn(_CARRY, F.lit(False)).unionByName(starts, allowMissingColumns=True)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(order, *ties)
-    frame = inside.rangeBetween if peers else inside.rowsBetween
-    out = rows.select(
-        "*",
-        *[_over(v.how, inputs[v.name]).over(frame(Window.unboundedPreceding, v.upto)).alias(v.name) for v in values],
-    )
+    out = _windowed(rows, [*keys, _CHUNK], order, values, inputs, ties, peers)
     return out.where(~F.col(_CARRY)).drop(_CHUNK, _CARRY, *inputs.values())
 
 

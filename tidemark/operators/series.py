@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions import from_micros, micros
 from tidemark.operators.scan import HOUR_US, Running, running, trailing
@@ -26,13 +27,35 @@ def latest_value(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by("value", "us").alias("value"))
 
 
-def counter_steps(df: DataFrame, keys: Sequence[str], width: int = HOUR_US) -> DataFrame:
-    """Growth since the previous sample; a fall means the counter began again at zero."""
-    prev = running(df, keys, "us", [Running("_prev", "last", F.col("value"), -1)], width)
-    step = F.when(F.col("_prev").isNull(), F.lit(0.0)).when(
-        F.col("value") < F.col("_prev"), F.col("value")
-    ).otherwise(F.col("value") - F.col("_prev"))
-    return prev.withColumn("step", step.cast("decimal(28,6)")).drop("_prev")
+def _growth(before: Column, after: Column) -> Column:
+    """A fall means the counter began again at zero."""
+    return F.when(after < before, after).otherwise(after - before).cast("decimal(28,6)")
+
+
+def counter_totals(df: DataFrame, keys: Sequence[str], width: int = HOUR_US) -> DataFrame:
+    """Add ``total``: growth since a series' first sample, resets taken into account.
+
+    Chunks of a series are grown on their own, then joined end to end from one
+    summary row per chunk; the samples are shuffled once.
+    """
+    keys = list(keys)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("us")
+    chunked = df.withColumn("_chunk", F.col("us") - F.pmod("us", F.lit(width)))
+    grown = chunked.withColumn("_step", _growth(F.lag("value").over(inside), F.col("value"))).withColumn(
+        "_local", F.coalesce(F.sum("_step").over(inside), F.lit(0))
+    )
+    ends = grown.groupBy(*keys, "_chunk").agg(
+        F.min_by("value", "us").alias("_first"), F.max_by("value", "us").alias("_last"), F.max("_local").alias("_grown")
+    )
+    in_order = Window.partitionBy(*keys).orderBy("_chunk")
+    linked = ends.withColumn(
+        "_link",
+        F.coalesce(_growth(F.lag("_last").over(in_order), F.col("_first")), F.lit(0))
+        + F.coalesce(F.lag("_grown").over(in_order), F.lit(0)),
+    )
+    starts = linked.select(*keys, "_chunk", F.sum("_link").over(in_order).alias("_start"))
+    joined = grown.join(starts, [*keys, "_chunk"])
+    return joined.withColumn("total", (F.col("_start") + F.col("_local")).cast("decimal(28,6)")).select(*df.columns, "total")
 
 
 def counter_increase(df: DataFrame, keys: Sequence[str], span_us: int) -> DataFrame:
@@ -47,7 +70,7 @@ def counter_increase(df: DataFrame, keys: Sequence[str], span_us: int) -> DataFr
     """
     keys = list(keys)
     width = max(span_us, HOUR_US)
-    total = running(counter_steps(df, keys), keys, "us", [Running("_total", "sum", F.col("step"))], width)
+    total = counter_totals(df, keys, width).withColumnRenamed("total", "_total")
     marks = total.select(
         *keys, (-F.col("us")).alias("_back"), F.struct(F.col("us").alias("us"), F.col("_total").alias("total")).alias("_mark")
     )

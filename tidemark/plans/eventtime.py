@@ -12,7 +12,6 @@ from tidemark.operators.windows import sessions, windowed_fees
 from tidemark.plans.inputs_sql import FEE_EVENTS, HOUR, JUDGED, watermarks
 from tidemark.plans.joins import LATENESS, judged
 from tidemark.plans.registry import query
-from tidemark.session import keep
 from tidemark.sources import fixtures, tables
 
 # The recorded clock moves one second per arrival, so 15 s of silence is about
@@ -99,8 +98,7 @@ def idle_partitions(spark, sf):
 def watermark_marker(spark, sf):
     """Completeness markers from upstream close windows: every tenth record is one."""
     arrivals = tables.fee_events(spark, sf)
-    markers = keep(ledger.ledger_of(arrivals.where("sequence % 10 = 0"), "arrived_at"), "markers")
-    wms = ledger.watermarks(markers, fixtures.PARTITIONS, bound_us=0)
+    wms = ledger.stored_watermarks(arrivals.where("sequence % 10 = 0"), fixtures.PARTITIONS, bound_us=0)
     upto = wms.agg(F.max("wm_us")).scalar()
     reports = windowed_fees(arrivals, "1 hour")
     return reports.where(micros(F.col("window_end")) <= upto).select("customer_id", "window_start", "total_fee", "event_count")

@@ -9,7 +9,6 @@ from tidemark.operators import enrich, ledger, quality
 from tidemark.operators.scan import HOUR_US
 from tidemark.plans.inputs_sql import FEE_EVENTS, JUDGED
 from tidemark.plans.registry import query
-from tidemark.session import keep
 from tidemark.sources import fixtures, tables
 
 LATENESS = 2 * HOUR_US
@@ -18,10 +17,7 @@ LATENESS = 2 * HOUR_US
 def judged(spark, sf, idle_us=None):
     """Arrivals with their class, and the watermark ledger behind it."""
     arrivals = tables.fee_events(spark, sf)
-    # One row per batch and partition, then one row per batch: both are stored,
-    # so the arrivals are read once for them and the join knows their size.
-    rows = keep(ledger.ledger_of(arrivals, "arrived_at"), "ledger")
-    wms = keep(ledger.watermarks(rows, fixtures.PARTITIONS, bound_us=HOUR_US, idle_us=idle_us), "watermarks")
+    wms = ledger.stored_watermarks(arrivals, fixtures.PARTITIONS, HOUR_US, idle_us, "arrived_at")
     return ledger.classify(arrivals, wms, HOUR_US, LATENESS), wms
 
 
