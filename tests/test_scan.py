@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.behaviour import partners_before
 from tidemark.operators.quantiles import exact_percentiles
-from tidemark.operators.scan import Running, running, trailing
+from tidemark.operators.scan import Running, chunk_width, running, trailing
 
 
 def rows(seed, n=400, hot=0.4):
@@ -103,3 +103,12 @@ def test_no_step_of_a_running_value_gathers_a_key(spark, frame):
     plan = got._jdf.queryExecution().executedPlan().toString()
     by_rows = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
     assert sum("_chunk" in l for l in by_rows) == 2 and len(by_rows) == 3
+
+
+def test_chunk_width_follows_the_densest_slice(spark):
+    even = spark.range(1000).withColumnRenamed("id", "pos")
+    assert chunk_width(even, "pos", slice_width=10, rows=1000) is None
+    assert chunk_width(even, "pos", slice_width=10, rows=100) == 100
+    assert chunk_width(even, "pos", slice_width=100, rows=10) == 10
+    dense = even.unionAll(spark.range(500).select(F.lit(5).cast("bigint").alias("pos")))
+    assert chunk_width(dense, "pos", slice_width=10, rows=51) == 1

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import from_micros, haversine_km, micros
-from tidemark.operators.scan import DAY_US, HOUR_US, Running, running, trailing
+from tidemark.operators.scan import HOUR_US, Running, chunk_width, running, trailing
 from tidemark.operators.windows import sessions
 
 
@@ -28,7 +28,7 @@ def implausible_travel(df: DataFrame, key: str, ts: str, lat: str, lon: str, tie
     """Consecutive logins that would need more than ``max_kmh``."""
     here = F.struct(F.col(ts).alias("ts"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))
     moved = running(
-        df.withColumn("_us", micros(F.col(ts))), [key], "_us", [Running("_prev", "last", here, -1)], DAY_US, ties=[tie]
+        df.withColumn("_us", micros(F.col(ts))), [key], "_us", [Running("_prev", "last", here, -1)], ties=[tie]
     )
     km = haversine_km(F.col("_prev.lat"), F.col("_prev.lon"), F.col(lat), F.col(lon))
     hours = (F.col("_us") - micros(F.col("_prev.ts"))) / F.lit(3.6e9)
@@ -128,7 +128,7 @@ def partners_before(df: DataFrame, key: str, partner: str, ts: str, span_us: int
         .withColumn("_asked", F.lit(0))
         .unionByName(seen.select(key, "_us").distinct().withColumns({"_d": F.lit(0).cast("bigint"), "_asked": F.lit(1)}))
     )
-    out = running(steps, [key], "_us", [Running("partners_before", "sum", F.col("_d"), -1)], max(span_us, HOUR_US), peers=True)
+    out = running(steps, [key], "_us", [Running("partners_before", "sum", F.col("_d"), -1)], chunk_width(df, micros(F.col(ts))), peers=True)
     return out.where("_asked = 1").select(
         key, from_micros(F.col("_us")).alias(ts), F.coalesce("partners_before", F.lit(0)).alias("partners_before")
     )

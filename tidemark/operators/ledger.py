@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import from_micros, micros, money
-from tidemark.operators.scan import DAY_US, Running, running
+from tidemark.operators.scan import Running, chunk_width, running
 from tidemark.session import keep
 
 SECOND_US = 1_000_000
@@ -238,7 +238,7 @@ def emissions(classified: DataFrame, wms: DataFrame) -> DataFrame:
             [],
             "_at",
             [Running("fire_batch", "max", F.col("arrival_batch"), -1), Running("_reached", "max", F.col("wm_us"), -1)],
-            DAY_US,
+            chunk_width(wms, F.coalesce("wm_before_us", F.lit(_NEVER)), SECOND_US),
             peers=True,
         )
         .where(F.col("_window") & (F.col("_reached") >= F.col("_at")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import is_blank, money, strip
-from tidemark.operators.scan import ROWS_PER_CHUNK, Running, running
+from tidemark.operators.scan import AUTO, ROWS_PER_CHUNK, Running, running
 
 
 def valid_purchase(df: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def missing_fields(*names: str):
     return F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names]))
 
 
-def running_spend(df: DataFrame, order: str = "arrival", width: int = ROWS_PER_CHUNK) -> DataFrame:
+def running_spend(df: DataFrame, order: str = "arrival", width: int | str | None = AUTO) -> DataFrame:
     """One output row per input: the cumulative amount with this row's time.
 
     The first row of a customer passes unchanged; later rows carry the label
@@ -46,6 +46,7 @@ def running_spend(df: DataFrame, order: str = "arrival", width: int = ROWS_PER_C
         order,
         [Running("_spent", "sum", F.col("amount")), Running("_seen", "sum", F.lit(1))],
         width,
+        slice_width=ROWS_PER_CHUNK,
     )
     return summed.select(
         order,

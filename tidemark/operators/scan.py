@@ -9,8 +9,9 @@ table. ``running`` cuts each key into chunks of ``width`` order positions:
 3. that start is added as one extra first row of the chunk, and an ordinary
    window runs inside (key, chunk).
 
-The rows are shuffled once, by (key, chunk). A chunk holds at most ``width``
-rows when positions are unique, and a key has at most span/width totals.
+The rows are shuffled once, by (key, chunk), and a key has at most span/width
+totals. The width follows from the table unless the caller gives one: narrow
+where rows are dense, and no chunks at all for a table that is small as a whole.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# One chunk of unique integer positions.
+# What one task may be given to put in order.
 ROWS_PER_CHUNK = 1_000_000
-# One chunk of event time when positions are microseconds.
+AUTO = "auto"
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
@@ -48,6 +49,22 @@ class Running:
     upto: int = 0
 
 
+def chunk_width(df: DataFrame, order: str | Column, slice_width: int = HOUR_US, rows: int = ROWS_PER_CHUNK) -> int | None:
+    """A chunk width that keeps the densest stretch of the table near ``rows`` rows.
+
+    Rows are counted per slice of the order column, over all keys: no key can
+    have more in a chunk than the table has. None means the whole table is small.
+    """
+    at = F.col(order) if isinstance(order, str) else order
+    per_slice = df.groupBy((at - F.pmod(at, F.lit(slice_width))).alias("_slice")).agg(F.count(F.lit(1)).alias("_n"))
+    total, densest = per_slice.agg(F.sum("_n"), F.max("_n")).first()
+    if total is None or total <= rows:
+        return None
+    if densest <= rows:
+        return slice_width * (rows // densest)
+    return max(1, slice_width * rows // densest)
+
+
 def _total(how: str, name: str, position: Column) -> Column:
     value = F.col(name)
     if how == "last":
@@ -75,21 +92,24 @@ def running(
     keys: Sequence[str],
     order: str,
     values: Sequence[Running],
-    width: int | None,
+    width: int | str | None = AUTO,
     ties: Sequence[str] = (),
     peers: bool = False,
+    slice_width: int = HOUR_US,
 ) -> DataFrame:
     """Add running values per key in the order of ``order`` (a bigint).
 
     ``ties`` break equal positions. With ``peers`` rows at one position are
     treated as simultaneous (a RANGE frame) and ``ties`` must be empty.
-    ``width=None`` is for a caller who has counted that a key fits into one
-    chunk: it takes the plain window.
+    ``width`` is found with ``chunk_width`` by default; None takes the plain
+    window and is for a caller who has counted that a key fits into one chunk.
     """
     if peers and ties:
         raise ValueError("simultaneous rows cannot have a tie order")
     keys = list(keys)
     inputs = {v.name: f"_in_{v.name}" for v in values}
+    if width == AUTO:
+        width = chunk_width(df, order, slice_width)
     if width is None:
         work = df.select("*", *[v.value.alias(inputs[v.name]) for v in values])
         return _windowed(work, keys or [F.lit(0)], order, values, inputs, ties, peers).drop(*inputs.values())
@@ -130,45 +150,44 @@ def trailing(
     order: str,
     span: int,
     sums: dict[str, Column],
-    width: int | None = None,
+    width: int | str | None = AUTO,
     include_current: bool = True,
 ) -> DataFrame:
     """Add trailing sums over ``(pos - span, pos]``, or ``[pos - span, pos)``
     when ``include_current`` is false.
 
     A sliding frame costs rows x frame size; here every row enters once with
-    its value and leaves once with the negated value, so the cost is two running
-    sums. Values must be exact types (integers or decimals). Rows at one
-    position are simultaneous, and positions are first collapsed to one row per
-    (key, position), so duplicates cost nothing extra.
+    its value and leaves once with the negated value, so the cost is one running
+    sum over twice the rows. Values must be exact types (integers or decimals).
+    Rows at one position are simultaneous.
     """
     keys = list(keys)
     if any(name in df.columns for name in sums):
         raise ValueError("a trailing sum would shadow an input column")
-    # The positions at which a value is asked for, and what enters at each.
-    entering = df.groupBy(*keys, order).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    if width == AUTO:
+        width = chunk_width(df, order)
+    entering = df.select("*", *[e.alias(f"_step_{n}") for n, e in sums.items()])
+    kinds = {n: entering.schema[f"_step_{n}"].dataType for n in sums}
     leaving = entering.select(
-        *keys, (F.col(order) + span).alias(order), *[(-F.col(n)).alias(n) for n in sums]
-    )
-    steps = (
-        entering.withColumn("_asked", F.lit(1))
-        .unionByName(leaving.withColumn("_asked", F.lit(0)))
+        *keys,
+        (F.col(order) + span).alias(order),
+        *[(-F.col(f"_step_{n}")).alias(f"_step_{n}") for n in sums],
+        F.lit(True).alias("_leaves"),
     )
     stepped = running(
-        steps,
+        entering.unionByName(leaving, allowMissingColumns=True),
         keys,
         order,
-        [Running(f"_run_{n}", "sum", F.col(n), 0 if include_current else -1) for n in sums],
-        width or max(span, HOUR_US),
+        [Running(f"_run_{n}", "sum", F.col(f"_step_{n}"), 0 if include_current else -1) for n in sums],
+        width,
         peers=True,
-    ).where("_asked = 1")
-    kinds = {n: df.select(e.alias(n)).schema[n].dataType for n, e in sums.items()}
-    values = stepped.select(
-        *keys,
-        order,
+    ).where("_leaves is null")
+    return stepped.select(
+        *df.columns,
         *[
-            F.coalesce(F.col(f"_run_{n}"), F.lit(0)).cast("decimal(38,%d)" % k.scale if isinstance(k, T.DecimalType) else "bigint").alias(n)
+            F.coalesce(F.col(f"_run_{n}"), F.lit(0))
+            .cast(T.DecimalType(38, k.scale) if isinstance(k, T.DecimalType) else T.LongType())
+            .alias(n)
             for n, k in kinds.items()
         ],
     )
-    return df.join(values, [*keys, order])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import from_micros, micros
-from tidemark.operators.scan import HOUR_US, Running, running, trailing
+from tidemark.operators.scan import AUTO, Running, chunk_width, running, trailing
 
 
 def series(df: DataFrame, metric: str, *labels: str) -> DataFrame:
@@ -32,15 +32,18 @@ def _growth(before: Column, after: Column) -> Column:
     return F.when(after < before, after).otherwise(after - before).cast("decimal(28,6)")
 
 
-def counter_totals(df: DataFrame, keys: Sequence[str], width: int = HOUR_US) -> DataFrame:
+def counter_totals(df: DataFrame, keys: Sequence[str], width: int | str | None = AUTO) -> DataFrame:
     """Add ``total``: growth since a series' first sample, resets taken into account.
 
     Chunks of a series are grown on their own, then joined end to end from one
     summary row per chunk; the samples are shuffled once.
     """
     keys = list(keys)
+    if width == AUTO:
+        width = chunk_width(df, "us")
     inside = Window.partitionBy(*keys, "_chunk").orderBy("us")
-    chunked = df.withColumn("_chunk", F.col("us") - F.pmod("us", F.lit(width)))
+    start = F.lit(0).cast("bigint") if width is None else F.col("us") - F.pmod("us", F.lit(width))
+    chunked = df.withColumn("_chunk", start)
     grown = chunked.withColumn("_step", _growth(F.lag("value").over(inside), F.col("value"))).withColumn(
         "_local", F.coalesce(F.sum("_step").over(inside), F.lit(0))
     )
@@ -69,7 +72,7 @@ def counter_increase(df: DataFrame, keys: Sequence[str], span_us: int) -> DataFr
     the earliest sample after ``t - span``.
     """
     keys = list(keys)
-    width = max(span_us, HOUR_US)
+    width = chunk_width(df, "us")
     total = counter_totals(df, keys, width).withColumnRenamed("total", "_total")
     marks = total.select(
         *keys, (-F.col("us")).alias("_back"), F.struct(F.col("us").alias("us"), F.col("_total").alias("total")).alias("_mark")
@@ -92,7 +95,8 @@ def counter_increase(df: DataFrame, keys: Sequence[str], span_us: int) -> DataFr
     )
 
 
-def trailing_average(df: DataFrame, keys: Sequence[str], span_us: int, include_current: bool = True) -> DataFrame:
+def trailing_average(df: DataFrame, keys: Sequence[str], span_us: int, include_current: bool = True,
+                     width: int | str | None = AUTO) -> DataFrame:
     """Average over the trailing span at each sample; null where the span is empty."""
     summed = trailing(
         df,
@@ -100,13 +104,14 @@ def trailing_average(df: DataFrame, keys: Sequence[str], span_us: int, include_c
         "us",
         span_us,
         {"_sum": F.col("value").cast("decimal(28,6)"), "_n": F.lit(1)},
+        width,
         include_current=include_current,
     )
     mean = F.when(F.col("_n") > 0, F.col("_sum").cast("double") / F.col("_n"))
     return summed.withColumn("average", mean).drop("_sum", "_n")
 
 
-def held(df: DataFrame, keys: Sequence[str], condition: Column, for_us: int, width: int = HOUR_US) -> DataFrame:
+def held(df: DataFrame, keys: Sequence[str], condition: Column, for_us: int, width: int | str | None = AUTO) -> DataFrame:
     """Stretches of consecutive samples that meet a condition for at least ``for_us``."""
     keys = list(keys)
     broken = F.when(~F.coalesce(condition, F.lit(False)), F.col("us"))

@@ -74,7 +74,7 @@ def sequence_disorder(spark, sf):
     round(quantile_cont(CAST(behind_us AS DOUBLE), 0.5), 3) AS p50, round(quantile_cont(CAST(behind_us AS DOUBLE), 0.99), 3) AS p99
   FROM d GROUP BY 1""")
 def arrival_disorder(spark, sf):
-    behind = quality.arrival_disorder(tables.fee_events(spark, sf), ["source_partition"], "arrival", width=20_000_000)
+    behind = quality.arrival_disorder(tables.fee_events(spark, sf), ["source_partition"], "arrival")
     spread = exact_percentiles(behind, ["source_partition"], "behind_us", {"p50": 0.5, "p99": 0.99})
     return spread.select("source_partition", "n", "min", "max", *[F.round(p, 3).alias(p) for p in ("p50", "p99")])
 

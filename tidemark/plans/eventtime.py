@@ -51,7 +51,7 @@ def watermark_bounded(spark, sf):
         ["source_partition"],
         "arrival",
         [Running("_ms", "max", F.unix_millis("occurred_at"))],
-        20_000_000,
+        slice_width=1_000_000,
     )
     return seen.select("event_id", ledger.watermark_millis(F.col("_ms"), 30_000).alias("watermark_ms"))
 
@@ -65,7 +65,7 @@ def watermark_monotonic(spark, sf):
         ["source_partition"],
         "sequence",
         [Running("_ms", "max", F.unix_millis("occurred_at"))],
-        1_000_000,
+        slice_width=1_000_000,
     )
     return seen.select("event_id", ledger.watermark_millis(F.col("_ms"), 0).alias("watermark_ms"))
 

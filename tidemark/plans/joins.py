@@ -85,7 +85,7 @@ def enrich_rate_asof(spark, sf):
     )
     facts = e.where("event_type = 'purchase'").drop("event_type")
     rates = e.where("event_type = 'view'").select("currency", "ts", F.col("amount").alias("rate"))
-    return enrich.as_of(facts, rates, ["currency"], "ts", "rate", width=24 * HOUR_US)
+    return enrich.as_of(facts, rates, ["currency"], "ts", "rate")
 
 
 @query("dimension_join", """SELECT c_mktsegment, n_name, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(19,2))) AS DOUBLE) AS amount
