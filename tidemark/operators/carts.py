@@ -81,6 +81,7 @@ def cart_snapshots(
     return second.where(F.col("_held").isNull()).select(
         "arrival",
         "customer_id",
+        "probe",
         money(F.when(empty, F.lit(0)).otherwise(F.col("_sum") - F.col("_base._sum0"))).alias("total"),
         F.when(empty, 0).otherwise(F.col("_cnt") - F.col("_base._cnt0")).cast("int").alias("count"),
         fresh.alias("fresh"),

@@ -16,9 +16,9 @@ from tidemark import schemas
 TTL_MS = 24 * 3_600_000
 
 
-def cart_sql(touch: str, ttl: int | None = TTL_MS) -> str:
+def cart_sql(touch: str, ttl: int | None = TTL_MS, source: str = CARTS) -> str:
     alive = "pt IS NOT NULL" if ttl is None else f"pt IS NOT NULL AND t_ms - pt < {ttl}"
-    return f"""WITH {CARTS},
+    return f"""WITH {source},
   a1 AS (SELECT *, max(CASE WHEN {touch} THEN t_ms END) OVER (PARTITION BY customer_id ORDER BY arrival
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pt FROM activity),
   a2 AS (SELECT *, coalesce({alive}, false) AS live FROM a1),
@@ -31,7 +31,11 @@ def cart_sql(touch: str, ttl: int | None = TTL_MS) -> str:
 
 
 def _carts(spark, sf, **how):
-    return cart_snapshots(tables.cart_activity(spark, sf), TTL_MS, **how).drop("touched_ms")
+    return _shown(cart_snapshots(tables.cart_activity(spark, sf), TTL_MS, **how))
+
+
+def _shown(snapshots):
+    return snapshots.select("arrival", "customer_id", "total", "count", "fresh")
 
 
 @query("cart_write_ttl", cart_sql("NOT probe"))
@@ -52,15 +56,15 @@ def cart_stale_visible(spark, sf):
 @query("cart_probe", f"SELECT c.* FROM ({cart_sql('NOT probe')}) c JOIN events e ON e.event_id = c.arrival WHERE e.event_type = 'view'")
 def cart_probe(spark, sf):
     """Probes only: they read a cart and never start or extend one."""
-    probes = tables.cart_activity(spark, sf).where("probe").select("arrival")
-    return _carts(spark, sf).join(probes, "arrival", "left_semi")
+    return _shown(cart_snapshots(tables.cart_activity(spark, sf), TTL_MS).where("probe"))
 
 
-@query("cart_isolated", f"SELECT * FROM ({cart_sql('NOT probe')}) WHERE customer_id IN ('user-3', 'user-4')")
+@query("cart_isolated", cart_sql("NOT probe", source=CARTS.replace("'user-' || user_id", "'user-' || user_id || '/' || event_id % 2")))
 def cart_isolated(spark, sf):
-    """Two customers alone get what they get among all others."""
-    two = tables.cart_activity(spark, sf).where("customer_id in ('user-3', 'user-4')")
-    return cart_snapshots(two, TTL_MS).drop("touched_ms")
+    """Every customer split into two accounts: neither touches the other's clock."""
+    side = F.concat(F.lit("/"), (F.col("arrival") % 2).cast("string"))
+    split = tables.cart_activity(spark, sf).withColumn("customer_id", F.concat("customer_id", side))
+    return _shown(cart_snapshots(split, TTL_MS))
 
 
 @query("cart_resumed", cart_sql("NOT probe"))
@@ -70,7 +74,7 @@ def cart_resumed(spark, sf):
     half = activity.agg(F.expr("max(arrival) div 2")).scalar()
     first = cart_snapshots(activity.where(F.col("arrival") <= half), TTL_MS)
     second = cart_snapshots(activity.where(F.col("arrival") > half), TTL_MS, seeds=carts_left(first))
-    return first.unionByName(second).drop("touched_ms")
+    return _shown(first.unionByName(second))
 
 
 @query("resume_sinks", "SELECT CAST(0 AS BIGINT) AS duplicates, count(*) AS rows FROM events")

@@ -6,16 +6,21 @@ the next stage resumes from the checkpoint.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.operators.purchases import current_spend
+from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.scan import HOUR_US
+from tidemark.operators.windows import fee_merge, windowed_fees
 from tidemark.plans.inputs_sql import CLASSIFIED, FEE_EVENTS, HOUR, PURCHASES, watermarks
 from tidemark.plans.registry import query
 from tidemark.session import new_folder
 from tidemark.sources import readers, tables, wire
 from tidemark.streaming import native
 from tidemark.streaming.billing import BillingStream
+from tidemark.streaming.progress import progress_rows
 from tidemark.streaming.purchases import SpendStream
 
 STAGES = 4
@@ -30,28 +35,43 @@ def _once(spark, sf, name, run):
     return _DONE[at]
 
 
-def staged_fees(spark, sf):
+def staged_fees(spark, sf, stages: int = STAGES):
+    """Fee events cut into equal stretches of arrival."""
     fees = tables.fee_events(spark, sf)
     batches = fees.agg(F.max("arrival_batch") + 1).scalar()
-    return fees.withColumn("stage", F.floor(F.col("arrival_batch") * STAGES / batches).cast("int"))
+    return fees.withColumn("stage", F.floor(F.col("arrival_batch") * stages / batches).cast("int"))
+
+
+def billing_job(kind: type[BillingStream], root: str) -> BillingStream:
+    return kind(root, bound_us=HOUR_US, size_us=HOUR_US, lateness_us=2 * HOUR_US, idle_us=None)
+
+
+def land_and_run(spark, job: BillingStream, rows) -> None:
+    wire.encode_orders(rows).write.mode("append").parquet(f"{job.root}/landing")
+    run_landed(spark, job)
+
+
+def run_landed(spark, job: BillingStream) -> None:
+    records = readers.record_stream(spark, f"{job.root}/landing")
+    job.start(records, f"{job.root}/checkpoint", available_now=True).awaitTermination()
 
 
 def billing_run(spark, sf) -> BillingStream:
     def run():
-        root = new_folder(spark, "billing")
-        job = BillingStream(root, bound_us=HOUR_US, size_us=HOUR_US, lateness_us=2 * HOUR_US, idle_us=None)
+        job = billing_job(BillingStream, new_folder(spark, "billing"))
         for stage in range(STAGES):
-            rows = staged_fees(spark, sf).where(F.col("stage") == stage)
-            wire.encode_orders(rows).write.mode("append").parquet(f"{root}/landing")
-            records = readers.record_stream(spark, f"{root}/landing")
-            job.start(records, f"{root}/checkpoint", available_now=True).awaitTermination()
+            land_and_run(spark, job, staged_fees(spark, sf).where(F.col("stage") == stage))
         return job
 
     return _once(spark, sf, "billing", run)
 
 
-_STAGED = FEE_EVENTS.replace("fee_events AS", "unstaged AS", 1) + f""",
-fee_events AS (SELECT * REPLACE (CAST(floor(arrival_batch * {STAGES} / (SELECT max(arrival_batch) + 1 FROM unstaged)) AS BIGINT) AS arrival_batch) FROM unstaged)"""
+def _staged_sql(stages: int) -> str:
+    return FEE_EVENTS.replace("fee_events AS", "unstaged AS", 1) + f""",
+fee_events AS (SELECT * REPLACE (CAST(floor(arrival_batch * {stages} / (SELECT max(arrival_batch) + 1 FROM unstaged)) AS BIGINT) AS arrival_batch) FROM unstaged)"""
+
+
+_STAGED = _staged_sql(STAGES)
 _JUDGED = f"{_STAGED},\n{watermarks()},\n{CLASSIFIED}"
 
 
@@ -127,37 +147,119 @@ def src_replay(spark, sf):
     for stage in (F.col("stage") < 2, F.col("stage") >= 2):
         rows.where(stage).drop("stage").write.mode("append").parquet(f"{root}/landing")
         stream = readers.table_stream(spark, f"{root}/landing", rows.drop("stage").schema)
-        (
-            stream.writeStream.format("parquet")
-            .option("path", f"{root}/out")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
+        _run_to_end(stream, f"{root}/checkpoint", "append", "parquet", path=f"{root}/out")
     return spark.read.parquet(f"{root}/out")
 
 
-@query("close_on_watermark", f"""WITH {FEE_EVENTS}, now AS (SELECT date_trunc('millisecond', max(occurred_at)) - INTERVAL 30 SECOND AS w FROM fee_events),
+_CLOSED = f"""WITH {FEE_EVENTS}, now AS (SELECT date_trunc('millisecond', max(occurred_at)) - INTERVAL 30 SECOND AS w FROM fee_events),
   r AS (SELECT customer_id, time_bucket(INTERVAL 5 MINUTE, occurred_at) AS window_start, CAST(sum(fee) AS DOUBLE) AS total_fee, count(*) AS event_count
     FROM fee_events GROUP BY ALL)
-  SELECT customer_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, total_fee, event_count FROM r, now WHERE window_start + INTERVAL 5 MINUTE <= w""")
-def close_on_watermark(spark, sf):
-    """Append mode: a window appears once, when the watermark has passed its end."""
-    root = new_folder(spark, "closed")
-    rows = tables.fee_events(spark, sf).select("customer_id", "fee", "occurred_at")
-    rows.write.parquet(f"{root}/landing")
-    stream = readers.table_stream(spark, f"{root}/landing", rows.schema)
-    (
-        native.closed_windows(stream)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint")
+  SELECT customer_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, total_fee, event_count FROM r, now WHERE window_start + INTERVAL 5 MINUTE <= w"""
+
+
+class FailsAfterWriting(BillingStream):
+    """Fault injection: the second batch fails after its writes, before its commit."""
+
+    def process(self, batch, batch_id):
+        super().process(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("injected failure")
+
+
+@query("resume_after_failure", f"""WITH {_staged_sql(2)},\n{watermarks()},\n{CLASSIFIED}
+  SELECT count(*) AS audited, CAST(0 AS BIGINT) AS duplicates, count(*) FILTER (WHERE class = 'too_late') AS rejected,
+    count(*) FILTER (WHERE class <> 'too_late') AS reported, CAST(sum(fee) FILTER (WHERE class <> 'too_late') AS DOUBLE) AS reported_fee
+  FROM classified""")
+def resume_after_failure(spark, sf):
+    """Crash after the writes of a batch, then resume: nothing lost, nothing doubled."""
+    root = new_folder(spark, "crash")
+    job = billing_job(BillingStream, root)
+    rows = staged_fees(spark, sf, 2)
+    land_and_run(spark, job, rows.where("stage = 0"))
+    try:
+        land_and_run(spark, billing_job(FailsAfterWriting, root), rows.where("stage = 1"))
+        raise AssertionError("the injected failure did not happen")
+    except StreamingQueryException:
+        run_landed(spark, job)
+    audit, reports = job.audit.view(spark), job.reports.view(spark)
+    totals = reports.agg(F.sum("event_count").alias("n"), F.sum("total_fee").alias("fee"))
+    return audit.agg(F.count(F.lit(1)).alias("audited")).select(
+        "audited",
+        duplicate_keys(audit, *job.audit.keys).scalar().alias("duplicates"),
+        job.rejected.view(spark).agg(F.count(F.lit(1))).scalar().alias("rejected"),
+        totals.select("n").scalar().alias("reported"),
+        totals.select("fee").scalar().alias("reported_fee"),
+    )
+
+
+_HOURLY = f"""WITH {FEE_EVENTS} SELECT customer_id, time_bucket(INTERVAL 1 HOUR, occurred_at) AS window_start,
+    time_bucket(INTERVAL 1 HOUR, occurred_at) + INTERVAL 1 HOUR AS window_end, CAST(sum(fee) AS DOUBLE) AS total_fee, count(*) AS event_count, 'v2' AS revision
+  FROM fee_events GROUP BY ALL"""
+
+
+@query("bootstrap_state", _HOURLY)
+def bootstrap_state(spark, sf):
+    """Stop revision v1 mid-way, read its window state as a table, go on as v2."""
+    root = new_folder(spark, "upgrade")
+    rows = staged_fees(spark, sf, 2).select("customer_id", "fee", "occurred_at", "stage")
+    rows.where("stage = 0").drop("stage").write.parquet(f"{root}/landing")
+    stream = readers.table_stream(spark, f"{root}/landing", rows.drop("stage").schema)
+    # A bound longer than the data: every window is still state when v1 stops.
+    _run_to_end(native.corrected_windows(stream, "1 hour", "60 days"), f"{root}/checkpoint", "update", "noop")
+    saved = native.saved_windows(spark, f"{root}/checkpoint")
+    rest = windowed_fees(rows.where("stage = 1"), "1 hour")
+    keys = ("customer_id", "window_start", "window_end")
+    return fee_merge(saved.unionByName(rest), *keys).withColumn("revision", F.lit("v2"))
+
+
+def _run_to_end(frame, checkpoint: str, mode: str, sink: str, **options: str):
+    query_ = (
+        frame.writeStream.format(sink)
+        .outputMode(mode)
+        .options(**options)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    query_.awaitTermination()
+    return query_
+
+
+def _closed(spark, sf, name: str):
+    root = new_folder(spark, name)
+    rows = tables.fee_events(spark, sf).select("customer_id", "fee", "occurred_at")
+    rows.write.parquet(f"{root}/landing")
+    stream = readers.table_stream(spark, f"{root}/landing", rows.schema)
+    _run_to_end(native.closed_windows(stream), f"{root}/checkpoint", "append", "parquet", path=f"{root}/out")
     return spark.read.parquet(f"{root}/out")
 
 
+@query("close_on_watermark", _CLOSED)
+def close_on_watermark(spark, sf):
+    """Append mode: a window appears once, when the watermark has passed its end."""
+    return _closed(spark, sf, "closed")
+
+
+@query("state_store_choice", _CLOSED)
+def state_store_choice(spark, sf):
+    """The same windows with their state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    native.use_state_store(spark, "rocksdb")
+    try:
+        return _closed(spark, sf, "rocksdb")
+    finally:
+        spark.conf.set(name, before)
+
+
+@query("progress_to_metrics", "SELECT 'input_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM events")
+def progress_to_metrics(spark, sf):
+    """Progress reports of a run as metric rows: the rows it read, summed."""
+    root = new_folder(spark, "progress")
+    rows = tables.fee_events(spark, sf).select("customer_id", "fee", "occurred_at")
+    rows.write.parquet(f"{root}/landing")
+    stream = readers.table_stream(spark, f"{root}/landing", rows.schema)
+    done = _run_to_end(native.closed_windows(stream), f"{root}/checkpoint", "append", "noop")
+    reports = [row for progress in done.recentProgress for row in progress_rows(progress)]
+    metrics = spark.createDataFrame(reports, schemas.METRIC)
+    return metrics.where("metric = 'input_rows'").groupBy("metric").agg(F.sum("value").alias("value"))

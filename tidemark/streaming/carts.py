@@ -14,7 +14,7 @@ from tidemark.sources.sinks import KeyedLog
 
 CART = schemas.table("customer_id string, total money, count int, touched_ms bigint")
 SNAPSHOT = schemas.table(
-    "arrival bigint, customer_id string, total money, count int, fresh boolean, touched_ms bigint"
+    "arrival bigint, customer_id string, probe boolean, total money, count int, fresh boolean, touched_ms bigint"
 )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import money
 from tidemark.operators.windows import windowed_fees
@@ -70,6 +71,17 @@ def saved_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
     )
 
 
+def to_console(stream: DataFrame, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Print each micro-batch to the driver's output."""
+    return (
+        stream.writeStream.format("console")
+        .outputMode(mode)
+        .option("truncate", False)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def use_state_store(spark: SparkSession, kind: str) -> None:
     """Choose where keyed state lives: ``memory`` or ``rocksdb``. Results do not differ."""
     providers = {
