@@ -77,6 +77,8 @@ def main() -> None:
             counted = search.counted(found)
             timings[f"{name}.{kind}_first"] = measure(lambda c=counted: c.collect())
             scans[f"{name}.{kind}_first"] = (layout.scan_metrics(search.counted(found)) or [{}])[0]
+    lookup = spark.read.parquet(stored(spark, SF_DIR, "lookup"))
+    timings["order.lookup_table"] = measure(lambda: search.counted(search.order_lookup(lookup, 4243)).collect())
     for name in QUERIES:
         timings[name] = measure(lambda n=name: noop(ENTRIES[n].build(spark, SF_DIR)))
 
