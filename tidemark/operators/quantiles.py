@@ -17,17 +17,17 @@ ACCURACY = 100_000
 SALTS = 64
 
 
-def _with_ranks(work: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+def _with_ranks(work: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Give each value the brackets of its key.
 
-    The brackets are stored first, so their number is known: a few are sent to
-    every task and the values stay where they are. Beyond that the values of a
-    key are spread over salts, as one key may hold much of the table.
+    The brackets are stored, so their number is known: a few are sent to every
+    task and the values stay where they are. Beyond that the values of a key
+    are spread over salts, as one key may hold much of the table.
     """
     if not keys:
-        # One row per point: as many rows as the caller names percentiles.
-        return work.join(F.broadcast(wanted), F.lit(True))
-    stored = keep(wanted, "ranks")
+        # One small array: as many brackets as the caller names percentiles.
+        every = stored.agg(F.collect_list(F.struct("*"))).scalar()
+        return work.select("*", F.inline(every))
     if stored.count() <= BROADCAST_ROWS:
         return work.join(F.broadcast(stored), keys)
     salted = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -85,6 +85,7 @@ def exact_percentiles(
                         ranks(points[name])[0].cast("bigint").alias("r1"),
                         ranks(points[name])[1].cast("bigint").alias("r2"),
                         ranks(points[name])[2].cast("double").alias("part"),
+                        *[F.col(c) for c in ("n", "min", "max")],
                     )
                     for i, name in enumerate(names)
                 ]
@@ -92,7 +93,8 @@ def exact_percentiles(
         ).alias("_w"),
     ).select(*keys, "_w.*")
 
-    near = _with_ranks(work, wanted, keys)
+    stored = keep(wanted, "ranks")
+    near = _with_ranks(work, stored, keys)
     group = [*keys, "point"]
     zone = F.when(F.col("_v") < F.col("lo"), -1).when(F.col("_v") > F.col("hi"), 1).otherwise(0)
     # Everything outside the bracket collapses into two counted rows, which keep
@@ -100,7 +102,12 @@ def exact_percentiles(
     counted = (
         near.withColumn("_zone", zone)
         .groupBy(*group, "r1", "r2", "part", "_zone", F.when(F.col("_zone") == 0, F.col("_v")).alias("_at"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        .agg(
+            F.count(F.lit(1)).alias("_c"),
+            F.min("_v").alias("_least"),
+            F.max("_v").alias("_most"),
+            *[F.max(c).alias(c) for c in ("n", "min", "max")],
+        )
     )
     upto = Window.partitionBy(*group).orderBy("_zone", "_at")
     placed = counted.withColumn(
@@ -115,8 +122,9 @@ def exact_percentiles(
             .when((F.col("_zone") == -1) & (r == last), F.col("_most"))
         )
 
+    sizes = [F.max(c).alias(c) for c in ("n", "min", "max")]
     found = placed.groupBy(*group).agg(
-        at_rank("r1").alias("v1"), at_rank("r2").alias("v2"), F.max("part").alias("part")
+        at_rank("r1").alias("v1"), at_rank("r2").alias("v2"), F.max("part").alias("part"), *sizes
     )
     checked = found.withColumn(
         "_value",
@@ -124,10 +132,7 @@ def exact_percentiles(
         .otherwise(F.col("v1") + (F.col("v2") - F.col("v1")) * F.col("part")),
     )
     wide = checked.groupBy(*keys).agg(
+        *sizes,
         *[F.max(F.when(F.col("point") == n, F.col("_value"))).alias(n) for n in names]
     )
-    base = sketch.drop("_b")
-    if keys:
-        return base.join(wide, keys)
-    # Without keys both sides are a single row.
-    return base.withColumn("_g", F.lit(0)).join(wide.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return wide.select(*keys, "n", "min", "max", *names)
