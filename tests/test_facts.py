@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import enrich, layout, search
 from tidemark.operators.quality import content_digest, duplicate_keys, gate, quality_counts, quarantine, sequence_gaps
+from tidemark.operators.scan import Running, running
 from tidemark.operators.versions import latest_by, without_deleted
 from tidemark.session import new_folder, shared_root
-from tidemark.sources import fixtures, readers, sinks
+from tidemark.sources import fixtures, readers, sinks, tables
 
 AUGUST = ("2026-08-01", "2026-09-01")
 
@@ -140,3 +141,25 @@ def test_shared_root_refuses_a_local_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         shared_root(Cluster())
+
+
+def test_given_tables_prune_columns_and_push_time_and_user_filters(spark):
+    found = search.counted(search.user_range(tables.workload(spark, "/root/testdata/sf0.001"), 42, "1997-01-01", "1998-01-01"))
+    scan = next(l for l in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in l)
+    pushed = scan.split("PushedFilters: ")[1]
+    assert "IsNotNull(l_suppkey), IsNotNull(l_shipdate), EqualTo(l_suppkey,42), Greater" in pushed
+    assert scan.rstrip().endswith("ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp>")
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    rows = spark.range(3000).select(F.col("id").alias("pos"), F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        out = running(rows, ["k"], "pos", [Running("n", "sum", F.lit(1))], 100)
+        per_task = out.where("k = 'hot'").groupBy(F.spark_partition_id()).agg(F.count("n").alias("rows"), F.max("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(per_task) >= 6 and max(r.rows for r in per_task) < 1000
+    assert out.where("k = 'hot'").agg(F.max("n")).first()[0] == 2000

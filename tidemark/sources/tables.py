@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import amount, money
 from tidemark.sources.fixtures import PARTITIONS, symbol_of
@@ -18,12 +19,20 @@ SHIFT = "pmod(event_id * 7919, 197)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; zone-less times become instants in UTC."""
+    """A given table; its zone-less times are read as instants in UTC.
+
+    The declared type is what makes them instants: a cast after the scan would
+    keep time filters from being pushed into it.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    zoned = {c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"}
-    return df.withColumns(zoned) if zoned else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    found = spark.read.parquet(path).schema
+    instants = [
+        T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
+        for f in found.fields
+    ]
+    return spark.read.schema(T.StructType(instants)).parquet(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
