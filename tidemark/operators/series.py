@@ -44,9 +44,12 @@ def counter_totals(df: DataFrame, keys: Sequence[str], width: int | str | None =
     inside = Window.partitionBy(*keys, "_chunk").orderBy("us")
     start = F.lit(0).cast("bigint") if width is None else F.col("us") - F.pmod("us", F.lit(width))
     chunked = df.withColumn("_chunk", start)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     grown = chunked.withColumn("_step", _growth(F.lag("value").over(inside), F.col("value"))).withColumn(
-        "_local", F.coalesce(F.sum("_step").over(inside), F.lit(0))
+        "_local", F.coalesce(F.sum("_step").over(so_far), F.lit(0)).cast("decimal(28,6)")
     )
+    if width is None:
+        return grown.select(*df.columns, F.col("_local").alias("total"))
     ends = grown.groupBy(*keys, "_chunk").agg(
         F.min_by("value", "us").alias("_first"), F.max_by("value", "us").alias("_last"), F.max("_local").alias("_grown")
     )
