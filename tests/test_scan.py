@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.behaviour import partners_before
 from tidemark.operators.quantiles import exact_percentiles
+from tidemark.operators import scan
 from tidemark.operators.scan import Running, chunk_width, running, trailing
 
 
@@ -112,3 +113,17 @@ def test_chunk_width_follows_the_densest_slice(spark):
     assert chunk_width(even, "pos", slice_width=100, rows=10) == 10
     dense = even.unionAll(spark.range(500).select(F.lit(5).cast("bigint").alias("pos")))
     assert chunk_width(dense, "pos", slice_width=10, rows=51) == 1
+
+
+@pytest.mark.parametrize("rows", [20, 100])
+def test_only_hot_keys_are_cut_and_nothing_changes(spark, frame, rows, monkeypatch):
+    monkeypatch.setattr(scan, "ROWS_PER_CHUNK", rows)
+    with_null = frame.withColumn("key", F.when(F.col("key") != "k1", F.col("key")))
+    plan = scan.plan_chunks(with_null, ["key"], "pos", slice_width=50)
+    assert plan.hot.count() == (9 if rows == 20 else 1) and plan.hot.where("_hot_key = 'hot'").count() == 1
+    values = [Running("total", "sum", F.col("v")), Running("prev", "last", F.col("maybe"), -1)]
+    want = running(with_null, ["key"], "pos", values, None, ties=["id"])
+    got = running(with_null, ["key"], "pos", values, plan, ties=["id"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    near = trailing(with_null, ["key"], "pos", 60, {"s": F.col("v")}, width=plan)
+    assert sorted(map(str, near.collect())) == sorted(map(str, trailing(with_null, ["key"], "pos", 60, {"s": F.col("v")}, width=None).collect()))

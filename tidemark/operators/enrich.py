@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import micros
-from tidemark.operators.scan import AUTO, Running, chunk_width, running
+from tidemark.operators.scan import AUTO, Chunks, Running, plan_chunks, running
 
 BROADCAST_ROWS = 100_000
 
@@ -39,7 +39,7 @@ def unmatched(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def as_of(facts: DataFrame, rates: DataFrame, keys: Sequence[str], ts: str, value: str,
-          width: int | str | None = AUTO) -> DataFrame:
+          width: Chunks | int | str | None = AUTO) -> DataFrame:
     """Add the value valid at each fact's time: the latest rate at or before it.
 
     Facts and rates are put on one time line per key and the last rate is
@@ -48,7 +48,8 @@ def as_of(facts: DataFrame, rates: DataFrame, keys: Sequence[str], ts: str, valu
     """
     keys = list(keys)
     if width == AUTO:
-        width = chunk_width(facts.select(ts).unionAll(rates.select(ts)), micros(F.col(ts)))
+        both = facts.select(*keys, ts).unionByName(rates.select(*keys, ts))
+        width = plan_chunks(both, keys, micros(F.col(ts)))
     line = facts.withColumns({"_us": micros(F.col(ts)), "_rate": F.lit(None).cast(rates.schema[value].dataType)}).unionByName(
         rates.groupBy(*keys, micros(F.col(ts)).alias("_us")).agg(F.max(value).alias("_rate")).withColumn("_israte", F.lit(True)),
         allowMissingColumns=True,

@@ -10,8 +10,10 @@ table. ``running`` cuts each key into chunks of ``width`` order positions:
    window runs inside (key, chunk).
 
 The rows are shuffled once, by (key, chunk), and a key has at most span/width
-totals. The width follows from the table unless the caller gives one: narrow
-where rows are dense, and no chunks at all for a table that is small as a whole.
+totals. What is cut follows from the table unless the caller gives a width
+(``plan_chunks``): only keys with more rows than one task should order, into
+chunks that are narrow where rows are dense. A table that is small as a whole
+takes the plain window.
 """
 
 from __future__ import annotations
@@ -19,20 +21,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidemark.session import keep
+
 # What one task may be given to put in order.
 ROWS_PER_CHUNK = 1_000_000
 AUTO = "auto"
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
-_CHUNK, _CARRY = "_chunk", "_carry"
+_CHUNK, _CARRY, _HOT = "_chunk", "_carry", "_hot"
+# The one chunk of a key that is not cut.
+_WHOLE = -(1 << 61)
+# Up to here the list of hot keys is sent to every task.
+BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -65,6 +73,33 @@ def chunk_width(df: DataFrame, order: str | Column, slice_width: int = HOUR_US,
     return max(1, slice_width * rows // densest)
 
 
+@dataclass(frozen=True)
+class Chunks:
+    """How to cut: the width, and the stored list of keys worth cutting."""
+
+    width: int
+    hot: DataFrame
+
+
+def plan_chunks(df: DataFrame, keys: Sequence[str], order: str | Column, slice_width: int = HOUR_US) -> Chunks | int | None:
+    """Find the chunk width and the hot keys of a table, in two narrow passes.
+
+    A hot key has more than ``ROWS_PER_CHUNK`` rows, so there are at most
+    rows / ROWS_PER_CHUNK of them.
+    """
+    width = chunk_width(df, order, slice_width, ROWS_PER_CHUNK)
+    if width is None or not keys:
+        return width
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROWS_PER_CHUNK)
+    return Chunks(width, keep(counts.select(*[F.col(k).alias(f"{_HOT}_{k}") for k in keys]), "hot-keys"))
+
+
+def _mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    listed = F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{_HOT}_{k}")) for k in keys])
+    return df.join(listed.withColumn(_HOT, F.lit(True)), same, "left").select(*df.columns, _HOT)
+
+
 def _total(how: str, name: str, position: Column) -> Column:
     value = F.col(name)
     if how == "last":
@@ -92,7 +127,7 @@ def running(
     keys: Sequence[str],
     order: str,
     values: Sequence[Running],
-    width: int | str | None = AUTO,
+    width: Chunks | int | str | None = AUTO,
     ties: Sequence[str] = (),
     peers: bool = False,
     slice_width: int = HOUR_US,
@@ -101,21 +136,28 @@ def running(
 
     ``ties`` break equal positions. With ``peers`` rows at one position are
     treated as simultaneous (a RANGE frame) and ``ties`` must be empty.
-    ``width`` is found with ``chunk_width`` by default; None takes the plain
-    window and is for a caller who has counted that a key fits into one chunk.
+    ``width`` is found with ``plan_chunks`` by default. A number cuts every key;
+    None takes the plain window and is for a caller who has counted that a key
+    fits into one chunk.
     """
     if peers and ties:
         raise ValueError("simultaneous rows cannot have a tie order")
     keys = list(keys)
     inputs = {v.name: f"_in_{v.name}" for v in values}
     if width == AUTO:
-        width = chunk_width(df, order, slice_width)
+        width = plan_chunks(df, keys, order, slice_width)
     if width is None:
         work = df.select("*", *[v.value.alias(inputs[v.name]) for v in values])
         return _windowed(work, keys or [F.lit(0)], order, values, inputs, ties, peers).drop(*inputs.values())
-    work = df.select(
-        "*",
-        (F.col(order) - F.pmod(F.col(order), F.lit(width))).alias(_CHUNK),
+    marked, step = df, width
+    if isinstance(width, Chunks):
+        marked, step = _mark_hot(df, keys, width.hot), width.width
+    chunk = F.col(order) - F.pmod(F.col(order), F.lit(step))
+    if isinstance(width, Chunks):
+        chunk = F.when(F.col(_HOT), chunk).otherwise(F.lit(_WHOLE))
+    work = marked.select(
+        *df.columns,
+        chunk.alias(_CHUNK),
         *[v.value.alias(inputs[v.name]) for v in values],
     )
     for v in values:
@@ -127,7 +169,8 @@ def running(
             )
 
     position = F.struct(order, *ties) if ties else F.col(order)
-    totals = work.groupBy(*keys, _CHUNK).agg(
+    cut = work.where(F.col(_CHUNK) != _WHOLE) if isinstance(width, Chunks) else work
+    totals = cut.groupBy(*keys, _CHUNK).agg(
         *[_total(v.how, inputs[v.name], position).alias(inputs[v.name]) for v in values]
     )
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -150,7 +193,7 @@ def trailing(
     order: str,
     span: int,
     sums: dict[str, Column],
-    width: int | str | None = AUTO,
+    width: Chunks | int | str | None = AUTO,
     include_current: bool = True,
 ) -> DataFrame:
     """Add trailing sums over ``(pos - span, pos]``, or ``[pos - span, pos)``
@@ -165,7 +208,7 @@ def trailing(
     if any(name in df.columns for name in sums):
         raise ValueError("a trailing sum would shadow an input column")
     if width == AUTO:
-        width = chunk_width(df, order)
+        width = plan_chunks(df, keys, order)
     entering = df.select("*", *[e.alias(f"_step_{n}") for n, e in sums.items()])
     kinds = {n: entering.schema[f"_step_{n}"].dataType for n in sums}
     leaving = entering.select(
