@@ -219,3 +219,15 @@ def test_native_join_and_dedup(spark, at, money):
 
 def test_ledger_constants():
     assert (lg.SIZE_US, lg.BOUND_US, lg.LATENESS_US, lg.IDLE_US) == (300_000_000, 30_000_000, 120_000_000, 3_000_000)
+
+
+def test_console_sink_prints_and_stops(spark):
+    root = new_folder(spark, "console")
+    rows = fixtures.billing_phase(spark, "correction").drop("offset")
+    land(root, rows)
+    query = native.to_console(readers.table_stream(spark, f"{root}/landing", rows.schema), f"{root}/checkpoint")
+    try:
+        query.processAllAvailable()
+        assert query.lastProgress["numInputRows"] == 1
+    finally:
+        query.stop()
