@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash, topk
+from tidemark.llm import packing, secrets, simhash, topk, urls
 from tidemark.llm.common import table
 
 
@@ -32,7 +32,30 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def tokenizer(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
+    """Arguments of ``packing.encoder``: files of the installed public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(f"{name}.json"), public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_topk": (op1_topk, OP1_SQL),
+    "op6_secrets": (op6_secrets, None),
+    "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
+    "op10_urls": (op10_urls, None),
 }
