@@ -29,3 +29,8 @@ def learnable(doc_id: Column, parts: int) -> Column:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small_or_plain(stored: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A stored table of a few narrow columns, marked for broadcast when its rows are counted and few."""
+    return F.broadcast(stored) if stored.count() <= most else stored

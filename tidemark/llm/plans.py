@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, secrets, simhash, topk, urls
-from tidemark.llm.common import table
+from tidemark.llm import decontaminate, languages, licences, packing, secrets, simhash, topk, urls
+from tidemark.llm.common import held_out, learnable, table
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,52 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids")
+
+
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
+    return found.select("doc_id", "text_licence", F.array_join("line_licences", ",").alias("line_licences"), "digest")
+
+
+def _canonical_sql(text: str) -> str:
+    """``licences.canonical`` as DuckDB SQL."""
+    out = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = f"regexp_replace({out}, '{licences.COPYRIGHT_LINE}', ' ', 'g')"
+    out = f"trim(regexp_replace(replace({out}, '&', ' and '), '{licences.NOT_WORD}', ' ', 'g'))"
+    for old, new in licences.SPELLINGS:
+        out = f"replace({out}, '{old}', '{new}')"
+    return out
+
+
+def _known_sql() -> str:
+    rows = ", ".join(f"({i}, '{name}', '{words.replace(chr(39), chr(39) * 2)}')" for i, (name, words) in enumerate(licences.KNOWN))
+    return f"SELECT sha256({_canonical_sql('wording')}) AS digest, arg_min(licence, pos) AS licence FROM (VALUES {rows}) k(pos, licence, wording) GROUP BY 1"
+
+
+OP3_SQL = f"""
+WITH known AS ({_known_sql()}),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs),
+named AS (
+  SELECT rid, string_agg(DISTINCT licence, ',' ORDER BY licence) AS line_licences
+  FROM (SELECT rid, sha256({_canonical_sql("line")}) AS digest FROM lines WHERE line <> '') l JOIN known USING (digest) GROUP BY rid
+), whole AS (SELECT rid, doc_id, sha256({_canonical_sql("text")}) AS digest FROM docs)
+SELECT doc_id, licence AS text_licence, coalesce(line_licences, '') AS line_licences, digest
+FROM whole LEFT JOIN known USING (digest) LEFT JOIN named USING (rid)
+"""
+
+
+def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = languages.learn(docs.where(learnable(F.col("doc_id"), 4)))
+    found = languages.identified(docs.select("doc_id", "text"), model)
+    mixed = F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x.lang, F.round(x.share, 4).cast("string"))), ",")
+    return found.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", "score", mixed.alias("mixture"), "accepted")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -54,6 +100,9 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": (op1_topk, OP1_SQL),
+    "op2_decontaminate": (op2_decontaminate, None),
+    "op3_licences": (op3_licences, OP3_SQL),
+    "op4_languages": (op4_languages, None),
     "op6_secrets": (op6_secrets, None),
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
