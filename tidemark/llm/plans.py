@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, languages, licences, packing, secrets, simhash, topk, urls
+from tidemark.llm import decontaminate, languages, licences, packing, pii, secrets, simhash, topk, urls
 from tidemark.llm.common import held_out, learnable, table
 
 
@@ -78,6 +78,12 @@ def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", "score", mixed.alias("mixture"), "accepted")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str, key: str = "tidemark") -> DataFrame:
+    found = pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    kinds = [F.size(F.filter("pii_kinds", lambda k, n=n: k == n)).cast("long").alias(f"n_{n}") for n in pii.KINDS]
+    return found.select("doc_id", *kinds, "clean_text")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -103,6 +109,7 @@ QUERIES = {
     "op2_decontaminate": (op2_decontaminate, None),
     "op3_licences": (op3_licences, OP3_SQL),
     "op4_languages": (op4_languages, None),
+    "op5_pii": (op5_pii, None),
     "op6_secrets": (op6_secrets, None),
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
