@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, languages, licences, packing, pii, secrets, simhash, topk, urls
+from tidemark.llm import decontaminate, languages, licences, mixing, packing, pii, secrets, simhash, topk, urls
 from tidemark.llm.common import held_out, learnable, table
 
 
@@ -88,6 +88,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.scored(docs.select("doc_id", "text", held_out(F.col("doc_id"), 7).alias("held_out"), learnable(F.col("doc_id"), 7).alias("learn")))
+
+
 def tokenizer(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
     """Arguments of ``packing.encoder``: files of the installed public vocabulary."""
     import public_tokenizers
@@ -111,6 +116,7 @@ QUERIES = {
     "op4_languages": (op4_languages, None),
     "op5_pii": (op5_pii, None),
     "op6_secrets": (op6_secrets, None),
+    "op7_mixing": (op7_mixing, None),
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
     "op10_urls": (op10_urls, None),
