@@ -44,6 +44,11 @@ _SMALL_GREEK, _LARGE_GREEK = "αβγδεζηθικλμνξοπρστυφχψω",
 ROUNDS = 40
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def pattern(kinds=None) -> str:
     return "|".join(f"(?:{p})" for p in (kinds or KINDS).values())
 
@@ -79,8 +84,7 @@ def _pick(letters: str, number: Column) -> Column:
 def _mapped(value: Column, stream: Column) -> Column:
     """Each letter or digit replaced by one of its script and case, the rest kept."""
 
-    def one(c, i):
-        n = _byte(stream, i)
+    def chosen(c, n):
         return (
             F.when(c.rlike("[0-9]"), _pick("0123456789", n))
             .when(c.rlike(r"[\p{Lu}&&\p{IsCyrillic}]"), _pick(_LARGE_CYRILLIC, n))
@@ -93,6 +97,9 @@ def _mapped(value: Column, stream: Column) -> Column:
             .otherwise(c)
         )
 
+    def one(c, i):
+        return let(_byte(stream, i), lambda n: chosen(c, n))
+
     letters = F.filter(F.split(value, ""), lambda c: c != "")
     return F.array_join(F.transform(letters, one), "")
 
@@ -111,27 +118,29 @@ def _digits(value: Column, stream: Column, kept: Column) -> Column:
 def surrogate(value: Column, kind: Column, attempt: Column, key: str) -> Column:
     """The keyed replacement of one mention."""
     seed = F.concat_ws("|", F.lit(key), kind, identity(value, kind), attempt.cast("string"))
-    stream = _stream(seed)
+    return let(_stream(seed), lambda stream: _made(value, kind, stream))
+
+
+def _made(value: Column, kind: Column, stream: Column) -> Column:
     octets = F.concat_ws(".", *(_byte(stream, F.lit(i)).cast("string") for i in range(4)))
     country = F.length(F.regexp_replace(F.regexp_extract(value, r"^\+[0-9]{1,3}(?![0-9])", 0), "[^0-9]", ""))
     # Domains of e-mail addresses keep their last label, which has a meaning.
     address = F.concat(_mapped(F.regexp_extract(value, r"^(.*)\.[^.]*$", 1), stream), F.regexp_extract(value, r"\.[^.]*$", 0))
-    title, rest = F.regexp_extract(value, r"^[^ ]+ ", 0), F.regexp_extract(value, r"^[^ ]+ (.*)$", 1)
-    bare = F.regexp_replace(title, r"[. ]", "")
-    script = F.when(rest.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    gender = F.when(bare.isin(*FEMALE_TITLES), "female").when(bare.isin(*MALE_TITLES), "male").otherwise("either")
-    first = F.lit(None).cast("string")
-    for (g, s), names in FIRST_NAMES.items():
-        chosen = F.element_at(F.array(*map(F.lit, names)), F.pmod(_byte(stream, F.lit(100)), F.lit(len(names))) + 1)
-        first = F.when((gender == g) & (script == s), chosen).otherwise(first)
-    last = _mapped(F.regexp_extract(rest, r"([^ ]+)$", 1), stream)
-    person = F.concat(title, F.when(F.contains(rest, F.lit(" ")), F.concat(first, F.lit(" "), last)).otherwise(last))
+
+    def person(title, rest):
+        bare = F.regexp_replace(title, r"[. ]", "")
+        script = F.when(rest.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+        gender = F.when(bare.isin(*FEMALE_TITLES), "female").when(bare.isin(*MALE_TITLES), "male").otherwise("either")
+        names = F.create_map(*[x for (g, s), v in FIRST_NAMES.items() for x in (F.lit(f"{g} {s}"), F.array(*map(F.lit, v)))])
+        first = F.element_at(names[F.concat_ws(" ", gender, script)], F.pmod(_byte(stream, F.lit(100)), F.lit(8)) + 1)
+        last = _mapped(F.regexp_extract(rest, r"([^ ]+)$", 1), stream)
+        return F.concat(title, F.when(F.contains(rest, F.lit(" ")), F.concat(first, F.lit(" "))).otherwise(F.lit("")), last)
+
     return (
         F.when(kind == "email", address)
         .when(kind == "ip", octets)
-        .when(kind == "phone", _digits(value, stream, country))
-        .when(kind == "name", person)
-        .otherwise(_digits(value, stream, F.lit(0)))
+        .when(kind == "name", person(F.regexp_extract(value, r"^[^ ]+ ", 0), F.regexp_extract(value, r"^[^ ]+ (.*)$", 1)))
+        .otherwise(_digits(value, stream, F.when(kind == "phone", country).otherwise(0)))
     )
 
 
@@ -145,7 +154,7 @@ def retries(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     originals = now.select("kind", F.col("identity").alias("made")).withColumn("original", F.lit(True))
     for _ in range(rounds):
         kind = F.col("kind")
-        made = now.withColumn("made", identity(surrogate(F.col("value"), kind, F.col("attempt"), key), kind))
+        made = now.withColumn("made", let(surrogate(F.col("value"), kind, F.col("attempt"), key), lambda new: identity(new, kind)))
         holders = made.groupBy("kind", "made").agg(F.min(F.struct("attempt", "identity")).alias("holder"))
         judged = made.join(holders, ["kind", "made"]).join(originals, ["kind", "made"], "left")
         clash = (F.col("holder.identity") != F.col("identity")) | F.coalesce("original", F.lit(False))
@@ -186,7 +195,7 @@ def replaced(docs: DataFrame, key: str, text: str = "text", out: str = "clean_te
 
     def changed(value):
         attempt = F.coalesce(attempts[value], F.lit(0)) if attempts is not None else F.lit(0)
-        return surrogate(value, kind_of(value, kinds), attempt, key)
+        return let(kind_of(value, kinds), lambda kind: surrogate(value, kind, attempt, key))
 
     gaps = F.split(body, pattern(kinds))
     pieces = F.zip_with(gaps, F.transform("_values", changed), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
