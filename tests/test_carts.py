@@ -19,31 +19,26 @@ def seen(df):
 
 
 CASES = {
-    "accumulate": ((5000, {}), [("a", "10", 0), ("a", "15", 20)], [("10.00", 1, True), ("25.00", 2, False)]),
-    "expire": ((150, {}), [("a", "10", 0), ("a", "5", 400)], [("10.00", 1, True), ("5.00", 1, True)]),
-    "boundary": ((150, {}), [("a", "10", 0), ("a", "5", 150)], [("10.00", 1, True), ("5.00", 1, True)]),
-    "probe does not extend": (
-        (400, {}),
-        [("a", "10", 0), ("a", None, 100), ("a", "3", 450)],
-        [("10.00", 1, True), ("10.00", 1, False), ("3.00", 1, True)],
+    "kept open": ((9000, {}), [("z", "2.20", 0), ("z", "7.05", 3100), ("z", "1.00", 8200)], [("2.20", 1, True), ("9.25", 2, False), ("10.25", 3, False)]),
+    "lapsed": ((70, {}), [("z", "6", 5), ("z", "1.5", 90), ("z", "1", 120)], [("6.00", 1, True), ("1.50", 1, True), ("2.50", 2, False)]),
+    "lapses at the limit": ((70, {}), [("z", "6", 5), ("z", "2", 75), ("z", "4", 144)], [("6.00", 1, True), ("2.00", 1, True), ("6.00", 2, False)]),
+    "reads leave the clock alone": (
+        (240, {}),
+        [("z", "8", 0), ("z", None, 239), ("z", None, 240), ("z", "1", 250)],
+        [("8.00", 1, True), ("8.00", 1, False), ("0.00", 0, True), ("1.00", 1, True)],
     ),
-    "probe extends": (
-        (400, {"refresh": "read_write"}),
-        [("a", "10", 0), ("a", None, 100), ("a", "3", 450)],
-        [("10.00", 1, True), ("10.00", 1, False), ("13.00", 2, False)],
+    "reads wind the clock": (
+        (240, {"refresh": "read_write"}),
+        [("z", "8", 0), ("z", None, 239), ("z", None, 400), ("z", "1", 600)],
+        [("8.00", 1, True), ("8.00", 1, False), ("8.00", 1, False), ("9.00", 2, False)],
     ),
-    "unknown probe": ((5000, {}), [("a", None, 0), ("a", "7", 0)], [("0.00", 0, True), ("7.00", 1, True)]),
-    "unknown probe, read-write": (
-        (5000, {"refresh": "read_write"}),
-        [("a", None, 0), ("a", "7", 0)],
-        [("0.00", 0, True), ("7.00", 1, True)],
+    "read before any write": ((60, {}), [("z", None, 3), ("z", None, 9), ("z", "5.5", 11)], [("0.00", 0, True), ("0.00", 0, True), ("5.50", 1, True)]),
+    "customers apart": (
+        (100, {}),
+        [("y", "3", 0), ("z", "9", 60), ("y", "2", 110), ("z", "1", 130), ("y", None, 209)],
+        [("3.00", 1, True), ("9.00", 1, True), ("2.00", 1, True), ("10.00", 2, False), ("2.00", 1, False)],
     ),
-    "isolated": (
-        (300, {}),
-        [("a", "10", 0), ("b", "20", 100), ("a", "3", 350), ("b", None, 350)],
-        [("10.00", 1, True), ("20.00", 1, True), ("3.00", 1, True), ("20.00", 1, False)],
-    ),
-    "stale visible": ((150, {"stale_visible": True}), [("a", "10", 0), ("a", "5", 400)], [("10.00", 1, True), ("15.00", 2, False)]),
+    "lapsed but shown": ((70, {"stale_visible": True}), [("z", "6", 5), ("z", "1.5", 190)], [("6.00", 1, True), ("7.50", 2, False)]),
 }
 
 

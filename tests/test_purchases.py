@@ -17,12 +17,13 @@ from tidemark.sources import wire
 
 @pytest.fixture
 def purchases(spark, at, money):
-    day = "2026-01-01"
+    day = "2026-03-17"
     rows = [
-        (1, " Alice ", "Stream Book", money("12.50"), at("00:00:00", day)),
-        (2, "alice", "Streaming Course", money("20.00"), at("00:01:00", day)),
-        (3, "bob", "Notebook", money("8.00"), at("00:02:00", day)),
-        (4, "bob", "Invalid", money("0"), at("00:03:00", day)),
+        (1, "mira", "Kettle", money("31.40"), at("09:05:00", day)),
+        (2, "mira", " ", money("4.00"), at("09:07:00", day)),
+        (3, "Odo ", "Lamp", money("7.15"), at("09:11:00", day)),
+        (4, " MIRA", "Chair", money("58.35"), at("09:19:00", day)),
+        (5, "odo", "Refund", money("-3.00"), at("09:23:00", day)),
     ]
     return spark.createDataFrame(
         rows, "arrival bigint, customer_id string, product string, amount decimal(19,2), occurred_at timestamp"
@@ -32,15 +33,15 @@ def purchases(spark, at, money):
 def test_running_spend_emits_one_row_per_input(purchases):
     out = running_spend(normalize_purchase(valid_purchase(purchases))).orderBy("arrival").collect()
     assert [(r.customer_id, r["product"], str(r.amount), r.occurred_at.minute) for r in out] == [
-        ("alice", "Stream Book", "12.50", 0),
-        ("alice", "running-total", "32.50", 1),
-        ("bob", "Notebook", "8.00", 2),
+        ("mira", "Kettle", "31.40", 5),
+        ("odo", "Lamp", "7.15", 11),
+        ("mira", "running-total", "89.75", 19),
     ]
 
 
 def test_current_spend_takes_the_last_arrival_time(purchases, at):
     spend = {r.customer_id: r for r in current_spend(normalize_purchase(valid_purchase(purchases))).collect()}
-    assert str(spend["alice"].amount) == "32.50" and spend["alice"].updated_at.minute == 1
+    assert str(spend["mira"].amount) == "89.75" and spend["mira"].updated_at.minute == 19
 
 
 def test_blank_and_unpaid_are_rejected(spark, money):
@@ -71,11 +72,11 @@ def test_required_fields(spark):
 
 
 def test_order_partition_comes_from_the_record(spark, at):
-    body = b'{"customerId":"customer-15","sequence":7,"fee":"16.00","occurredAt":"2026-07-30T12:00:10Z","partition":3}'
-    record = spark.createDataFrame([(b"k", body, "orders", 15, 42, at("12:00:11"))], schemas.RECORD)
+    body = b'{"customerId":"shop-208","sequence":61,"fee":"3.75","occurredAt":"2026-02-11T08:41:27Z","partition":9}'
+    record = spark.createDataFrame([(b"k", body, "sales", 4, 1730, at("08:41:30", "2026-02-11"))], schemas.RECORD)
     row = wire.decode_orders(record, keep=("offset",)).first()
-    assert (row.source_partition, row.offset, row.customer_id, row.sequence, str(row.fee)) == (15, 42, "customer-15", 7, "16.00")
-    assert row.occurred_at.second == 10
+    assert (row.source_partition, row.offset, row.customer_id, row.sequence, str(row.fee)) == (4, 1730, "shop-208", 61, "3.75")
+    assert row.occurred_at.second == 27
 
 
 def test_strict_decoding_fails_and_lenient_keeps_the_bad_row(spark, at):

@@ -55,7 +55,7 @@ def test_staged_billing(spark):
     assert partition_coverage(audit, 16).where("rows = 0").count() == 0
 
     compacted = job.reports.compact(spark, new_folder(spark, "compacted"))
-    assert totals(compacted.history(spark)) == totals(job.reports.view(spark))
+    assert totals(compacted.view(spark)) == totals(job.reports.view(spark))
 
 
 def crash_orders(spark, at, money):

@@ -57,10 +57,13 @@ def from_micros(value: Column) -> Column:
 def row_digest(*columns: Column) -> Column:
     """60 bits of an MD5 of the printed columns, as a bigint.
 
+    Nulls are printed as ``\\N`` and separators inside values are escaped, so different rows print differently.
+
     Summing digests gives a content check that needs no row order and can be
     computed by any other engine from the same text.
     """
-    text = F.concat_ws("|", *[c.cast("string") for c in columns])
+    marked = [F.coalesce(F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")), F.lit("\\N")) for c in columns]
+    text = F.concat_ws("|", *marked)
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 

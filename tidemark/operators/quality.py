@@ -92,14 +92,15 @@ def gate(df: DataFrame, rules: dict[str, Column], duplicates_of: Sequence[str] =
     """Add ``reasons``: the names of the rules a row breaks (empty means valid).
 
     A rule is a condition that marks a bad row; an unknown condition counts as
-    bad. With ``duplicates_of`` every row but the first of a key is bad too.
+    bad. With ``duplicates_of`` every row but the first of a key is bad too; a
+    key with a null part is incomplete, not repeated.
     """
     reasons = [F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in rules.items()]
     if duplicates_of:
         # The first position per key, brought back on the key: no group is gathered.
-        firsts = df.groupBy(*duplicates_of).agg(F.min(order).alias("_first"))
-        match = reduce(lambda a, b: a & b, [df[k].eqNullSafe(firsts[k]) for k in duplicates_of])
-        df = df.join(firsts, match).select(df["*"], "_first")
+        firsts = df.dropna(subset=list(duplicates_of)).groupBy(*duplicates_of).agg(F.min(order).alias("_first"))
+        match = reduce(lambda a, b: a & b, [df[k] == firsts[k] for k in duplicates_of])
+        df = df.join(firsts, match, "left").select(df["*"], "_first")
         reasons.append(F.when(F.col(order) > F.col("_first"), F.lit("duplicate")))
     return df.withColumn("reasons", F.array_compact(F.array(*reasons))).drop("_first")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +31,16 @@ def _with_ranks(work: DataFrame, stored: DataFrame, keys: list[str]) -> DataFram
         every = stored.agg(F.collect_list(F.struct("*"))).scalar()
         return work.select("*", F.inline(every))
     if stored.count() <= BROADCAST_ROWS:
-        return work.join(F.broadcast(stored), keys)
+        return _null_safe(work, F.broadcast(stored), keys)
     salted = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = work.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
-    return spread.join(salted, [*keys, "_salt"]).drop("_salt")
+    return _null_safe(spread, salted, [*keys, "_salt"]).drop("_salt")
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys where null meets null: a missing label is a group too."""
+    same = reduce(and_, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    return left.alias("l").join(right.alias("r"), same).select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in keys])
 
 
 def exact_percentiles(
@@ -45,6 +53,8 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per key with n, min, max and each percentile in ``points``.
 
+    A null key is a group of its own; a group without values has n = 0 and null percentiles.
+
     ``linear`` interpolates between neighbours; ``upper`` returns element
     ``floor(n * p)`` of the sorted values, counted from zero.
 
@@ -57,14 +67,18 @@ def exact_percentiles(
     slack = 2.0 / accuracy
     names = list(points)
     bounds = [b for p in points.values() for b in (max(0.0, p - slack), min(1.0, p + slack))]
-    work = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    sketch = work.groupBy(*keys).agg(
+    every = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    work = every.where(F.col("_v").isNotNull())
+    sketch = every.groupBy(*keys).agg(
         F.count("_v").alias("n"),
         F.min("_v").alias("min"),
         F.max("_v").alias("max"),
         F.percentile_approx("_v", bounds, accuracy).alias("_b"),
     )
 
+    sketch = keep(sketch, "sketch")
+    valued = sketch.where("n > 0")
+
     def ranks(p: float):
         if method == "upper":
             rank = F.least(F.floor(F.col("n") * p), F.col("n") - 1) + 1
@@ -72,7 +86,7 @@ def exact_percentiles(
         at = (F.col("n") - 1) * F.lit(p)
         return F.floor(at) + 1, F.ceil(at) + 1, at - F.floor(at)
 
-    wanted = sketch.select(
+    wanted = valued.select(
         *keys,
         F.explode(
             F.array(
@@ -135,4 +149,8 @@ def exact_percentiles(
         *sizes,
         *[F.max(F.when(F.col("point") == n, F.col("_value"))).alias(n) for n in names]
     )
-    return wide.select(*keys, "n", "min", "max", *names)
+    out = wide.select(*keys, "n", "min", "max", *names)
+    if not keys:
+        return out
+    nothing = sketch.where("n = 0").select(*keys, "n", "min", "max", *[F.lit(None).cast("double").alias(n) for n in names])
+    return out.unionByName(nothing)

@@ -160,13 +160,12 @@ def running(
         chunk.alias(_CHUNK),
         *[v.value.alias(inputs[v.name]) for v in values],
     )
-    for v in values:
-        kind = work.schema[inputs[v.name]].dataType
-        if v.how == "sum" and isinstance(kind, T.DecimalType):
-            # Headroom for two levels of summing.
-            work = work.withColumn(
-                inputs[v.name], F.col(inputs[v.name]).cast(T.DecimalType(28, kind.scale))
-            )
+    # Sums of sums are wider than the plain path's; the result gets its type, whatever the size of the table.
+    sums = {
+        v.name: T.DecimalType(min(38, kind.precision + 10), kind.scale)
+        for v in values
+        if v.how == "sum" and isinstance(kind := work.schema[inputs[v.name]].dataType, T.DecimalType)
+    }
 
     position = F.struct(order, *ties) if ties else F.col(order)
     cut = work.where(F.col(_CHUNK) != _WHOLE) if isinstance(width, Chunks) else work
@@ -184,7 +183,8 @@ def running(
 
     rows = work.withColumn(_CARRY, F.lit(False)).unionByName(starts, allowMissingColumns=True)
     out = _windowed(rows, [*keys, _CHUNK], order, values, inputs, ties, peers)
-    return out.where(~F.col(_CARRY)).drop(_CHUNK, _CARRY, *inputs.values())
+    out = out.where(~F.col(_CARRY)).drop(_CHUNK, _CARRY, *inputs.values())
+    return out.withColumns({name: F.col(name).cast(kind) for name, kind in sums.items()}) if sums else out
 
 
 def trailing(

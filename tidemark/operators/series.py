@@ -6,6 +6,8 @@ Input rows are (metric, labels, ts, value); a series is a metric with its labels
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +62,9 @@ def counter_totals(df: DataFrame, keys: Sequence[str], width: int | str | None =
         + F.coalesce(F.lag("_grown").over(in_order), F.lit(0)),
     )
     starts = linked.select(*keys, "_chunk", F.sum("_link").over(in_order).alias("_start"))
-    joined = grown.join(starts, [*keys, "_chunk"])
+    # A series may lack a label: null keys meet null keys.
+    same = reduce(and_, [F.col(f"g.{k}").eqNullSafe(F.col(f"s.{k}")) for k in (*keys, "_chunk")])
+    joined = grown.alias("g").join(starts.alias("s"), same).select("g.*", "_start")
     return joined.withColumn("total", (F.col("_start") + F.col("_local")).cast("decimal(28,6)")).select(*df.columns, "total")
 
 

@@ -180,7 +180,7 @@ def fixture_cases(spark, sf):
     return fixtures.case_rows(ids, "skew", "2026-08-05", "2026-08-05", fixtures.hot_user(8000))
 
 
-@query("fixture_zipf", """SELECT CAST(floor(pow(1000.0, ((event_id * 7919) % 10007) / 10007.0)) AS BIGINT) AS rank, count(*) AS rows FROM events GROUP BY 1""")
+@query("fixture_zipf", """SELECT CAST(floor(pow(1000.0, (((event_id % 2147483648) * 2654435761) % 4294967296) / 4294967296.0)) AS BIGINT) AS rank, count(*) AS rows FROM events GROUP BY 1""")
 def fixture_zipf(spark, sf):
     ranked = fixtures.zipf_key(tables.events(spark, sf).select(F.col("event_id").alias("id")), 1000)
     return ranked.groupBy("rank").agg(F.count(F.lit(1)).alias("rows"))

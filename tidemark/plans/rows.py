@@ -38,9 +38,13 @@ def double_value(spark, sf):
     return tables.events(spark, sf).select("event_id", (F.col("value").cast("decimal(19,2)") * 2).alias("value"))
 
 
-@query("tag_revision")
+@query("tag_revision", f"""WITH {FEE_EVENTS} SELECT customer_id, time_bucket(INTERVAL 1 HOUR, occurred_at) AS window_start,
+    time_bucket(INTERVAL 1 HOUR, occurred_at) + INTERVAL 1 HOUR AS window_end, CAST(sum(fee) AS DOUBLE) AS total_fee, count(*) AS event_count,
+    'v2' AS revision, true AS placed
+  FROM fee_events GROUP BY ALL""")
 def revision(spark, sf):
-    return tag_revision(windowed_fees(tables.fee_events(spark, sf), "1 hour"), "v2")
+    tagged = tag_revision(windowed_fees(tables.fee_events(spark, sf), "1 hour"), "v2")
+    return tagged.withColumn("placed", F.col("window_partition") >= 0).drop("window_partition")
 
 
 @query("require_fields", """SELECT event_id, concat_ws(',', CASE WHEN event_id % 17 = 0 THEN 'customer_id' END,

@@ -17,7 +17,7 @@ from tidemark.operators.windows import fee_merge, windowed_fees
 from tidemark.plans.inputs_sql import CLASSIFIED, FEE_EVENTS, HOUR, PURCHASES, watermarks
 from tidemark.plans.registry import query
 from tidemark.session import new_folder
-from tidemark.sources import readers, tables, wire
+from tidemark.sources import readers, sinks, tables, wire
 from tidemark.streaming import native
 from tidemark.streaming.billing import BillingStream
 from tidemark.streaming.progress import progress_rows
@@ -200,22 +200,27 @@ _HOURLY = f"""WITH {FEE_EVENTS} SELECT customer_id, time_bucket(INTERVAL 1 HOUR,
 @query("bootstrap_state", _HOURLY)
 def bootstrap_state(spark, sf):
     """Stop revision v1 mid-way, read its window state as a table, go on as v2."""
+    keys = ("customer_id", "window_start", "window_end")
     root = new_folder(spark, "upgrade")
     rows = staged_fees(spark, sf, 2).select("customer_id", "fee", "occurred_at", "stage")
     rows.where("stage = 0").drop("stage").write.parquet(f"{root}/landing")
     stream = readers.table_stream(spark, f"{root}/landing", rows.drop("stage").schema)
-    # A bound longer than the data: every window is still state when v1 stops.
-    _run_to_end(native.corrected_windows(stream, "1 hour", "60 days"), f"{root}/checkpoint", "update", "noop")
-    saved = native.saved_windows(spark, f"{root}/checkpoint")
+    # v1 writes its reports to a keyed log: windows that have left its state are taken from there, open ones from the state.
+    v1 = native.corrected_windows(stream, "1 hour", "60 days")
+    log = sinks.KeyedLog(f"{root}/reports", v1.schema, keys)
+    _run_to_end(v1, f"{root}/checkpoint", "update", log.write)
+    open_windows = native.saved_windows(spark, f"{root}/checkpoint")
+    closed = log.view(spark).join(open_windows, list(keys), "left_anti")
+    saved = open_windows.unionByName(closed.select(*open_windows.columns))
     rest = windowed_fees(rows.where("stage = 1"), "1 hour")
-    keys = ("customer_id", "window_start", "window_end")
     return fee_merge(saved.unionByName(rest), *keys).withColumn("revision", F.lit("v2"))
 
 
-def _run_to_end(frame, checkpoint: str, mode: str, sink: str, **options: str):
+def _run_to_end(frame, checkpoint: str, mode: str, sink, **options: str):
+    """``sink`` is a format, or a function of a batch and its id."""
+    writer = frame.writeStream.foreachBatch(sink) if callable(sink) else frame.writeStream.format(sink)
     query_ = (
-        frame.writeStream.format(sink)
-        .outputMode(mode)
+        writer.outputMode(mode)
         .options(**options)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -61,9 +61,12 @@ def hot_user(hot_below: int) -> Column:
     return F.when(F.col("id") < hot_below, F.lit(0)).otherwise(F.col("id") % 1000)
 
 
-def zipf_key(ids: DataFrame, keys: int, resolution: int = 10007, step: int = 7919) -> DataFrame:
-    """Add ``rank`` in 1..keys with about 1/rank frequency (inverse of ln)."""
-    u = F.pmod(F.col("id") * step, F.lit(resolution)) / F.lit(float(resolution))
+def zipf_key(ids: DataFrame, keys: int, resolution: int = 2**32, step: int = 2654435761) -> DataFrame:
+    """Add ``rank`` in 1..keys with about 1/rank frequency (inverse of ln).
+
+    The uniform value is a multiplicative hash of the id with ``resolution`` steps; ids repeat after 2^31.
+    """
+    u = F.pmod(F.pmod(F.col("id"), F.lit(2**31)) * F.lit(step), F.lit(resolution)) / F.lit(float(resolution))
     return ids.withColumn("rank", F.floor(F.pow(F.lit(float(keys)), u)).cast("bigint"))
 
 

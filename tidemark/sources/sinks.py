@@ -41,13 +41,17 @@ def sink_rows(ids: DataFrame) -> DataFrame:
     )
 
 
+FOLDED = -1  # below every batch id
+
+
 @dataclass(frozen=True)
 class KeyedLog:
     """An upsert table on plain files.
 
     Each micro-batch overwrites its own ``batch_id`` folder, so a replayed batch
     replaces itself. Readers take the latest batch per key. ``compact`` folds the
-    log into one row per key under the highest batch id it covers.
+    log into one row per key under ``FOLDED``, an id that no batch has; the last
+    batch, which may yet be replayed, keeps its own folder.
     """
 
     path: str
@@ -74,9 +78,12 @@ class KeyedLog:
 
     def compact(self, spark: SparkSession, path: str) -> KeyedLog:
         """Write the current view to a new folder and return that log."""
-        top = self.history(spark).agg(F.max("batch_id")).first()[0]
+        rows = self.history(spark)
+        top = rows.agg(F.max("batch_id")).first()[0]
         folded = KeyedLog(path, self.schema, self.keys)
-        folded.write(self.view(spark), top)
+        folded.write(self.view(spark, before=top), FOLDED)
+        if top is not None and top != FOLDED:
+            folded.write(rows.where(F.col("batch_id") == top), top)
         return folded
 
 
