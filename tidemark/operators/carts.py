@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import money
-from tidemark.operators.scan import AUTO, ROWS_PER_CHUNK, Chunks, Running, plan_chunks, running
+from tidemark.operators.scan import AUTO, PER_ROWS, Chunks, Running, plan_chunks, running
 
 _BEFORE = -(1 << 60)
 
@@ -35,7 +35,7 @@ def cart_snapshots(
     if refresh not in ("write", "read_write"):
         raise ValueError(f"unknown refresh {refresh}")
     if width == AUTO:
-        width = plan_chunks(activity, ["customer_id"], "arrival", ROWS_PER_CHUNK)
+        width = plan_chunks(activity, ["customer_id"], "arrival", PER_ROWS)
     wrote = ~F.col("probe")
     touched = wrote if refresh == "write" else F.lit(True)
     spent = F.when(wrote, F.col("amount")).otherwise(F.lit(0).cast("decimal(19,2)"))

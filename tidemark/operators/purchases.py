@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import is_blank, money, strip
-from tidemark.operators.scan import AUTO, ROWS_PER_CHUNK, Running, running
+from tidemark.operators.scan import AUTO, PER_ROWS, Running, running
 
 
 def valid_purchase(df: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def running_spend(df: DataFrame, order: str = "arrival", width: int | str | None
         order,
         [Running("_spent", "sum", F.col("amount")), Running("_seen", "sum", F.lit(1))],
         width,
-        slice_width=ROWS_PER_CHUNK,
+        slice_width=PER_ROWS,
     )
     return summed.select(
         order,

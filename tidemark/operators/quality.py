@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import micros, money, row_digest
-from tidemark.operators.scan import AUTO, ROWS_PER_CHUNK, Running, running
+from tidemark.operators.scan import AUTO, PER_ROWS, Running, running
 
 _SIDES = ("source", "too_late", "reported")
 
@@ -64,7 +64,7 @@ def sequence_gaps(df: DataFrame, partition: str = "source_partition", sequence:
                   width: int | str | None = AUTO) -> DataFrame:
     """Missing ranges of sequence numbers per source partition."""
     present = df.select(partition, sequence).distinct()
-    before = running(present, [partition], sequence, [Running("_prev", "max", F.col(sequence), -1)], width, slice_width=ROWS_PER_CHUNK)
+    before = running(present, [partition], sequence, [Running("_prev", "max", F.col(sequence), -1)], width, slice_width=PER_ROWS)
     return before.where(F.col(sequence) - F.col("_prev") > 1).select(
         partition,
         (F.col("_prev") + 1).alias("gap_start"),
@@ -76,7 +76,7 @@ def sequence_gaps(df: DataFrame, partition: str = "source_partition", sequence:
 def sequence_disorder(df: DataFrame, partition: str = "source_partition", sequence: str = "sequence",
                       ts: str = "occurred_at", width: int | str | None = AUTO) -> DataFrame:
     """Records whose event time goes back while their sequence advances."""
-    before = running(df, [partition], sequence, [Running("previous_at", "last", F.col(ts), -1)], width, slice_width=ROWS_PER_CHUNK)
+    before = running(df, [partition], sequence, [Running("previous_at", "last", F.col(ts), -1)], width, slice_width=PER_ROWS)
     return before.where(F.col(ts) < F.col("previous_at"))
 
 
@@ -84,7 +84,7 @@ def arrival_disorder(df: DataFrame, keys: Sequence[str], order: str, ts: str = "
                      width: int | str | None = AUTO) -> DataFrame:
     """How far each record lies behind the latest event time already seen, in microseconds."""
     us = micros(F.col(ts))
-    ahead = running(df, keys, order, [Running("_seen_us", "max", us)], width, slice_width=ROWS_PER_CHUNK)
+    ahead = running(df, keys, order, [Running("_seen_us", "max", us)], width, slice_width=PER_ROWS)
     return ahead.withColumn("behind_us", F.col("_seen_us") - us).drop("_seen_us")
 
 

@@ -23,15 +23,18 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.session import keep
 
-# What one task may be given to put in order.
+# What one task may be given to put in order, unless the session sets another number.
 ROWS_PER_CHUNK = 1_000_000
+ROWS_SETTING = "tidemark.rowsPerChunk"
+# Slices of as many order positions, for orders that number the rows.
+PER_ROWS = None
 AUTO = "auto"
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -57,12 +60,18 @@ class Running:
     upto: int = 0
 
 
-def chunk_width(df: DataFrame, order: str | Column, slice_width: int = HOUR_US, rows: int = ROWS_PER_CHUNK) -> int | None:
+def rows_per_chunk(spark: SparkSession) -> int:
+    return int(spark.conf.get(ROWS_SETTING, str(ROWS_PER_CHUNK)))
+
+
+def chunk_width(df: DataFrame, order: str | Column, slice_width: int | None = HOUR_US, rows: int | None = None) -> int | None:
     """A chunk width that keeps the densest stretch of the table near ``rows`` rows.
 
     Rows are counted per slice of the order column, over all keys: no key can
     have more in a chunk than the table has. None means the whole table is small.
     """
+    rows = rows or rows_per_chunk(df.sparkSession)
+    slice_width = slice_width or rows
     at = F.col(order) if isinstance(order, str) else order
     per_slice = df.groupBy((at - F.pmod(at, F.lit(slice_width))).alias("_slice")).agg(F.count(F.lit(1)).alias("_n"))
     total, densest = per_slice.agg(F.sum("_n"), F.max("_n")).first()
@@ -81,16 +90,16 @@ class Chunks:
     hot: DataFrame
 
 
-def plan_chunks(df: DataFrame, keys: Sequence[str], order: str | Column, slice_width: int = HOUR_US) -> Chunks | int | None:
+def plan_chunks(df: DataFrame, keys: Sequence[str], order: str | Column, slice_width: int | None = HOUR_US) -> Chunks | int | None:
     """Find the chunk width and the hot keys of a table, in two narrow passes.
 
-    A hot key has more than ``ROWS_PER_CHUNK`` rows, so there are at most
-    rows / ROWS_PER_CHUNK of them.
+    A hot key has more rows than a chunk may have, so there are few of them.
     """
-    width = chunk_width(df, order, slice_width, ROWS_PER_CHUNK)
+    most = rows_per_chunk(df.sparkSession)
+    width = chunk_width(df, order, slice_width, most)
     if width is None or not keys:
         return width
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROWS_PER_CHUNK)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
     return Chunks(width, keep(counts.select(*[F.col(k).alias(f"{_HOT}_{k}") for k in keys]), "hot-keys"))
 
 
@@ -130,7 +139,7 @@ def running(
     width: Chunks | int | str | None = AUTO,
     ties: Sequence[str] = (),
     peers: bool = False,
-    slice_width: int = HOUR_US,
+    slice_width: int | None = HOUR_US,
 ) -> DataFrame:
     """Add running values per key in the order of ``order`` (a bigint).
 
