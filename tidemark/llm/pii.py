@@ -164,7 +164,7 @@ def retries(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     raise ValueError("values outnumber the surrogates that their format allows")
 
 
-def replaced(docs: DataFrame, key: str, text: str = "text", out: str = "clean_text", kinds=None) -> DataFrame:
+def replaced(docs: DataFrame, key: str, text: str = "text", out: str = "clean_text", kinds=None, rounds: int = ROUNDS) -> DataFrame:
     """All columns of ``docs``, the text with surrogates, and ``pii_kinds``: the kinds replaced, in order.
 
     A null text stays null with no kinds; an empty table stays empty; repeated rows get equal replacements. Columns of
@@ -179,7 +179,7 @@ def replaced(docs: DataFrame, key: str, text: str = "text", out: str = "clean_te
     mentions = base.where(F.size("_values") > 0).select(F.explode("_values").alias("value"))
     mentions = mentions.withColumn("kind", kind_of(F.col("value"), kinds)).withColumn("identity", identity(F.col("value"), F.col("kind")))
     entities = mentions.groupBy("kind", "identity").agg(F.min("value").alias("value"))
-    again = keep(retries(entities, key), "pii-retries")
+    again = keep(retries(entities, key, rounds), "pii-retries")
 
     rows = base
     attempts = None
