@@ -70,7 +70,7 @@ def with_features(urls: DataFrame) -> DataFrame:
     url, host, path = F.coalesce("url", F.lit("")), F.col("host"), F.col("path")
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     size = lambda c: F.length(c).cast("double")
-    suffix = F.concat_ws(".", F.slice(F.split(host, r"\."), -1, 1), F.element_at(F.split(path, "/"), 2))
+    suffix = F.concat_ws(".", F.slice(F.split(host, r"\."), -1, 1), F.get(F.split(path, "/"), F.lit(1)))
     return urls.select(
         "*",
         size(url).alias("url_length"),
