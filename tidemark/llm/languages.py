@@ -19,7 +19,7 @@ BUCKETS = 1 << 15  # hashed trigrams of the model
 SAMPLE = 2000  # labelled documents that teach one language, expected
 MOST = 500  # languages, the commonest first
 STEPS = 12
-WORDS_KEPT = 200_000
+WORDS_KEPT = 50_000
 MISC = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 WINDOW = 1024
 RUN_TOKENS = 1_000_000
-CACHE_WORDS = 100_000
+CACHE_WORDS = 50_000
 
 # Unicode White_Space, as the tokenizer's own splitting pattern counts it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"

@@ -159,11 +159,13 @@ def with_secrets(docs: DataFrame, text: str = "text", found: str = "secrets", cl
         kind = to_arrow_type(FOUND)
         fields = [f.name for f in FOUND.elementType.fields]
         for batch in batches:
-            texts = batch.column(position).to_pylist()
-            each = [spans(t) for t in texts]
-            rows = pa.array([[dict(zip(fields, s, strict=True)) for s in e] for e in each], kind)
-            texts = [masked(t, e) if e else t for t, e in zip(texts, each, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, rows, pa.array(texts, pa.string())], names=schema.names)
+            for at in range(0, batch.num_rows, 1000):  # few texts at a time as Python objects
+                some = batch.slice(at, 1000)
+                texts = some.column(position).to_pylist()
+                each = [spans(t) for t in texts]
+                rows = pa.array([[dict(zip(fields, s, strict=True)) for s in e] for e in each], kind)
+                texts = [masked(t, e) if e else t for t, e in zip(texts, each, strict=True)]
+                yield pa.RecordBatch.from_arrays([*some.columns, rows, pa.array(texts, pa.string())], names=schema.names)
 
     return docs.mapInArrow(scan, schema)
 

@@ -56,10 +56,12 @@ def with_fingerprints(docs: DataFrame, text: str = "text", words: int = 3, name:
     def add(batches):
         import pyarrow as pa
 
+        names = [f.name for f in schema.fields]
         for batch in batches:
-            marks = pa.array((_fingerprint(x.as_py(), words) for x in batch.column(position)), pa.int64())
-            names = [f.name for f in schema.fields]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:position], marks], names=names)
+            for at in range(0, batch.num_rows, 1000):
+                some = batch.slice(at, 1000)
+                marks = pa.array((_fingerprint(x.as_py(), words) for x in some.column(position)), pa.int64())
+                yield pa.RecordBatch.from_arrays([*some.columns[:position], marks], names=names)
 
     return source.mapInArrow(add, schema)
 
