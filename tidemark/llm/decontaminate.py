@@ -1,8 +1,8 @@
 """Benchmark decontamination: template windows joined by hash, then a check that slots were filled consistently.
 
 Numbers, units and names become typed placeholders, so a question keeps its windows when its values are changed. Windows
-that line up with a benchmark item are kept when the changed values stand for each other one to one. Only DataFrame
-functions are used.
+that line up with a benchmark item lead to a comparison of the whole item token by token; it is held when each of its
+values stands for one value of the document. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -20,24 +20,27 @@ LEAST_RUN = 13  # matching tokens in line, or the whole item if it is shorter
 # Units that follow a number.
 UNITS = "kg|mg|g|km|cm|mm|m|miles?|feet|ft|inch(?:es)?|l|ml|litres?|liters?|hours?|hrs?|minutes?|mins?|seconds?|secs?|days?|weeks?|months?|years?|dollars?|cents?|euros?|pounds?|percent|mph|kmh"
 
-# Marks from the private-use area: a name, a unit.
-NAME, UNIT = "\ue000", "\ue001"
+# Marks from the private-use area: a name, a unit, a capitalised word at a start (word or name).
+NAME, UNIT, START = "\ue000", "\ue001", "\ue002"
+_MARKS = f"[{NAME}{UNIT}{START}]"
 _NUMBER = r"\d+(?:[.,]\d+)*"
-_TOKEN = rf"[{NAME}{UNIT}]?\p{{L}}[\p{{L}}\p{{M}}'’]*|{_NUMBER}|[%$€£°]"
+_TOKEN = rf"{_MARKS}?\p{{L}}[\p{{L}}\p{{M}}'’]*|{_NUMBER}|[%$€£°]"
 
 
 def surface_tokens(text: Column) -> Column:
-    """Words, numbers and unit signs in order; names and units carry their mark.
+    """Words, numbers and unit signs in order; names, units and words that may be names carry their mark.
 
-    A name is a capitalised word after a lower-case letter, digit or comma and a space: not one that starts a sentence.
+    A capitalised word is a name after a lower-case letter, digit or comma and a space; elsewhere (at a sentence or line
+    start) it is a word or a name.
     """
-    text = F.regexp_replace(text, rf"[{NAME}{UNIT}]", "")
+    text = F.regexp_replace(text, _MARKS, "")
     text = F.regexp_replace(text, rf"(?<=\d)( ?)((?:{UNITS})(?![\p{{L}}\p{{N}}]))", f" {UNIT}$2")
     text = F.regexp_replace(text, r"(?<=[\p{Ll}\p{Nd},;] )(?=\p{Lu}\p{Ll})", NAME)
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
 def kind_of(token: Column) -> Column:
+    """The placeholder of a token; null for a word, also for one that may be a name."""
     first = F.substring(token, 1, 1)
     return (
         F.when(first == NAME, "<name>")
@@ -46,10 +49,14 @@ def kind_of(token: Column) -> Column:
     )
 
 
-def canonical(token: Column) -> Column:
-    first = F.substring(token, 1, 1)
-    letter = F.lower(token)
-    return F.when(first == NAME, "<name>").when(first == UNIT, "<unit>").when(first.rlike(r"^\p{L}"), letter).when(first.rlike(r"^\d"), "<number>").otherwise("<unit>")
+def bare(token: Column) -> Column:
+    return F.lower(F.translate(token, NAME + UNIT + START, ""))
+
+
+def canonical(token: Column, starts: bool = False) -> Column:
+    """The placeholder or lower-case word; with ``starts`` a word that may be a name counts as one."""
+    kind = F.when(F.substring(token, 1, 1) == START, "<name>") if starts else None
+    return F.coalesce(*([kind] if starts else []), kind_of(token), bare(token))
 
 
 def window_hashes(hashes: Column, width: int) -> Column:
@@ -59,24 +66,80 @@ def window_hashes(hashes: Column, width: int) -> Column:
     return F.when(F.size(hashes) >= width, each).otherwise(F.array().cast("array<bigint>"))
 
 
+# The forms in which windows are looked up: starts as words, starts as names, and literally.
+FORMS = ("words", "names", "exact")
+
+
 def hashed_tokens(frame: DataFrame, tokens: str = "tokens") -> DataFrame:
-    return frame.withColumn("hashes", F.transform(tokens, lambda t: F.xxhash64(canonical(t))))
+    """A column of token hashes for each form. Placeholders have an even hash, words an odd one, in the first two."""
+    marked = lambda word: F.xxhash64(word).bitwiseAND(F.lit(-2)) + F.when(word.rlike("^<"), 0).otherwise(1)
+    return frame.withColumns(
+        {
+            "words": F.transform(tokens, lambda t: marked(canonical(t))),
+            "names": F.transform(tokens, lambda t: marked(canonical(t, True))),
+            "exact": F.transform(tokens, lambda t: F.xxhash64(bare(t))),
+        }
+    )
+
+
+def windows(frame: DataFrame, form: str, width: int, at: str, *columns: str) -> DataFrame:
+    """(columns, at, hash) of the windows of one form.
+
+    Windows without a plain word are looked up literally alone. Windows without a start are the same in the forms of
+    words and names, and are listed once.
+    """
+    each = frame.select(*columns, *FORMS, F.posexplode(window_hashes(F.col(form), width)).alias(at, "hash"))
+    part = lambda f: F.slice(f, F.col(at) + 1, width)
+    plain = lambda f: F.exists(part(f), lambda h: h.bitwiseAND(F.lit(1)) == 1)
+    wanted = {"words": plain("words"), "names": plain("names") & (part("names") != part("words")), "exact": ~plain("words")}[form]
+    return each.where(wanted).select(*columns, at, "hash")
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(width, hash, item, at) of the windows with as many plain words as placeholders, at least; ``items`` has tokens."""
+    """(form, width, hash, item, at) of all windows; ``items`` has tokens."""
     width = F.least(F.lit(WINDOW), F.size("tokens"))
     sized = hashed_tokens(items).withColumn("width", width).where(F.col("width") >= LEAST_ITEM)
     parts = None
     for n in range(LEAST_ITEM, WINDOW + 1):
-        own = sized.where(F.col("width") == n).select("item", "tokens", window_hashes(F.col("hashes"), n).alias("windows"))
-        own = own.select("item", "tokens", F.posexplode("windows").alias("at", "hash"))
-        words = F.size(F.filter(F.slice("tokens", F.col("at") + 1, n), lambda t: kind_of(t).isNull()))
-        own = own.where(words * 2 >= n).select(F.lit(n).alias("width"), "hash", "item", "at")
-        parts = own if parts is None else parts.unionByName(own)
+        for form in FORMS:
+            own = windows(sized.where(F.col("width") == n), form, n, "at", "item")
+            own = own.select(F.lit(form).alias("form"), F.lit(n).alias("width"), "hash", "item", "at")
+            parts = own if parts is None else parts.unionByName(own)
     return parts
 
 
+def whole_match(item: Column, doc: Column, shift: Column) -> Column:
+    """True where a run of ``LEAST_RUN`` tokens of the item, or all, match the document's at ``shift`` with one value each.
+
+    A run without a plain word is no template: it must be literally the same.
+    """
+    def pair(i):
+        a, b = F.get(item, i), F.get(doc, i + shift)
+        first = lambda t: F.substring(t, 1, 1)
+        equal = bare(a) == bare(b)
+        name = first(a).isin(NAME, START) & first(b).isin(NAME, START)
+        # A start that is the same word is a word; any other placeholder is a slot.
+        word = kind_of(a).isNull() & equal
+        same = equal | name | F.coalesce(kind_of(a) == kind_of(b), F.lit(False))
+        return F.struct(bare(a).alias("item"), bare(b).alias("doc"), F.coalesce(same, F.lit(False)).alias("same"), F.coalesce(word, F.lit(False)).alias("word"), F.coalesce(equal, F.lit(False)).alias("equal"))
+
+    size = F.size(item)
+    pairs = F.transform(F.sequence(F.lit(0), size - 1), pair)
+    breaks = lambda p: F.concat(F.array(F.lit(-1)), F.filter(F.transform(p, lambda x, i: F.when(~x.same, i)), lambda i: i.isNotNull()), F.array(size))
+
+    def fits(run):
+        slots = F.array_distinct(F.transform(F.filter(run, lambda x: ~x.word), lambda x: F.struct(x["item"].alias("item"), x["doc"].alias("doc"))))
+        one_each = F.size(F.array_distinct(F.transform(slots, lambda s: s["item"]))) == F.size(slots)
+        return one_each & (F.exists(run, lambda x: x.word) | F.forall(run, lambda x: x.equal))
+
+    def runs(p, cuts):
+        spans = F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), lambda k: F.struct((F.get(cuts, k) + 1).alias("low"), (F.get(cuts, k + 1) - F.get(cuts, k) - 1).alias("n")))
+        return F.exists(spans, lambda s: (s.n >= F.least(F.lit(LEAST_RUN), size)) & fits(F.slice(p, s.low + 1, F.greatest(s.n, F.lit(0)))))
+
+    # Each list is worked out once: transform binds it.
+    return F.transform(F.array(pairs), lambda p: F.transform(F.array(breaks(p)), lambda cuts: runs(p, cuts))[0])[0]
+
+
 def row_key(text: Column) -> list[Column]:
     """Rows with one id and one text are one case; these columns, beside the id, tell texts apart."""
     return [F.xxhash64(text).alias("_hash"), F.length(text).alias("_length")]
@@ -85,51 +148,43 @@ def row_key(text: Column) -> list[Column]:
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, _hash, _length, item_ids): the documents that hold benchmark items, one row for each id and text.
 
-    An item is held where at least ``LEAST_RUN`` tokens in line match it as a template (all of them, if it has fewer), in
-    windows of ``WINDOW`` tokens, and the placeholders' values stand for each other one to one. Items of fewer than
-    ``LEAST_ITEM`` tokens and null or empty texts on either side match nothing.
+    An item is held where at least ``LEAST_RUN`` tokens in line match it as a template (all of them, if it has fewer) and
+    each of its values stands for one value. Items of fewer than ``LEAST_ITEM`` tokens and null or empty texts on either
+    side match nothing.
     """
     items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{item_text}`").cast("string").alias("item_text")).where("item_text is not null")
     # Items are numbered by their text: repeated items are matched once and listed by all their ids.
     items = items.groupBy("item_text").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     items = keep(items.select(F.xxhash64("item_text").alias("item"), "item_ids", surface_tokens(F.col("item_text")).alias("tokens")), "benchmark-items")
     index = keep(benchmark_windows(items), "benchmark-windows")
-    widths = sorted(r.width for r in index.select("width").distinct().collect())  # eight at most
+    kinds = sorted((r.form, r.width) for r in index.select("form", "width").distinct().collect())  # a dozen at most
     listed = small_or_plain(index)
 
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
     key = ["doc_id", "_hash", "_length"]
     tokens = rows.select("doc_id", *row_key(F.col("text")), surface_tokens(F.col("text")).alias("tokens"))
-    hashes = hashed_tokens(tokens).select(*key, "hashes")
+    hashes = hashed_tokens(tokens).select(*key, *FORMS)
     found = None
-    for n in widths:
-        own = hashes.select(*key, F.posexplode(window_hashes(F.col("hashes"), n)).alias("pos", "hash"))
-        own = own.join(listed.where(F.col("width") == n).select("hash", "item", "at"), "hash")
+    for form, n in kinds:
+        own = windows(hashes, form, n, "pos", *key)
+        own = own.join(listed.where((F.col("form") == form) & (F.col("width") == n)).select("hash", "item", "at"), "hash")
         found = own if found is None else found.unionByName(own)
     if found is None:
         return rows.select("doc_id", *row_key(F.col("text")), F.array().cast("array<bigint>").alias("item_ids")).limit(0)
 
     # One line is an item laid against a document at one place; repeated rows fall together here.
     line = [*key, "item", (F.col("pos") - F.col("at")).alias("shift")]
-    ats = F.count_distinct("at")
-    lines = found.groupBy(*line).agg(ats.alias("windows"), F.min("at").alias("low"), F.max("at").alias("high"))
-    lines = keep(lines, "template-lines")
+    lines = keep(found.select(*line).distinct(), "template-lines")
     wanted = small_or_plain(keep(lines.select(*key).distinct(), "template-documents"))
-    # Only documents with a line are read again for the values in their slots.
+    # Only documents with a line are read again, for all tokens in line with an item.
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_hash"] == b["_hash"]) & (a["_length"] == b["_length"])
     again = rows.select("doc_id", *row_key(F.col("text")), "text").alias("d")
     again = again.join(wanted.alias("w"), same({k: F.col(f"d.{k}") for k in key}, {k: F.col(f"w.{k}") for k in key}), "left_semi")
     values = again.dropDuplicates(key).select(*key, surface_tokens(F.col("text")).alias("tokens"))
     joined = lines.alias("l").join(values.alias("v"), same({k: F.col(f"l.{k}") for k in key}, {k: F.col(f"v.{k}") for k in key}))
     joined = joined.select("l.*", F.col("v.tokens").alias("doc_tokens")).join(items.withColumnRenamed("tokens", "item_tokens"), "item")
-    width = F.least(F.lit(WINDOW), F.size("item_tokens"))
-    places = F.sequence("low", F.col("high") + width - 1)
-    slots = F.transform(places, lambda i: F.struct(F.col("item_tokens")[i].alias("item"), F.col("doc_tokens")[i + F.col("shift")].alias("doc")))
-    slots = F.array_distinct(F.filter(slots, lambda s: kind_of(s.item).isNotNull() & (kind_of(s.item) == kind_of(s.doc))))
-    judged = joined.withColumns({"slots": slots, "run": F.col("windows") + width - 1})
-    each = lambda side: F.size(F.array_distinct(F.transform("slots", lambda s: s[side])))
-    fits = (each("item") == F.size("slots")) & (each("doc") == F.size("slots")) & (F.col("run") >= F.least(F.lit(LEAST_RUN), F.size("item_tokens")))
-    held = judged.where(fits).select(*key, F.explode("item_ids").alias("item_id"))
+    fits = whole_match(F.col("item_tokens"), F.col("doc_tokens"), F.col("shift"))
+    held = joined.where(fits).select(*key, F.explode("item_ids").alias("item_id"))
     return held.groupBy(*key).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
 
