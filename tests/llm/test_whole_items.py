@@ -1,7 +1,11 @@
-"""op2: items whose windows hold more values than words."""
+"""op2: items whose windows hold more values than words, names at starts, repeated values, unspaced scripts."""
+
+import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate
 
+APPLES = "Alice has 5 apples. Bob has 3 apples. How many apples do they have?"
 SUM = "What is 12 + 34 + 56 + 78 + 90?"
 
 
@@ -15,3 +19,21 @@ def held(spark, texts, items):
 def test_number_dense_items(spark):
     texts = ["So: " + SUM + " Well", SUM.replace("12", "7").replace("90", "4"), "What is 1 + 2?", "rows 1 2 3 4 5 6 7 8 9", "x 11 12 13 14 15 16 17 y"]
     assert held(spark, texts, [SUM, "11 12 13 14 15 16"]) == [[0], [0], [], [], [1]]
+
+
+@pytest.mark.parametrize("lead", ["", "so ", "It begins.\n", "Q: "])
+def test_names_at_starts(spark, lead):
+    other = APPLES.replace("Alice", "Zoe").replace("Bob", "Ivan").replace("5", "41").replace("3", "8")
+    same = APPLES.replace("5", "4").replace("3", "4")  # two values become one
+    two = APPLES.replace("Alice", "Bob", 1)
+    split = "Alice has 5 apples. Alice has 5 pears and 5 plums, how many does Alice have"
+    torn = split.replace("5 pears", "6 pears")
+    texts = [lead + other, lead + same, lead + two, lead + torn, lead + APPLES.lower()]
+    assert held(spark, texts, [APPLES, split]) == [[0], [0], [0], [], [0]]
+
+
+def test_unspaced_scripts(spark):
+    item = "小明有五个苹果他吃了两个还剩几个"
+    assert held(spark, ["前面的话" + item + "后面的话", "小明去学校", "ก" + "ประเทศไทยมีกี่จังหวัด"], [item, "ประเทศไทยมีกี่จังหวัด"]) == [[0], [], [1]]
+    tokens = spark.range(1).select(decontaminate.surface_tokens(F.lit("日本のTokyo 12")).alias("t")).first().t
+    assert [t.strip(decontaminate.START) for t in tokens] == ["日", "本", "の", "Tokyo", "12"]

@@ -24,7 +24,10 @@ UNITS = "kg|mg|g|km|cm|mm|m|miles?|feet|ft|inch(?:es)?|l|ml|litres?|liters?|hour
 NAME, UNIT, START = "\ue000", "\ue001", "\ue002"
 _MARKS = f"[{NAME}{UNIT}{START}]"
 _NUMBER = r"\d+(?:[.,]\d+)*"
-_TOKEN = rf"{_MARKS}?\p{{L}}[\p{{L}}\p{{M}}'’]*|{_NUMBER}|[%$€£°]"
+# Scripts written without spaces: each character is a token.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_LETTER = rf"[\p{{L}}&&[^{_UNSPACED}]]"
+_TOKEN = rf"[\p{{L}}&&[{_UNSPACED}]]\p{{M}}*|{_MARKS}?{_LETTER}(?:{_LETTER}|[\p{{M}}'’])*|{_NUMBER}|[%$€£°]"
 
 
 def surface_tokens(text: Column) -> Column:
@@ -36,6 +39,7 @@ def surface_tokens(text: Column) -> Column:
     text = F.regexp_replace(text, _MARKS, "")
     text = F.regexp_replace(text, rf"(?<=\d)( ?)((?:{UNITS})(?![\p{{L}}\p{{N}}]))", f" {UNIT}$2")
     text = F.regexp_replace(text, r"(?<=[\p{Ll}\p{Nd},;] )(?=\p{Lu}\p{Ll})", NAME)
+    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{M}}'’{NAME}{UNIT}{START}])(?=\p{{Lu}}\p{{Ll}})", START)
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
@@ -165,9 +169,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     tokens = rows.select("doc_id", *row_key(F.col("text")), surface_tokens(F.col("text")).alias("tokens"))
     hashes = hashed_tokens(tokens).select(*key, *FORMS)
     found = None
-    for form, n in kinds:
-        own = windows(hashes, form, n, "pos", *key)
-        own = own.join(listed.where((F.col("form") == form) & (F.col("width") == n)).select("hash", "item", "at"), "hash")
+    for n in sorted({width for _, width in kinds}):
+        # All forms of a window are looked up together: a name of the document may stand where the item has a start.
+        used = [f for f in FORMS if (f, n) in kinds]
+        wanted = [f for f in FORMS if f in used or (f != "exact" and used != ["exact"])]
+        each = F.arrays_zip(*(window_hashes(F.col(f), n).alias(f) for f in wanted))
+        own = hashes.select(*key, F.posexplode(each).alias("pos", "forms"))
+        own = own.select(*key, "pos", F.explode(F.array_distinct(F.array(*(F.col("forms")[f] for f in wanted)))).alias("hash"))
+        own = own.join(listed.where(F.col("width") == n).select("hash", "item", "at"), "hash")
         found = own if found is None else found.unionByName(own)
     if found is None:
         return rows.select("doc_id", *row_key(F.col("text")), F.array().cast("array<bigint>").alias("item_ids")).limit(0)
