@@ -32,11 +32,17 @@ SENSITIVE = {
 THRESHOLD = 1.0  # of sensitivity plus randomness
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,100}"
+_OPEN = rf"(?P<quote>[\"']?)(?P<name>{_NAME})(?P=quote)[\x20\t]*(?::=|=>|[:=])[\x20\t]*"
+# Literals to their real end. Possessive repeats keep the search linear in the text.
 PAIR = re.compile(
-    rf"(?P<quote>[\"']?)(?P<name>{_NAME})(?P=quote)[\x20\t]*(?::=|=>|[:=])[\x20\t]*"
-    rf"(?:\"(?P<double>[^\"\n\\]{{1,4096}})\"|'(?P<single>[^'\n\\]{{1,4096}})'|(?P<other>{_NAME})(?![^\s;,)#}}\]])|(?P<bare>[^\s\"',;#(){{}}\[\]]{{1,4096}}))",
+    rf"{_OPEN}(?:\"\"\"(?P<triple>(?:[^\"\\]|\\[\s\S]|\"(?!\"\"))*+)\"\"\"|'''(?P<triple1>(?:[^'\\]|\\[\s\S]|'(?!''))*+)'''"
+    r"|\"(?P<double>(?:[^\"\n\\]|\\[\s\S])++)\"|'(?P<single>(?:[^'\n\\]|\\[\s\S])++)'"
+    r"|(?P<pem>-----BEGIN[\x20][^\n-]+-----[\s\S]*?-----END[\x20][^\n-]+-----)"
+    r"|[|>][+-]?[0-9]?[\x20\t]*\n(?P<block>(?P<indent>[\x20\t]+)[^\n]+(?:\n(?:(?P=indent)[^\n]*|[\x20\t]*(?=\n)))*)"
+    rf"|(?P<other>{_NAME})(?![^\s;,)#}}\]])|(?P<bare>[^\s\"',;#(){{}}\[\]]++))",
     re.ASCII,
 )
+LITERALS = ("triple", "triple1", "double", "single", "pem", "block", "bare")
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 FOUND = T.ArrayType(
@@ -93,7 +99,7 @@ def literal_spans(text: str) -> list[tuple]:
             aliases.setdefault(m["other"].lower(), set()).add(m["name"])
             kind = "other"
         else:
-            kind = next(k for k in ("double", "single", "bare") if m[k] is not None)
+            kind = next(k for k in LITERALS if m[k] is not None)
         # A bare word may be a value as well as another name; only values that look random pass later.
         if kind != "other" or any(c.isdigit() for c in m["other"]):
             literals.append((m["name"], m.start(kind), m.end(kind)))
@@ -108,7 +114,7 @@ def literal_spans(text: str) -> list[tuple]:
         target = max(sorted(reached), key=sensitivity)
         weight = sensitivity(target)
         value = text[start:end]
-        if weight and " " not in value.strip() and not value.startswith(("http://", "https://", "${")):
+        if weight and not value.startswith(("http://", "https://", "${")):
             score = weight + randomness(value)
             if score > THRESHOLD and randomness(value) >= 0.45:
                 found.append(("literal", start, end, start, target, round(score, 6)))
