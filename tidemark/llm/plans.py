@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, languages, licences, mixing, packing, pii, secrets, simhash, topk, urls
+from tidemark.llm import alignment, decontaminate, languages, licences, mixing, packing, pii, secrets, simhash, topk, urls
 from tidemark.llm.common import held_out, learnable, table
 
 
@@ -105,6 +105,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def aligners(first: str = "byte_bpe_50k", second: str = "piece_bpe_32k") -> tuple[str, str, str, str]:
+    """Arguments of ``alignment.Pair``: files of the installed public vocabularies."""
+    import public_tokenizers
+
+    return (*tokenizer(first), public_tokenizers.path(f"{second}.model"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"), aligners())
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -120,4 +131,5 @@ QUERIES = {
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
     "op10_urls": (op10_urls, None),
+    "op12_alignment": (op12_alignment, None),
 }
