@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -34,3 +35,21 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 def small_or_plain(stored: DataFrame, most: int = 1_000_000) -> DataFrame:
     """A stored table of a few narrow columns, marked for broadcast when its rows are counted and few."""
     return F.broadcast(stored) if stored.count() <= most else stored
+
+
+def _bytes_of(column: Column, kind: T.DataType) -> Column:
+    """About how much memory a value takes."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        element = kind.elementType
+        width = 16 + 8 * len(element.fields) if isinstance(element, T.StructType) else 8
+        return F.greatest(F.size(column), F.lit(0)) * width + 24
+    return F.lit(8)
+
+
+def table_within(stored: DataFrame, mb: int) -> DataFrame:
+    """A stored table of numbers, strings and flat arrays of numbers, marked for broadcast when its values take at most ``mb`` MB."""
+    total = sum((_bytes_of(F.col(f.name), f.dataType) for f in stored.schema.fields), F.lit(16))
+    size = stored.agg(F.sum(total.cast("long"))).first()[0] or 0
+    return F.broadcast(stored) if size <= mb << 20 else stored

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, decontaminate, languages, licences, mixing, packing, pii, secrets, simhash, topk, urls
+from tidemark.llm import alignment, decontaminate, languages, lexical, licences, mixing, packing, pii, secrets, simhash, topk, urls
 from tidemark.llm.common import held_out, learnable, table
 
 
@@ -105,6 +105,31 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS_SQL} AS terms FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, {_TERMS_SQL} AS terms FROM benchmark),
+size AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0),
+asked AS (SELECT i, term, count(*) AS times FROM (SELECT i, unnest(terms) AS term FROM items) GROUP BY ALL),
+postings AS (SELECT d, term, count(*)::BIGINT AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, size GROUP BY term
+), placed AS (SELECT d, doc_id, 75 + (25 * len(terms)::BIGINT * n_docs) // n_terms AS m FROM docs, size),
+scored AS (
+  SELECT i, d, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN placed USING (d) GROUP BY i, d
+), ranked AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scored JOIN docs USING (d) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 20
+"""
+
+
 def aligners(first: str = "byte_bpe_50k", second: str = "piece_bpe_32k") -> tuple[str, str, str, str]:
     """Arguments of ``alignment.Pair``: files of the installed public vocabularies."""
     import public_tokenizers
@@ -131,5 +156,6 @@ QUERIES = {
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
     "op10_urls": (op10_urls, None),
+    "op11_lexical": (op11_lexical, OP11_SQL),
     "op12_alignment": (op12_alignment, None),
 }
