@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, decontaminate, languages, lexical, licences, mixing, packing, pii, secrets, simhash, topk, urls
+from tidemark.llm import alignment, decontaminate, languages, lexical, licences, mixing, multi_index, packing, pii, secrets, simhash, topk, urls
 from tidemark.llm.common import held_out, learnable, table
 
 
@@ -141,6 +141,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_documents(table(spark, sf_dir, "documents"), aligners())
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -158,4 +162,5 @@ QUERIES = {
     "op10_urls": (op10_urls, None),
     "op11_lexical": (op11_lexical, OP11_SQL),
     "op12_alignment": (op12_alignment, None),
+    "op13_nearest": (op13_nearest, None),
 }
