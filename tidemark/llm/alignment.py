@@ -20,7 +20,7 @@ from tidemark.session import keep
 
 LANE_WORDS = 128  # words of one lane
 SLICE_BYTES = 2_000_000  # text aligned at once; a longer document is a slice by itself
-CACHE_WORDS, CACHE_BYTES = 60_000, 8_000_000  # words kept with their ids
+CACHE_WORDS, CACHE_BYTES = 150_000, 20_000_000  # words kept with their ids, and as many of those before
 LINKS = 2_000_000  # links spelled out at once
 TABLE_PAIRS = 2_000_000  # id pairs whose counts every task holds: 12 bytes each
 B_BITS = 15  # ids of the second tokenizer are below 2^15, a pair fits 32 bits
@@ -40,23 +40,29 @@ class Pair:
     """Both tokenizers over words, with the byte length of every id."""
 
     def __init__(self, json_path: str, ranks_path: str | None, pattern: str | None, piece_path: str):
+        import base64
         import re
 
         import numpy as np
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
-        from tidemark.llm.packing import encoder
-
         self.plain = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
         self.plain.encode_special_tokens = True
-        self.fast = encoder(json_path, ranks_path, pattern)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        self.fast = None
+        if ranks_path:  # the same vocabulary for a faster encoder, for words of Latin letters, digits and ASCII signs
+            with open(ranks_path, "rb") as file:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+            self.fast = tiktoken.Encoding("alignment", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.simple = re.compile("[!-~\u00a1-\u017f]+").fullmatch
+        self.line_end = self.plain.encode("\n", add_special_tokens=False).ids[0]
         alphabet = _byte_alphabet()
         self.a_bytes = [b""] * self.plain.get_vocab_size()
         for entry, i in self.plain.get_vocab().items():
-            self.a_bytes[i] = bytes(map(alphabet.__getitem__, entry)) if entry not in self.special else entry.encode()
+            self.a_bytes[i] = bytes(map(alphabet.__getitem__, entry)) if entry not in special else entry.encode()
         named = [self.pieces.id_to_piece(i) for i in range(self.pieces.vocab_size())]
         byte = re.compile("<0x([0-9A-F]{2})>").fullmatch
         self.b_bytes = [bytes.fromhex(m[1]) if (m := byte(p)) else p.replace("▁", " ").encode() for p in named]
@@ -64,33 +70,61 @@ class Pair:
         self.a_sizes = np.array(list(map(len, self.a_bytes)), np.int64)
         self.b_sizes = np.array(list(map(len, self.b_bytes)), np.int64)
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.before: dict[str, tuple[bytes, bytes] | None] = {}
         self.held = 0
 
-    def learn(self, words: list[str]) -> None:
+    def _first(self, words: list[str]):
+        """Ids of A for a space and each word: flat, and how many each word has."""
+        import numpy as np
+
+        if self.fast and all(map(self.simple, words)):
+            # One call for many: a line end is a token of its own between words, and no word has one.
+            flat = np.array(self.fast.encode_ordinary(" " + "\n ".join(words)), np.int64)
+            marks = np.flatnonzero(flat == self.line_end)
+            return np.delete(flat, marks), np.diff(np.concatenate(([-1], marks, [len(flat)]))) - 1
+        found = [e.ids for e in self.plain.encode_batch([" " + w for w in words], add_special_tokens=False)]
+        return np.fromiter((i for ids in found for i in ids), np.int64), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _learn(self, words: list[str]) -> None:
+        from itertools import chain
+
         import numpy as np
 
-        spaced = [" " + w for w in words]
-        first = self.fast(spaced)
-        for i, w in enumerate(spaced):
-            if any(s in w for s in self.special):
-                first[i] = np.array(self.plain.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        second = self.pieces.encode(words, num_threads=1) if words else []
-        for word, a, b in zip(words, first, second, strict=True):
-            ids = np.frombuffer(a, "<u4")
-            b = b if word else [self.blank]
-            said = b"".join(map(self.b_bytes.__getitem__, b))
-            whole = said == (" " + word).encode() == b"".join(map(self.a_bytes.__getitem__, ids.tolist()))
-            self.known[word] = (ids.astype("<u2").tobytes(), np.array(b, "<u2").tobytes()) if whole else None
-            self.held += len(word) + 2 * (len(ids) + len(b))
+        a, a_counts = self._first(words)
+        found = self.pieces.encode(words, num_threads=1)
+        found = found if all(words) else [ids if w else [self.blank] for w, ids in zip(words, found, strict=True)]
+        b, b_counts = np.fromiter(chain.from_iterable(found), np.int64), np.fromiter(map(len, found), np.int64, len(found))
+        spoken = [b" " + w.encode() for w in words]
+        sizes = np.fromiter(map(len, spoken), np.int64, len(spoken))
+        a_ends, b_ends = np.append(0, np.cumsum(a_counts)), np.append(0, np.cumsum(b_counts))
+        said = b"".join(spoken)
+        whole = True
+        for ids, ends, table, lengths in ((a, a_ends, self.a_bytes, self.a_sizes), (b, b_ends, self.b_bytes, self.b_sizes)):
+            upto = np.append(0, np.cumsum(lengths[ids]))
+            whole &= bool((np.diff(upto[ends]) == sizes).all()) and b"".join(map(table.__getitem__, ids.tolist())) == said
+        a_raw, b_raw = a.astype("<u2").tobytes(), b.astype("<u2").tobytes()
+        a_cut, b_cut = (2 * a_ends).tolist(), (2 * b_ends).tolist()
+        pairs = list(zip(map(a_raw.__getitem__, map(slice, a_cut, a_cut[1:])), map(b_raw.__getitem__, map(slice, b_cut, b_cut[1:])), strict=True))
+        if not whole:  # some word is not spelled by its ids
+            for i, word in enumerate(spoken):
+                parts = ((a, a_ends, self.a_bytes), (b, b_ends, self.b_bytes))
+                if any(b"".join(map(table.__getitem__, ids[ends[i] : ends[i + 1]].tolist())) != word for ids, ends, table in parts):
+                    pairs[i] = None
+        self.known.update(zip(words, pairs, strict=True))
+        self.held += len(said) + len(a_raw) + len(b_raw)
 
     def words_of(self, lists: list[list[str]]) -> None:
-        """Make every word of these documents known."""
+        """Make every word of these documents known; words not met for a while are forgotten."""
         if len(self.known) > CACHE_WORDS or self.held > CACHE_BYTES:
-            self.known.clear()
-            self.held = 0
-        missing = sorted(set().union(*lists).difference(self.known))
-        for at in range(0, len(missing), 20_000):
-            self.learn(missing[at : at + 20_000])
+            self.known, self.before, self.held = {}, self.known, 0
+        missing = set().union(*lists).difference(self.known)
+        again = missing.intersection(self.before)
+        self.known.update(zip(again, map(self.before.__getitem__, again), strict=True))
+        missing = list(missing.difference(again))
+        simple = [w for w in missing if self.simple(w)]
+        for some in (simple, [w for w in missing if not self.simple(w)]):
+            for at in range(0, len(some), 20_000):
+                self._learn(some[at : at + 20_000])
 
 
 def splitter():
