@@ -17,16 +17,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table_within
-from tidemark.session import keep
+from tidemark.session import keep, new_folder
 
-BLOCK_POSTINGS = 400_000  # of one block, as expected; a document with more of them is a block by itself
+BLOCK_POSTINGS = 100_000  # of one block, as expected; a document with more of them is a block by itself
+BLOCKS_A_FILE = 32  # readers take a file's blocks together
 ASKED = 1_000_000  # (item, term) rows searched at once, as expected; more items are searched in further passes
 FIRST_VISITS, GROWTH = 4, 8  # strata of the first round, and how much further each next round goes
 
 TERMS = "doc_id bigint, n bigint, words binary, counts binary"
 BLOCK = (
     "m bigint, block int, n_docs bigint, n_terms bigint, docs array<bigint>, terms array<string>, "
-    "of_term array<int>, tf array<bigint>, size array<int>, members array<int>"
+    "of_term array<int>, tf array<int>, size array<int>, members array<int>"
 )
 HITS = "item bigint, score bigint, doc_id bigint"
 
@@ -88,7 +89,7 @@ def _inverted(table):
         listed(docs, pa.int64()),
         listed(coded.dictionary.cast(pa.string()), pa.string()),
         listed(term[first], pa.int32()),
-        listed(tf[first], pa.int64()),
+        listed(tf[first], pa.int32()),
         listed(size, pa.int32()),
         listed(member, pa.int32()),
     ]
@@ -110,7 +111,10 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_pos
     # The lengths of all documents add up to L, so there are no more than sqrt(50 N) + 1 strata.
     strata = keep(placed.groupBy("m").agg(F.ceil(postings / block_postings).cast("int").alias("parts")), "lexical-strata")
     dealt = placed.join(table_within(strata, 16), "m").select("doc_id", "n", "words", "counts", "m", F.pmod(F.xxhash64("row"), "parts").cast("int").alias("block"))
-    return keep(dealt.repartitionByRange("m", "block").groupBy("m", "block").applyInArrow(_inverted, BLOCK), "lexical-index")
+    blocks = dealt.repartitionByRange("m", "block").groupBy("m", "block").applyInArrow(_inverted, BLOCK)
+    path = new_folder(docs.sparkSession, "lexical-index")
+    blocks.write.option("maxRecordsPerFile", BLOCKS_A_FILE).parquet(path)
+    return docs.sparkSession.read.schema(blocks.schema).parquet(path)
 
 
 def _occurring(vocabulary):
@@ -188,6 +192,7 @@ def _scored(vocabulary, items, terms, weights, k):
                 none, ids = np.asarray(docs.is_null()), docs.fill_null(0).to_numpy()
                 at = pc.index_in(batch.column("terms")[r].values, asked).fill_null(-1).to_numpy(zero_copy_only=False)
                 of_term, tf, size, members = (np.asarray(batch.column(c)[r].values) for c in ("of_term", "tf", "size", "members"))
+                tf = tf.astype(np.int64)
                 impact = 1_000_000_000 * tf // (1000 * tf + 12 * m)  # once for each term and tf
                 ends = np.append(0, np.cumsum(size))
                 group = np.searchsorted(of_term, np.arange(len(at) + 1))  # a term's groups are neighbours
