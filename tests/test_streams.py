@@ -10,6 +10,7 @@ from tidemark.session import new_folder
 from tidemark.sources import fixtures, readers, wire
 from tidemark.streaming import native
 from tidemark.streaming.billing import BillingStream
+from tidemark.streaming.checkpoints import batch_log, committed_offsets, offsets_moved
 from tidemark.streaming.progress import ProgressTable
 from tidemark.streaming.purchases import SpendStream
 
@@ -54,8 +55,8 @@ def test_staged_billing(spark):
     assert (str(r.reported_fee), r.reported_count, str(r.fee_delta), r.count_delta) == ("153.00", 18, "0.00", 0)
     assert partition_coverage(audit, 16).where("rows = 0").count() == 0
 
-    compacted = job.reports.compact(spark, new_folder(spark, "compacted"))
-    assert totals(compacted.view(spark)) == totals(job.reports.view(spark))
+    before = totals(job.reports.view(spark))
+    assert job.reports.fold(spark) and totals(job.reports.view(spark)) == before
 
 
 def crash_orders(spark, at, money):
@@ -90,8 +91,9 @@ def test_resume_after_failure(spark, at, money):
     run(spark, root, job)
     final = job.reports.view(spark).collect()
     assert [(str(r.total_fee), r.event_count) for r in final] == [("26.50", 4)]
-    for log in (job.audit, job.rejected, job.reports):
-        assert duplicate_keys(log.view(spark), *log.keys).first().duplicates == 0
+    for table in (job.audit, job.rejected, job.reports):
+        assert duplicate_keys(table.view(spark), *table.keys).first().duplicates == 0
+        assert table.repeated(spark).count() == 0
     assert job.audit.view(spark).count() == 4
 
 
@@ -140,32 +142,28 @@ def test_native_windows_close_once_and_stores_agree(spark, at, money, store):
 
 
 def test_native_correction_and_progress_table(spark):
-    root, metrics = new_folder(spark, "update"), new_folder(spark, "progress")
-    listener = ProgressTable(spark, metrics)
-    spark.streams.addListener(listener)
-    said = []
-    try:
+    root, said = new_folder(spark, "update"), []
+    with ProgressTable(spark, new_folder(spark, "progress"), every=2) as reports:
         for phase in fixtures.PHASES:
             rows = fixtures.billing_phase(spark, phase).drop("offset")
             land(root, rows)
             said.append(native_run(spark, root, rows, "update", native.corrected_windows, "x"))
-    finally:
-        import time
-
-        deadline = time.time() + 20
-        while time.time() < deadline:
-            try:
-                if spark.read.schema(schemas.METRIC).parquet(metrics).where("metric = 'late_rows_dropped' and value > 0").count():
-                    break
-            except PySparkException:
-                pass
-            time.sleep(0.5)
-        spark.streams.removeListener(listener)
     corrected = [r for r in said[1] if r.customer_id == "customer-00"]
     assert [(str(r.total_fee), r.event_count) for r in corrected] == [("18.00", 3)]
     assert not [r for r in said[3] if r.window_start.minute == 0]
-    seen = spark.read.schema(schemas.METRIC).parquet(metrics)
+    seen = reports.table()
     assert seen.where("metric = 'late_rows_dropped'").agg(F.max("value")).first()[0] == 1.0
+    assert seen.where("metric = 'input_rows'").agg(F.sum("value")).first()[0] == sum(fixtures.billing_phase(spark, p).count() for p in fixtures.PHASES)
+
+
+def test_session_windows_on_a_stream(spark, at, money):
+    rows = spark.createDataFrame(
+        [(c, 0, i, money(f), at(t)) for i, (c, f, t) in enumerate([("a", "1", "12:00:00"), ("a", "2", "12:01:59"), ("a", "4", "12:04:00"), ("b", "8", "12:01:00"), ("z", "0", "13:00:00")])], FEES
+    )
+    root = new_folder(spark, "sessions")
+    land(root, rows)
+    found = native_run(spark, root, rows, "append", lambda s: native.session_fees(s, "2 minutes", "10 seconds"), "x")
+    assert sorted((r.customer_id, str(r.total_fee), r.event_count, r.session_end.minute) for r in found) == [("a", "3.00", 2, 3), ("a", "4.00", 1, 6), ("b", "8.00", 1, 3)]
 
 
 def test_saved_state_moves_to_a_new_revision(spark, at, money):
@@ -194,8 +192,10 @@ def test_spend_stream_rows_and_table(spark, at, money):
         land(root, wire.encode_purchases(spark.createDataFrame(rows, schema)))
         run(spark, root, job)
     assert sorted((r.customer_id, str(r.amount)) for r in job.customer_spend(spark).collect()) == [("alice", "32.50"), ("bob", "8.00")]
-    out = job.per_row(wire.encode_purchases(spark.createDataFrame(second, schema)), 1).orderBy("arrival").collect()
-    assert [(r.customer_id, r["product"], str(r.amount)) for r in out] == [("alice", "running-total", "32.50"), ("bob", "Note", "8.00")]
+    records = readers.record_stream(spark, f"{root}/landing", max_files=1)
+    job.start_running(records, f"{root}/checkpoint-rows", available_now=True).awaitTermination()
+    out = job.running(spark).orderBy("arrival").collect()
+    assert [(r.customer_id, r["product"], str(r.amount)) for r in out] == [("alice", "Book", "12.50"), ("alice", "running-total", "32.50"), ("bob", "Note", "8.00")]
 
 
 def test_native_join_and_dedup(spark, at, money):
@@ -231,3 +231,57 @@ def test_console_sink_prints_and_stops(spark):
         assert query.lastProgress["numInputRows"] == 1
     finally:
         query.stop()
+
+
+def bad_records(spark, at, money):
+    good = wire.encode_orders(crash_orders(spark, at, money))
+    bodies = ["{oops", '{"customerId":"zoe","fee":"1.00","occurredAt":"2026-07-30T12:01:00.000000Z"}', '{"sequence":7,"occurredAt":"2026-07-30T12:01:00.000000Z"}']
+    rows = [(None, bytearray(b.encode()), "t", 5, 100 + i, at("12:01:00")) for i, b in enumerate(bodies)]
+    return good.unionByName(spark.createDataFrame(rows, good.schema))
+
+
+def test_incomplete_records_go_to_quarantine(spark, at, money):
+    root = new_folder(spark, "lenient")
+    job = BillingStream(root, idle_us=None, strict=False)
+    land(root, bad_records(spark, at, money))
+    run(spark, root, job)
+    held = {r.offset: (r.reason, bytes(r.value)[:5]) for r in job.quarantine.view(spark).collect()}
+    assert held == {100: ("undecodable", b"{oops"), 101: ("without sequence", b'{"cus'), 102: ("without customer_id,fee", b'{"seq')}
+    assert job.audit.view(spark).count() == 4 and job.reports.view(spark).where("customer_id is null").count() == 0
+
+
+@pytest.mark.parametrize("which", [100, 101, 102])
+def test_incomplete_records_fail_a_strict_job(spark, at, money, which):
+    root = new_folder(spark, "strict")
+    land(root, bad_records(spark, at, money).where((F.col("offset") < 100) | (F.col("offset") == which)))
+    with pytest.raises(PySparkException):
+        run(spark, root, BillingStream(root, idle_us=None))
+
+
+def test_a_purchase_without_a_customer_fails_the_job(spark):
+    root = new_folder(spark, "strict-purchases")
+    body = bytearray(b'{"product":"Book","amount":1.00,"occurredAt":"2026-01-01T00:00:00.000000Z"}')
+    land(root, spark.createDataFrame([(None, body, "t", 0, 1, None)], schemas.RECORD))
+    with pytest.raises(PySparkException):
+        run(spark, root, SpendStream(root))
+
+
+def test_logs_show_a_reset_checkpoint(spark, at, money):
+    orders, root = crash_orders(spark, at, money), new_folder(spark, "reset")
+    job = BillingStream(root, partitions=2, idle_us=None)
+    for part in (F.col("offset") == 0, F.col("offset") > 0):
+        land(root, wire.encode_orders(orders.where(part)))
+        run(spark, root, job)
+    log = batch_log(spark, f"{root}/checkpoint")
+    assert [(r.batch_id, r.committed) for r in log.orderBy("batch_id").collect()] == [(0, True), (1, True)]
+    assert all("logOffset" in r.offsets[0] for r in log.collect())
+    held = [(r.source_partition, r.committed_offset) for r in committed_offsets(job.arrivals(spark), log).collect()]
+    assert sorted(held) == [(0, 2), (1, 0)]
+    before = spark.createDataFrame(held, "source_partition int, committed_offset bigint")
+    assert batch_log(spark, f"{root}/none").count() == 0
+    # The job starts again from nothing: its first batch stands in for all that was committed.
+    again = BillingStream(new_folder(spark, "reset-again"), partitions=2, idle_us=None)
+    land(again.root, wire.encode_orders(orders.where("offset = 0")))
+    run(spark, again.root, again)
+    moved = offsets_moved(before, committed_offsets(again.arrivals(spark), batch_log(spark, f"{again.root}/checkpoint")))
+    assert {r.source_partition: (r.regressed, r.advanced) for r in moved.collect()} == {0: (True, False), 1: (False, False)}

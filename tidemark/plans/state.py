@@ -1,17 +1,13 @@
-"""Expiring carts and recovery evidence."""
+"""Expiring carts."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tidemark.operators.carts import cart_snapshots, carts_left
-from tidemark.operators.quality import duplicate_keys
-from tidemark.plans.inputs_sql import CARTS, FEE_EVENTS
+from tidemark.plans.inputs_sql import CARTS
 from tidemark.plans.registry import query
-from tidemark.session import new_folder
 from tidemark.sources import tables
-from tidemark.sources.sinks import KeyedLog
-from tidemark import schemas
 
 TTL_MS = 24 * 3_600_000
 
@@ -75,38 +71,3 @@ def cart_resumed(spark, sf):
     first = cart_snapshots(activity.where(F.col("arrival") <= half), TTL_MS)
     second = cart_snapshots(activity.where(F.col("arrival") > half), TTL_MS, seeds=carts_left(first))
     return _shown(first.unionByName(second))
-
-
-@query("resume_sinks", "SELECT CAST(0 AS BIGINT) AS duplicates, count(*) AS rows FROM events")
-def resume_sinks(spark, sf):
-    """A batch written, then replayed after a crash, leaves one row per key."""
-    audit = KeyedLog(new_folder(spark, "resume-audit"), schemas.AUDIT, ("source_partition", "sequence_number"))
-    rows = tables.fee_events(spark, sf).withColumnRenamed("sequence", "sequence_number")
-    half = rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")
-    audit.write(half[0], 0)
-    audit.write(half[1], 1)
-    audit.write(half[1], 1)
-    view = audit.view(spark)
-    stored = audit.history(spark).agg(F.count(F.lit(1))).scalar()
-    return duplicate_keys(view, "source_partition", "sequence_number").withColumn("rows", stored)
-
-
-@query("offset_progress", f"""WITH {FEE_EVENTS}, half AS (SELECT max(arrival_batch) // 2 AS h FROM fee_events),
-  b AS (SELECT source_partition, max("offset") AS before_offset FROM fee_events, half WHERE arrival_batch <= h GROUP BY 1),
-  a AS (SELECT source_partition, max("offset") AS after_offset FROM fee_events GROUP BY 1)
-  SELECT source_partition, before_offset, after_offset, after_offset < before_offset AS regressed, after_offset > before_offset AS advanced
-  FROM a LEFT JOIN b USING (source_partition)""")
-def offset_progress(spark, sf):
-    """Committed offsets before a failure and after the recovery, per partition."""
-    fees = tables.fee_events(spark, sf)
-    half = fees.agg(F.expr("max(arrival_batch) div 2")).scalar()
-    per = fees.groupBy("source_partition").agg(
-        F.max(F.when(F.col("arrival_batch") <= half, F.col("offset"))).alias("before_offset"),
-        F.max("offset").alias("after_offset"),
-    )
-    return per.withColumns(
-        {
-            "regressed": F.col("after_offset") < F.col("before_offset"),
-            "advanced": F.col("after_offset") > F.col("before_offset"),
-        }
-    )

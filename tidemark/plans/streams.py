@@ -9,18 +9,19 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tidemark import schemas
-from tidemark.operators.purchases import current_spend
-from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.scan import HOUR_US
 from tidemark.operators.windows import fee_merge, windowed_fees
 from tidemark.plans.inputs_sql import CLASSIFIED, FEE_EVENTS, HOUR, PURCHASES, watermarks
 from tidemark.plans.registry import query
-from tidemark.session import new_folder
+from tidemark.plans.state import TTL_MS, cart_sql
+from tidemark.session import keep, new_folder
 from tidemark.sources import readers, sinks, tables, wire
 from tidemark.streaming import native
 from tidemark.streaming.billing import BillingStream
-from tidemark.streaming.progress import progress_rows
+from tidemark.streaming.checkpoints import batch_log, committed_offsets, offsets_moved
+from tidemark.streaming.processors import cart_stream as cart_stream_rows
+from tidemark.streaming.processors import state_store
+from tidemark.streaming.progress import ProgressTable
 from tidemark.streaming.purchases import SpendStream
 
 STAGES = 4
@@ -110,33 +111,68 @@ def stream_watermarks(spark, sf):
 
 
 def spend_run(spark, sf) -> SpendStream:
+    """Purchases land in six files and are read one file a batch, by both queries of the job."""
+
     def run():
         root = new_folder(spark, "spend")
-        job = SpendStream(root)
+        job = SpendStream(root, buckets=4)
         raw = tables.purchases(spark, sf)
-        half = raw.agg(F.expr("max(arrival) div 2")).scalar()
-        for part in (F.col("arrival") <= half, F.col("arrival") > half):
-            wire.encode_purchases(raw.where(part)).write.mode("append").parquet(f"{root}/landing")
-            records = readers.record_stream(spark, f"{root}/landing")
-            job.start(records, f"{root}/checkpoint", available_now=True).awaitTermination()
+        records = wire.encode_purchases(raw)
+        sixth = raw.agg(F.expr("max(arrival) div 6 + 1")).scalar()
+        for part in range(6):
+            chosen = records.where(F.floor(F.col("offset") / sixth) == part)
+            chosen.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        for start, checkpoint in ((job.start, "totals"), (job.start_running, "rows")):
+            stream = readers.record_stream(spark, f"{root}/landing", max_files=1)
+            start(stream, f"{root}/checkpoint-{checkpoint}", available_now=True).awaitTermination()
         return job
 
     return _once(spark, sf, "spend", run)
 
 
 _SPEND = f"""WITH {PURCHASES} SELECT customer_id, CAST(sum(amount) AS DOUBLE) AS amount, arg_max(occurred_at, arrival) AS updated_at FROM valid GROUP BY 1"""
+_RUNNING = f"""WITH {PURCHASES} SELECT arrival, customer_id, CASE WHEN row_number() OVER w = 1 THEN product ELSE 'running-total' END AS product,
+  CAST(sum(amount) OVER w AS DOUBLE) AS amount, occurred_at FROM valid WINDOW w AS (PARTITION BY customer_id ORDER BY arrival ROWS UNBOUNDED PRECEDING)"""
 
 
 @query("upsert_spend", _SPEND)
 def upsert_spend(spark, sf):
+    """Totals kept in the stream's state over six batches, upserted batch by batch."""
     return spend_run(spark, sf).customer_spend(spark)
 
 
-@query("src_purchase_stream", _SPEND)
+@query("running_spend_stream", _RUNNING)
+def running_spend_stream(spark, sf):
+    """One row per purchase from a state of one's own, the arrivals split over six batches."""
+    return spend_run(spark, sf).running(spark)
+
+
+@query("src_purchase_stream", f"WITH {PURCHASES} SELECT arrival, customer_id, product, CAST(amount AS DOUBLE) AS amount, occurred_at FROM valid")
 def src_purchase_stream(spark, sf):
-    """The landed purchase records, decoded and cleaned, against the same totals."""
-    job = spend_run(spark, sf)
-    return current_spend(job.cleaned(spark.read.parquet(f"{job.root}/landing")))
+    """What the stream read: every landed purchase once, decoded and cleaned."""
+    job, root = spend_run(spark, sf), new_folder(spark, "purchases")
+    rows = job.cleaned(readers.record_stream(spark, f"{job.root}/landing", max_files=2))
+    _run_to_end(rows, f"{root}/checkpoint", "append", "parquet", path=f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select("arrival", "customer_id", "product", "amount", "occurred_at")
+
+
+def _cart_rows(spark, sf, refresh: str):
+    root = new_folder(spark, "cart-stream")
+    rows = tables.cart_activity(spark, sf)
+    quarter = rows.agg(F.expr("max(arrival) div 4 + 1")).scalar()
+    for part in range(4):
+        rows.where(F.floor(F.col("arrival") / quarter) == part).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    with state_store(spark):
+        carts = cart_stream_rows(readers.table_stream(spark, f"{root}/landing", rows.schema, max_files=1), TTL_MS, refresh)
+        _run_to_end(carts, f"{root}/checkpoint", "append", "parquet", path=f"{root}/out")
+    shown = spark.read.parquet(f"{root}/out").select("arrival", "customer_id", "total", "count", "fresh")
+    return shown.withColumn("refresh", F.lit(refresh))
+
+
+@query("cart_stream", f"SELECT *, 'write' AS refresh FROM ({cart_sql('NOT probe')}) UNION ALL SELECT *, 'read_write' AS refresh FROM ({cart_sql('true')})")
+def cart_stream(spark, sf):
+    """Expiring carts on keyed state with event-time timers, four batches, for both ways of refreshing."""
+    return _cart_rows(spark, sf, "write").unionByName(_cart_rows(spark, sf, "read_write"))
 
 
 @query("src_replay", f"WITH {FEE_EVENTS} SELECT event_id, customer_id, CAST(fee AS DOUBLE) AS fee FROM fee_events")
@@ -166,32 +202,74 @@ class FailsAfterWriting(BillingStream):
             raise RuntimeError("injected failure")
 
 
+def crash_run(spark, sf):
+    """A job whose second batch fails after its writes and is resumed; with the committed offsets at the failure."""
+
+    def run():
+        root = new_folder(spark, "crash")
+        job = billing_job(BillingStream, root)
+        rows = staged_fees(spark, sf, 2)
+        land_and_run(spark, job, rows.where("stage = 0"))
+        try:
+            land_and_run(spark, billing_job(FailsAfterWriting, root), rows.where("stage = 1"))
+            raise AssertionError("the injected failure did not happen")
+        except StreamingQueryException:
+            failed = keep(committed_offsets(job.arrivals(spark), batch_log(spark, f"{root}/checkpoint")), "offsets-at-failure")
+            run_landed(spark, job)
+        return job, failed
+
+    return _once(spark, sf, "crash", run)
+
+
 @query("resume_after_failure", f"""WITH {_staged_sql(2)},\n{watermarks()},\n{CLASSIFIED}
-  SELECT count(*) AS audited, CAST(0 AS BIGINT) AS duplicates, count(*) FILTER (WHERE class = 'too_late') AS rejected,
+  SELECT count(*) AS audited, count(*) - count(DISTINCT (source_partition, sequence)) AS duplicates, count(*) FILTER (WHERE class = 'too_late') AS rejected,
     count(*) FILTER (WHERE class <> 'too_late') AS reported, CAST(sum(fee) FILTER (WHERE class <> 'too_late') AS DOUBLE) AS reported_fee
   FROM classified""")
 def resume_after_failure(spark, sf):
-    """Crash after the writes of a batch, then resume: nothing lost, nothing doubled."""
-    root = new_folder(spark, "crash")
-    job = billing_job(BillingStream, root)
-    rows = staged_fees(spark, sf, 2)
-    land_and_run(spark, job, rows.where("stage = 0"))
-    try:
-        land_and_run(spark, billing_job(FailsAfterWriting, root), rows.where("stage = 1"))
-        raise AssertionError("the injected failure did not happen")
-    except StreamingQueryException:
-        run_landed(spark, job)
-    audit, reports = job.audit.view(spark), job.reports.view(spark)
-    totals = reports.agg(F.sum("event_count").alias("n"), F.sum("total_fee").alias("fee"))
-    return audit.agg(F.count(F.lit(1)).alias("audited")).select(
+    """Crash after the writes of a batch, then resume: nothing lost, nothing doubled.
+
+    Duplicates are counted among the stored rows of each batch, not in the view, which would hide them.
+    """
+    job, _ = crash_run(spark, sf)
+    totals = job.reports.view(spark).agg(F.sum("event_count").alias("n"), F.sum("total_fee").alias("fee"))
+    return job.audit.view(spark).agg(F.count(F.lit(1)).alias("audited")).select(
         "audited",
-        duplicate_keys(audit, *job.audit.keys).scalar().alias("duplicates"),
+        job.audit.repeated(spark).agg(F.coalesce(F.sum(F.col("times") - 1), F.lit(0))).scalar().alias("duplicates"),
         job.rejected.view(spark).agg(F.count(F.lit(1))).scalar().alias("rejected"),
         totals.select("n").scalar().alias("reported"),
         totals.select("fee").scalar().alias("reported_fee"),
     )
 
 
+@query("resume_sinks", f"""WITH {_staged_sql(2)},\n{watermarks()},\n{CLASSIFIED}, stored AS (
+    SELECT 'audit' AS name, source_partition || '/' || sequence AS key FROM classified
+    UNION ALL SELECT 'rejected', source_partition || '/' || sequence FROM classified WHERE class = 'too_late'
+    UNION ALL SELECT 'reports', r.key FROM (SELECT DISTINCT arrival_batch, customer_id || '/' || window_start_us AS key FROM classified WHERE class <> 'too_late') r)
+  SELECT name, count(*) AS stored_rows, CAST(0 AS BIGINT) AS repeated_rows, count(DISTINCT key) AS keys FROM stored GROUP BY 1""")
+def resume_sinks(spark, sf):
+    """All three tables after a crash and replay: every stored row by batch, repeats inside a batch, and keys of the view."""
+    job, _ = crash_run(spark, sf)
+    out = None
+    for name, table in (("audit", job.audit), ("rejected", job.rejected), ("reports", job.reports)):
+        repeats = table.repeated(spark).agg(F.coalesce(F.sum(F.col("times") - 1), F.lit(0))).scalar()
+        stored = table.history(spark).agg(F.count(F.lit(1)).alias("stored_rows"))
+        keys = table.view(spark).agg(F.count(F.lit(1))).scalar()
+        row = stored.select(F.lit(name).alias("name"), "stored_rows", repeats.alias("repeated_rows"), keys.alias("keys"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("offset_progress", f"""WITH {_staged_sql(2)},
+  b AS (SELECT source_partition, max("offset") AS before_offset FROM fee_events WHERE arrival_batch = 0 GROUP BY 1),
+  a AS (SELECT source_partition, max("offset") AS after_offset FROM fee_events GROUP BY 1)
+  SELECT source_partition, before_offset, after_offset, after_offset < before_offset AS regressed, after_offset > before_offset AS advanced
+  FROM a LEFT JOIN b USING (source_partition)""")
+def offset_progress(spark, sf):
+    """Committed offsets at a failure and after the recovery, by the stream's own offset and commit logs."""
+    job, failed = crash_run(spark, sf)
+    return offsets_moved(failed, committed_offsets(job.arrivals(spark), batch_log(spark, f"{job.root}/checkpoint")))
+
+
 _HOURLY = f"""WITH {FEE_EVENTS} SELECT customer_id, time_bucket(INTERVAL 1 HOUR, occurred_at) AS window_start,
     time_bucket(INTERVAL 1 HOUR, occurred_at) + INTERVAL 1 HOUR AS window_end, CAST(sum(fee) AS DOUBLE) AS total_fee, count(*) AS event_count, 'v2' AS revision
   FROM fee_events GROUP BY ALL"""
@@ -206,11 +284,11 @@ def bootstrap_state(spark, sf):
     rows.where("stage = 0").drop("stage").write.parquet(f"{root}/landing")
     stream = readers.table_stream(spark, f"{root}/landing", rows.drop("stage").schema)
     # v1 writes its reports to a keyed log: windows that have left its state are taken from there, open ones from the state.
-    v1 = native.corrected_windows(stream, "1 hour", "60 days")
+    v1 = native.corrected_windows(stream, "1 hour", "1 hour")
     log = sinks.KeyedLog(f"{root}/reports", v1.schema, keys)
     _run_to_end(v1, f"{root}/checkpoint", "update", log.write)
     open_windows = native.saved_windows(spark, f"{root}/checkpoint")
-    closed = log.view(spark).join(open_windows, list(keys), "left_anti")
+    closed = log.view(spark).alias("l").join(open_windows.alias("o"), [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys], "left_anti")
     saved = open_windows.unionByName(closed.select(*open_windows.columns))
     rest = windowed_fees(rows.where("stage = 1"), "1 hour")
     return fee_merge(saved.unionByName(rest), *keys).withColumn("revision", F.lit("v2"))
@@ -259,12 +337,11 @@ def state_store_choice(spark, sf):
 
 @query("progress_to_metrics", "SELECT 'input_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM events")
 def progress_to_metrics(spark, sf):
-    """Progress reports of a run as metric rows: the rows it read, summed."""
+    """Every progress report of a run as metric rows, stored by a listener: the rows it read, summed."""
     root = new_folder(spark, "progress")
     rows = tables.fee_events(spark, sf).select("customer_id", "fee", "occurred_at")
-    rows.write.parquet(f"{root}/landing")
-    stream = readers.table_stream(spark, f"{root}/landing", rows.schema)
-    done = _run_to_end(native.closed_windows(stream), f"{root}/checkpoint", "append", "noop")
-    reports = [row for progress in done.recentProgress for row in progress_rows(progress)]
-    metrics = spark.createDataFrame(reports, schemas.METRIC)
-    return metrics.where("metric = 'input_rows'").groupBy("metric").agg(F.sum("value").alias("value"))
+    rows.repartition(3).write.parquet(f"{root}/landing")
+    stream = readers.table_stream(spark, f"{root}/landing", rows.schema, max_files=1)
+    with ProgressTable(spark, f"{root}/metrics") as reports:
+        _run_to_end(native.closed_windows(stream), f"{root}/checkpoint", "append", "noop")
+    return reports.table().where("metric = 'input_rows'").groupBy("metric").agg(F.sum("value").alias("value"))

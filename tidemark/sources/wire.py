@@ -11,6 +11,10 @@ from tidemark.functions import money
 
 _CORRUPT = "_corrupt"
 
+# Fields without which a payload is no event.
+PURCHASE_REQUIRED = ("customer_id", "product", "amount", "occurred_at")
+ORDER_REQUIRED = ("customer_id", "sequence", "fee", "occurred_at")
+
 
 def _parsed(value: Column, schema: T.StructType, strict: bool) -> Column:
     text = value.cast("string")

@@ -20,8 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.functions import from_micros, micros, money
 from tidemark.operators import ledger as lg
-from tidemark.sources.sinks import KeyedLog
-from tidemark.sources.wire import decode_orders
+from tidemark.operators.purchases import missing_fields, require_fields
+from tidemark.sources.keyed_table import KeyedTable
+from tidemark.sources.wire import ORDER_REQUIRED, decode_orders
 
 ARRIVAL = schemas.table(
     "customer_id string, source_partition int, sequence bigint, fee money, "
@@ -30,11 +31,16 @@ ARRIVAL = schemas.table(
 PROGRESS = schemas.table(
     "source_partition int, seen_us bigint, last_heard_us bigint, started_us bigint, now_us bigint, wm_us bigint"
 )
+QUARANTINE = schemas.table("source_partition int, offset bigint, value binary, arrived_at timestamp, reason string")
 
 
 @dataclass(frozen=True)
 class BillingStream:
-    """``process`` is a foreachBatch function; every write replaces its own batch."""
+    """``process`` is a foreachBatch function; every write replaces its own batch.
+
+    A record that does not decode, or lacks a required field, fails the job when ``strict`` and goes to ``quarantine``
+    with the reason otherwise.
+    """
 
     root: str
     partitions: int = 16
@@ -42,18 +48,31 @@ class BillingStream:
     bound_us: int = lg.BOUND_US
     lateness_us: int = lg.LATENESS_US
     idle_us: int | None = lg.IDLE_US
+    strict: bool = True
+    buckets: int = 4
+
+    def _by_sequence(self, name: str) -> KeyedTable:
+        # A million sequence numbers of a partition at a time: a batch leaves older ones alone.
+        keys = ("source_partition", "sequence_number")
+        return KeyedTable(f"{self.root}/{name}", schemas.AUDIT, keys, self.buckets, period="sequence_number div 1000000")
+
+    @cached_property
+    def audit(self) -> KeyedTable:
+        return self._by_sequence("billing_event_audit")
 
     @cached_property
-    def audit(self) -> KeyedLog:
-        return KeyedLog(f"{self.root}/billing_event_audit", schemas.AUDIT, ("source_partition", "sequence_number"))
+    def rejected(self) -> KeyedTable:
+        return self._by_sequence("billing_too_late_events")
 
     @cached_property
-    def rejected(self) -> KeyedLog:
-        return KeyedLog(f"{self.root}/billing_too_late_events", schemas.AUDIT, ("source_partition", "sequence_number"))
+    def reports(self) -> KeyedTable:
+        keys = ("customer_id", "window_start", "window_end")
+        return KeyedTable(f"{self.root}/fee_reports", schemas.FEE_REPORT, keys, self.buckets, period="date_format(window_start, 'yyyyMMdd')")
 
     @cached_property
-    def reports(self) -> KeyedLog:
-        return KeyedLog(f"{self.root}/fee_reports", schemas.FEE_REPORT, ("customer_id", "window_start", "window_end"))
+    def quarantine(self) -> KeyedTable:
+        keys = ("source_partition", "offset")
+        return KeyedTable(f"{self.root}/quarantine", QUARANTINE, keys, self.buckets, period="offset div 1000000")
 
     def arrivals(self, spark: SparkSession) -> DataFrame:
         declared = T.StructType([*ARRIVAL.fields, T.StructField("arrival_batch", T.LongType())])
@@ -66,9 +85,18 @@ class BillingStream:
         """One number; null until every active partition has shown an event."""
         return self._progress(spark, batch_id).agg(F.max("wm_us")).first()[0]
 
+    def _decoded(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        rows = decode_orders(batch, self.strict, keep=("offset", "timestamp", "value")).withColumnRenamed("timestamp", "arrived_at")
+        if self.strict:
+            return require_fields(rows, *ORDER_REQUIRED)
+        missing = F.concat_ws(",", missing_fields(*ORDER_REQUIRED))
+        judged = rows.withColumn("reason", F.when(F.col("corrupt").isNotNull(), "undecodable").when(missing != "", F.concat(F.lit("without "), missing)))
+        self.quarantine.write(judged.where("reason is not null"), batch_id)
+        return judged.where("reason is null")
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        decoded = decode_orders(batch, keep=("offset", "timestamp")).withColumnRenamed("timestamp", "arrived_at")
+        decoded = self._decoded(batch, batch_id)
         place = f"{self.root}/arrivals/arrival_batch={batch_id}"
         decoded.select(*ARRIVAL.names).write.mode("overwrite").parquet(place)
         # From here on the stored batch is the input: the source is read once.
@@ -86,9 +114,9 @@ class BillingStream:
         # A sequence sent twice in one batch is one audit row: the later offset.
         self.audit.write(_last_offset(named), batch_id)
         self.rejected.write(_last_offset(lg.too_late(named)), batch_id)
-        self.reports.write(self._complete_totals(spark, judged, batch_id, wm_before), batch_id)
+        self.reports.write(self._complete_totals(judged, batch_id), batch_id)
 
-    def _complete_totals(self, spark: SparkSession, judged: DataFrame, batch_id: int, wm_before: int | None) -> DataFrame:
+    def _complete_totals(self, judged: DataFrame, batch_id: int) -> DataFrame:
         """Totals to date of the windows this batch touched."""
         added = lg.reports(judged).select(
             "customer_id",
@@ -99,17 +127,12 @@ class BillingStream:
         )
         if batch_id == 0:
             return added
-        earlier = self.reports.history(spark).where(F.col("batch_id") < batch_id)
-        if wm_before is not None:
-            # Only windows that can still change; the bound reaches the scan.
-            floor = F.timestamp_micros(F.lit(wm_before - self.lateness_us))
-            earlier = earlier.where(F.col("window_end") > floor)
+        # Only the days and buckets of these windows are read.
         keys = list(self.reports.keys)
-        held = earlier.groupBy(*keys).agg(
-            F.max_by("total_fee", "batch_id").alias("_fee"), F.max_by("event_count", "batch_id").alias("_n")
-        )
-        return added.join(held, keys, "left").select(
-            *keys,
+        held = self.reports.lookup(added, before=batch_id).select(*keys, F.col("total_fee").alias("_fee"), F.col("event_count").alias("_n")).alias("h")
+        same = [F.col(f"n.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+        return added.alias("n").join(held, same, "left").select(
+            *[f"n.{k}" for k in keys],
             money(F.col("total_fee") + F.coalesce("_fee", F.lit(0))).alias("total_fee"),
             (F.col("event_count") + F.coalesce("_n", F.lit(0))).alias("event_count"),
         )

@@ -3,32 +3,65 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark import schemas
 
 
 class ProgressTable(StreamingQueryListener):
-    """Appends each progress report to a metric table (metric, labels, ts, value).
+    """Stores every progress report as metric rows (metric, labels, ts, value).
 
-    One report is a handful of numbers; the table is what grows.
+    Reports are written ``every`` at a time, and what is left when a query ends or idles. As a context it listens from
+    entry on, and its exit waits until the reports of all queries that ended inside are stored.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._spark, self._path = spark, path
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        self._spark, self._path, self._every = spark, path, every
+        self._rows: list[tuple] = []
+        self._reports = 0
+        self._running: set[str] = set()
+        self._changed = threading.Condition()
 
-    def onQueryStarted(self, event) -> None: ...
+    def __enter__(self) -> ProgressTable:
+        self._spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self._spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        with self._changed:
+            self._changed.wait_for(lambda: not self._running, timeout=60)
+        self._spark.streams.removeListener(self)
+
+    def _store(self) -> None:
+        if self._rows:
+            self._spark.createDataFrame(self._rows, schemas.METRIC).coalesce(1).write.mode("append").parquet(self._path)
+        self._rows, self._reports = [], 0
+
+    def table(self) -> DataFrame:
+        return self._spark.read.schema(schemas.METRIC).parquet(self._path)
+
+    def onQueryStarted(self, event) -> None:
+        with self._changed:
+            self._running.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
-        rows = list(progress_rows(event.progress))
-        self._spark.createDataFrame(rows, schemas.METRIC).coalesce(1).write.mode("append").parquet(self._path)
+        self._rows += progress_rows(event.progress)
+        self._reports += 1
+        if self._reports >= self._every:
+            self._store()
 
-    def onQueryIdle(self, event) -> None: ...
+    def onQueryIdle(self, event) -> None:
+        self._store()
 
-    def onQueryTerminated(self, event) -> None: ...
+    def onQueryTerminated(self, event) -> None:
+        self._store()
+        with self._changed:
+            self._running.discard(str(event.runId))
+            self._changed.notify_all()
 
 
 def progress_rows(progress) -> Iterator[tuple]:

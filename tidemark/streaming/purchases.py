@@ -1,4 +1,4 @@
-"""The purchase stream: running spend per customer into an upsert table."""
+"""The purchase stream: spend per customer in Spark's keyed state, upserted into a table."""
 
 from __future__ import annotations
 
@@ -11,55 +11,52 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.functions import money
-from tidemark.operators.purchases import current_spend, normalize_purchase, running_spend, valid_purchase
-from tidemark.sources.sinks import KeyedLog
-from tidemark.sources.wire import decode_purchases
-
-_BEFORE = -(1 << 60)
+from tidemark.operators.purchases import normalize_purchase, require_fields, valid_purchase
+from tidemark.sources.keyed_table import KeyedTable
+from tidemark.sources.wire import PURCHASE_REQUIRED, decode_purchases
+from tidemark.streaming.processors import running_spend_stream, state_store
 
 
 @dataclass(frozen=True)
 class SpendStream:
-    """Each batch writes the complete total of every customer it touched."""
+    """The state holds every customer's total; a batch upserts the customers it touched and reads no earlier output."""
 
     root: str
+    buckets: int = 16
 
     @cached_property
-    def spend(self) -> KeyedLog:
-        return KeyedLog(f"{self.root}/customer_spend", schemas.CUSTOMER_SPEND, ("customer_id",))
-
-    def cleaned(self, batch: DataFrame) -> DataFrame:
-        rows = decode_purchases(batch, keep=("offset",)).withColumnRenamed("offset", "arrival")
-        return normalize_purchase(valid_purchase(rows))
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        added = current_spend(self.cleaned(batch))
-        if batch_id > 0:
-            held = self.spend.view(batch.sparkSession, before=batch_id).select("customer_id", F.col("amount").alias("_held"))
-            added = added.join(held, "customer_id", "left").withColumn(
-                "amount", money(F.col("amount") + F.coalesce("_held", F.lit(0)))
-            )
-        self.spend.write(added, batch_id)
-
-    def per_row(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """One cumulative row per purchase of a batch, continuing earlier batches."""
-        rows = self.cleaned(batch)
-        if batch_id == 0:
-            return running_spend(rows)
-        # Earlier totals stand before each customer's first row of this batch.
-        held = self.spend.view(batch.sparkSession, before=batch_id).select("customer_id", "amount", F.lit(_BEFORE).alias("arrival"))
-        continued = running_spend(rows.unionByName(held, allowMissingColumns=True))
-        return continued.where(F.col("arrival") > _BEFORE)
+    def spend(self) -> KeyedTable:
+        return KeyedTable(f"{self.root}/customer_spend", schemas.CUSTOMER_SPEND, ("customer_id",), self.buckets)
+
+    def cleaned(self, records: DataFrame) -> DataFrame:
+        """Purchases to count; a record without a required field fails the job."""
+        rows = decode_purchases(records, keep=("offset",)).withColumnRenamed("offset", "arrival")
+        return normalize_purchase(valid_purchase(require_fields(rows, *PURCHASE_REQUIRED)))
+
+    def totals(self, records: DataFrame) -> DataFrame:
+        """For update mode: the complete total of every customer that a batch touches."""
+        last = F.max(F.struct("arrival", "occurred_at"))
+        summed = self.cleaned(records).groupBy("customer_id").agg(money(F.sum("amount")).alias("amount"), last.alias("last"))
+        return summed.select("customer_id", "amount", F.col("last.occurred_at").alias("updated_at"))
 
     def start(self, records: DataFrame, checkpoint: str, available_now: bool = False, every: str = "10 seconds") -> StreamingQuery:
-        trigger = {"availableNow": True} if available_now else {"processingTime": every}
-        return (
-            records.writeStream.queryName("customer-spend")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger)
-            .foreachBatch(self.process)
-            .start()
-        )
+        writer = self.totals(records).writeStream.queryName("customer-spend").outputMode("update")
+        return _started(writer.foreachBatch(self.spend.write), checkpoint, available_now, every)
+
+    def start_running(self, records: DataFrame, checkpoint: str, available_now: bool = False, every: str = "10 seconds") -> StreamingQuery:
+        """Append each purchase with its customer's amount so far to ``running``, once each."""
+        with state_store(records.sparkSession):
+            rows = running_spend_stream(self.cleaned(records))
+            writer = rows.writeStream.queryName("running-spend").outputMode("append").format("parquet")
+            return _started(writer.option("path", f"{self.root}/running"), checkpoint, available_now, every)
+
+    def running(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.root}/running")
 
     def customer_spend(self, spark: SparkSession) -> DataFrame:
         return self.spend.view(spark)
+
+
+def _started(writer, checkpoint: str, available_now: bool, every: str) -> StreamingQuery:
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
