@@ -53,3 +53,11 @@ def table_within(stored: DataFrame, mb: int) -> DataFrame:
     total = sum((_bytes_of(F.col(f.name), f.dataType) for f in stored.schema.fields), F.lit(16))
     size = stored.agg(F.sum(total.cast("long"))).first()[0] or 0
     return F.broadcast(stored) if size <= mb << 20 else stored
+
+
+def unused(taken: list[str], name: str) -> str:
+    """``name``, with so many underscores that no column is called so, whatever the case."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name

@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import math
 import re
+from unicodedata import category
 from zlib import crc32
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import unused
+
 BUCKETS = 1 << 15  # hashed trigrams of the model
 SAMPLE = 2000  # labelled documents that teach one language, expected
 MOST = 500  # languages, the commonest first
@@ -22,7 +25,9 @@ STEPS = 12
 WORDS_KEPT = 50_000
 MISC = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Signs that Python counts among the letters of words and Unicode among the numbers: superscripts, fractions, Roman numerals.
+_NUMERAL = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isdecimal() and not category(c).startswith("L"))
+_WORD = re.compile(rf"[^\W\d_{re.escape(_NUMERAL)}]+")
 
 RESULT = "lang_pred string, score double, accepted boolean, languages array<struct<lang:string,share:double>>"
 
@@ -166,19 +171,21 @@ def predictor(languages, table):
     return predict
 
 
-def identified(docs: DataFrame, model, text: str = "text") -> DataFrame:
+def identified(docs: DataFrame, model, text: str = "text", into: str | None = None) -> DataFrame:
     """All columns of ``docs`` with lang_pred, score, accepted and the mixture ``languages``.
 
     ``score`` is the share of the first language. A null text or one without a letter is ``und`` with score 0 and not
     accepted; so is every text when nothing could be learned. Equal shares go to the language chosen first. Only the text
-    is looked at; each row is judged by itself, whole.
+    is looked at; each row is judged by itself, whole. Columns of ``docs`` with the names of results are replaced, unless
+    ``into`` names one struct column for all results.
     """
     names, table = model
     extra = T.StructType.fromDDL(RESULT)
-    clash = {f.name for f in extra.fields}
+    clash = {into} if into else {f.name for f in extra.fields}
     kept = [c for c in docs.columns if c not in clash]
-    source = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").cast("string").alias("_text"))
-    schema = T.StructType([*docs.select(*(F.col(f"`{c}`") for c in kept)).schema.fields, *extra.fields])
+    source = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").cast("string").alias(unused(kept, "text")))
+    added = [T.StructField(into, extra)] if into else extra.fields
+    schema = T.StructType([*source.schema.fields[:-1], *added])
 
     def run(batches):
         import pyarrow as pa
@@ -191,6 +198,8 @@ def identified(docs: DataFrame, model, text: str = "text") -> DataFrame:
                 found = list(predict(some.column(len(kept)).to_pylist()))
                 mixed = [[{"lang": a, "share": b} for a, b in f[3]] for f in found]
                 columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_()), pa.array(mixed, to_arrow_type(extra["languages"].dataType))]
+                if into:
+                    columns = [pa.StructArray.from_arrays(columns, names=extra.names)]
                 yield pa.RecordBatch.from_arrays([*some.columns[:-1], *columns], names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -9,12 +9,16 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import unused
+
 KINDS = ("assign", "access", "hex", "literal")
 
 # The base patterns and their least lengths.
@@ -31,17 +35,25 @@ SENSITIVE = {
 }
 THRESHOLD = 1.0  # of sensitivity plus randomness
 
-_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,100}"
-_OPEN = rf"(?P<quote>[\"']?)(?P<name>{_NAME})(?P=quote)[\x20\t]*(?::=|=>|[:=])[\x20\t]*"
+_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
+# A name is looked for at the start of a run of its characters alone, which keeps the search linear in the text.
+_OPEN = rf"(?P<quote>[\"']?)(?<![A-Za-z0-9_.\-])[-.0-9]*+(?P<name>{_NAME})(?P=quote)[\x20\t]*(?::=|=>|[:=])[\x20\t]*"
+_QUOTED = r"\"(?P<double>(?:[^\"\n\\]|\\[\s\S])++)\"|'(?P<single>(?:[^'\n\\]|\\[\s\S])++)'"
 # Literals to their real end. Possessive repeats keep the search linear in the text.
 PAIR = re.compile(
     rf"{_OPEN}(?:\"\"\"(?P<triple>(?:[^\"\\]|\\[\s\S]|\"(?!\"\"))*+)\"\"\"|'''(?P<triple1>(?:[^'\\]|\\[\s\S]|'(?!''))*+)'''"
-    r"|\"(?P<double>(?:[^\"\n\\]|\\[\s\S])++)\"|'(?P<single>(?:[^'\n\\]|\\[\s\S])++)'"
-    r"|(?P<pem>-----BEGIN[\x20][^\n-]+-----[\s\S]*?-----END[\x20][^\n-]+-----)"
+    rf"|{_QUOTED}"
+    r"|(?P<pem>-----BEGIN[\x20][^\n-]+-----)"
     r"|[|>][+-]?[0-9]?[\x20\t]*\n(?P<block>(?P<indent>[\x20\t]+)[^\n]+(?:\n(?:(?P=indent)[^\n]*|[\x20\t]*(?=\n)))*)"
     rf"|(?P<other>{_NAME})(?![^\s;,)#}}\]])|(?P<bare>[^\s\"',;#(){{}}\[\]]++))",
     re.ASCII,
 )
+PEM_END = re.compile(r"-----END[\x20][^\n-]+-----")
+# What may follow a value: more literals or names, joined to it.
+JOINED = re.compile(rf"[\x20\t]*[+.][\x20\t]*(?:{_QUOTED}|(?P<other>{_NAME}))", re.ASCII)
+TAGGED = re.compile(rf"<(?P<name>{_NAME})(?:[\x20\t][^<>]*+)?>(?P<value>[^<>]++)</(?P=name)>", re.ASCII)
+_NAMES = re.compile(rf"[\x20\t]*(?P<name>{_NAME})[\x20\t]*(?P<next>,|=(?!=))", re.ASCII)
+_VALUE = re.compile(rf"[\x20\t]*(?:{_QUOTED}|(?P<other>{_NAME})|(?P<bare>[^\s\"',;#(){{}}\[\]]++))[\x20\t]*(?:,|(?=[\n;#)])|\Z)", re.ASCII)
 LITERALS = ("triple", "triple1", "double", "single", "pem", "block", "bare")
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -59,6 +71,7 @@ FOUND = T.ArrayType(
 )
 
 
+@lru_cache(maxsize=4096)
 def sensitivity(name: str) -> float:
     parts = [p.lower() for p in _CAMEL.findall(name)]
     pairs = [a + b for a, b in zip(parts, parts[1:], strict=False)]
@@ -89,35 +102,105 @@ def base_spans(text: str) -> list[tuple]:
     return found
 
 
+def _tuples(text: str):
+    """(name, match of its value) of assignments of several values: ``user, password = "u", "p"``."""
+    at = 0
+    while (cut := text.find("=", at)) >= 0:
+        line = text.rfind("\n", 0, cut) + 1
+        end = text.find("\n", cut)
+        at = len(text) if end < 0 else end  # one look at each line
+        if text.find(",", line, cut) < 0:
+            continue
+        names, pos = [], line
+        while m := _NAMES.match(text, pos, at):
+            names.append(m["name"])
+            pos = m.end()
+            if m["next"] == "=":
+                break
+        else:
+            continue
+        for name in names:
+            m = _VALUE.match(text, pos, at)
+            if not m:
+                break
+            yield name, m
+            pos = m.end()
+
+
+def _assigned(text: str):
+    """(name, start, end, other): a literal's place, or the other name that is assigned; both for a word that may be either."""
+    ends = None  # where PEM blocks end, looked up once
+    pos = 0
+    while m := PAIR.search(text, pos):
+        name, pos = m["name"], m.end()
+        kind = "other" if m["other"] else next(k for k in LITERALS if m[k] is not None)
+        start, end = m.start(kind), m.end(kind)
+        if kind == "pem":
+            if ends is None:
+                ends = [e.end() for e in PEM_END.finditer(text)]
+            after = bisect_right(ends, end)
+            # Without an end it is a word like others.
+            end = pos = ends[after] if after < len(ends) else start + len("-----BEGIN")
+        yield name, start, end, m["other"]
+        if kind in ("other", "double", "single"):
+            while more := JOINED.match(text, pos):
+                which = next(k for k in ("double", "single", "other") if more[k] is not None)
+                yield name, more.start(which), more.end(which), more["other"]
+                pos = more.end()
+    for m in TAGGED.finditer(text):
+        yield m["name"], m.start("value"), m.end("value"), None
+    for name, m in _tuples(text):
+        which = next(k for k in ("double", "single", "other", "bare") if m[k] is not None)
+        yield name, m.start(which), m.end(which), m["other"]
+
+
+def _better(a: str, b: str | None) -> str:
+    return a if b is None or (-sensitivity(a), a) <= (-sensitivity(b), b) else b
+
+
+def reachable(aliases: dict[str, set[str]]) -> dict[str, str]:
+    """For each name in lower case the most sensitive name that its value is carried to; names that reach none are missing.
+
+    Names are taken from the most sensitive down, each backwards over the assignments, and no name is passed twice.
+    """
+    sources: dict[str, list[str]] = {}  # target -> names assigned to it
+    for name, targets in aliases.items():
+        for target in targets:
+            sources.setdefault(target, []).append(name)
+    into: dict[str, list[str]] = {}
+    for target, names in sources.items():
+        into.setdefault(target.lower(), []).extend(names)
+    best: dict[str, str] = {}
+    for target in sorted((t for t in sources if sensitivity(t)), key=lambda t: (-sensitivity(t), t)):
+        ahead = list(sources[target])
+        while ahead:
+            name = ahead.pop()
+            if name not in best:
+                best[name] = target
+                ahead += into.get(name, ())
+    return best
+
+
 def literal_spans(text: str) -> list[tuple]:
     """Literals that reach a sensitive name directly or over other names: ``a = "x"; password = a`` marks "x"."""
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "</" not in text:
         return []
-    literals, aliases = [], {}
-    for m in PAIR.finditer(text):
-        if m["other"]:
-            aliases.setdefault(m["other"].lower(), set()).add(m["name"])
-            kind = "other"
-        else:
-            kind = next(k for k in LITERALS if m[k] is not None)
+    literals, aliases = {}, {}
+    for name, start, end, other in _assigned(text):
+        if other:
+            aliases.setdefault(other.lower(), set()).add(name)
         # A bare word may be a value as well as another name; only values that look random pass later.
-        if kind != "other" or any(c.isdigit() for c in m["other"]):
-            literals.append((m["name"], m.start(kind), m.end(kind)))
-    found = []
-    for name, start, end in literals:
-        reached, ahead = {name}, [name]
-        while ahead:
-            for other in aliases.get(ahead.pop().lower(), ()):
-                if other not in reached:
-                    reached.add(other)
-                    ahead.append(other)
-        target = max(sorted(reached), key=sensitivity)
+        if not other or any(c.isdigit() for c in other):
+            literals[start, end] = _better(name, literals.get((start, end)))
+    carried, found = reachable(aliases), []
+    for (start, end), name in literals.items():
+        target = _better(name, carried.get(name.lower()))
         weight = sensitivity(target)
         value = text[start:end]
         if weight and not value.startswith(("http://", "https://", "${")):
-            score = weight + randomness(value)
-            if score > THRESHOLD and randomness(value) >= 0.45:
-                found.append(("literal", start, end, start, target, round(score, 6)))
+            random = randomness(value)
+            if weight + random > THRESHOLD and random >= 0.45:
+                found.append(("literal", start, end, start, target, round(weight + random, 6)))
     return found
 
 
@@ -153,10 +236,12 @@ def with_secrets(docs: DataFrame, text: str = "text", found: str = "secrets", cl
     """All columns of ``docs``, an array of secrets and the masked text.
 
     Spans count code points, ends exclusive. A null text has no secrets and stays null; an empty table stays empty.
-    Repeated rows are scanned each.
+    Repeated rows are scanned each. Columns of ``docs`` named ``found`` or ``clean`` are replaced.
     """
-    schema = T.StructType([*docs.schema.fields, T.StructField(found, FOUND), T.StructField(clean, T.StringType())])
-    position = docs.columns.index(text)
+    kept = [c for c in docs.columns if c not in (found, clean)]
+    source = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").cast("string").alias(unused(kept, "text")))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField(found, FOUND), T.StructField(clean, T.StringType())])
+    position = len(kept)
 
     def scan(batches):
         import pyarrow as pa
@@ -171,9 +256,9 @@ def with_secrets(docs: DataFrame, text: str = "text", found: str = "secrets", cl
                 each = [spans(t) for t in texts]
                 rows = pa.array([[dict(zip(fields, s, strict=True)) for s in e] for e in each], kind)
                 texts = [masked(t, e) if e else t for t, e in zip(texts, each, strict=True)]
-                yield pa.RecordBatch.from_arrays([*some.columns, rows, pa.array(texts, pa.string())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*some.columns[:position], rows, pa.array(texts, pa.string())], names=schema.names)
 
-    return docs.mapInArrow(scan, schema)
+    return source.mapInArrow(scan, schema)
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -12,6 +12,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import unused
 from tidemark.session import keep
 
 BITS = 64
@@ -47,7 +48,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", words: int = 3, name:
     """
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-    raw = "_raw_text"
+    raw = unused([*docs.columns, name], "raw_text")
     source = docs.withColumn(raw, F.col(f"`{text}`").cast("binary"))
     schema = StructType([*docs.schema.fields, StructField(name, LongType())])
     position = len(docs.columns)
@@ -170,9 +171,10 @@ def one_of_each(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     Rows with one id and equal text stand for each other: one of them stays. Rows without an id come last.
     """
     columns = docs.columns
-    marked = with_fingerprints(docs, "text", words, "_print").withColumn("_row", F.monotonically_increasing_id())
+    print_, row = unused(columns, "print"), unused(columns, "row")
+    marked = with_fingerprints(docs, "text", words, print_).withColumn(row, F.monotonically_increasing_id())
     marked = keep(marked, "simhash-docs")  # row numbers are fixed once stored
-    prints = marked.select("doc_id", "_print", "_row")
+    prints = marked.select("doc_id", F.col(print_).alias("_print"), F.col(row).alias("_row"))
     found = components(prints, "doc_id", radius, "_print")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")
     # First inside each fingerprint, then across: only one row of each fingerprint is moved by component.
@@ -180,4 +182,4 @@ def one_of_each(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     # A null component id stands for one component per root, never for all of them together.
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("p"), F.col("_print").cast("string")))
     stay = firsts.groupBy(group.alias("_group")).agg(F.min("first").alias("first")).select(F.col("first._row").alias("_row"))
-    return marked.join(stay, "_row", "left_semi").select(*columns)
+    return marked.join(stay.withColumnRenamed("_row", row), row, "left_semi").select(*(F.col(f"`{c}`") for c in columns))
