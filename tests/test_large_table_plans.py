@@ -14,7 +14,7 @@ from tidemark.operators.scan import ROWS_SETTING  # noqa: E402
 SF_DIR = "/root/testdata/sf0.001"
 CUT = [
     "running_spend", "features", "cart_write_ttl", "cart_readwrite_ttl", "cart_stale_visible", "counter_rate", "counter_increase",
-    "busy_10m", "sequence_gaps", "sequence_disorder", "arrival_disorder", "enrich_rate_asof", "target_down_1m", "fraud_burst_then_large",
+    "busy_10m", "sequence_gaps", "sequence_disorder", "arrival_disorder", "enrich_rate_asof", "target_down_1m", "fraud_burst_then_large", "journey",
 ]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import from_micros, haversine_km, micros
+from tidemark.operators.automaton import reached
 from tidemark.operators.scan import HOUR_US, Running, chunk_width, running, trailing
 from tidemark.operators.windows import sessions
 
@@ -74,11 +75,21 @@ def suppress_repeats(alerts: DataFrame, keys: Sequence[str], ts: str, cooldown_u
     )
 
 
-def journeys(df: DataFrame, key: str, ts: str, gap_us: int, steps: dict[str, Column]) -> DataFrame:
-    """Counts of each step per session, and whether the session converted (the last step)."""
+def journeys(df: DataFrame, key: str, ts: str, gap_us: int, steps: dict[str, Column], tie: str) -> DataFrame:
+    """Counts of each step per session, how many steps were taken in their order, and whether that is all of them.
+
+    A purchase before its page is counted, and converts nothing. Rows of one time count by ``tie``.
+    """
     sums = {name: F.when(cond, 1).otherwise(0) for name, cond in steps.items()}
     found = sessions(df, [key], ts, gap_us, {"actions": F.lit(1), **sums})
-    return found.withColumn("converted", F.col(list(steps)[-1]) > 0)
+    rows = df.withColumn("_us", micros(F.col(ts)))
+    before = running(rows, [key], "_us", [Running("_before", "max", F.col("_us"), -1)], ties=[tie])
+    opens = F.when(F.coalesce(F.col("_us") - F.col("_before") > gap_us, F.lit(True)), F.col("_us"))
+    placed = running(before.withColumn("_opens", opens), [key], "_us", [Running("_start", "max", F.col("_opens"))], ties=[tie])
+    taken = reached(placed, [key, "_start"], "_us", tie, list(steps.values())).withColumn("session_start", from_micros(F.col("_start")))
+    same = found[key].eqNullSafe(taken[key]) & (found["session_start"] == taken["session_start"])
+    out = found.join(taken, same, "left").select(*[found[c] for c in found.columns], F.coalesce("reached", F.lit(0)).alias("reached"))
+    return out.withColumn("converted", F.col("reached") == len(steps))
 
 
 def point_in_time_features(df: DataFrame, key: str, ts: str, amount: str, is_order: Column, failed: Column,

@@ -4,45 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import from_micros
-from tidemark.operators import ledger, quality
+from tidemark.operators import quality
 from tidemark.operators.quantiles import exact_percentiles
 from tidemark.plans.inputs_sql import FACTS, FEE_EVENTS, JUDGED
-from tidemark.plans.joins import RECONCILED, judged
+from tidemark.plans.joins import judged
 from tidemark.plans.registry import query
 from tidemark.session import new_folder
 from tidemark.sources import fixtures, readers, sinks, tables
 
 
-def _reconciled_sql(keys: str) -> str:
-    return f"""WITH {JUDGED},
-  a AS (SELECT {keys}, sum(fee) AS fee, count(*) AS n FROM classified GROUP BY {keys}),
-  l AS (SELECT {keys}, sum(fee) AS fee, count(*) AS n FROM classified WHERE class = 'too_late' GROUP BY {keys}),
-  r AS (SELECT {keys}, sum(fee) AS fee, count(*) AS n FROM classified WHERE class <> 'too_late' GROUP BY {keys})
-  SELECT {keys.replace('window_start_us', 'make_timestamp(window_start_us) AS window_start')}, {RECONCILED}
-  FROM a LEFT JOIN l USING ({keys}) LEFT JOIN r USING ({keys})"""
-
-
-def _windowed(df):
-    return df.withColumn("window_start", from_micros(F.col("window_start_us")))
-
-
-@query("reconcile_window", _reconciled_sql("window_start_us"))
-def reconcile_window(spark, sf):
-    rows, _ = judged(spark, sf)
-    source = tables.fee_events(spark, sf).withColumn("window_start", F.window("occurred_at", "1 hour").start)
-    return quality.reconcile(source, _windowed(ledger.too_late(rows)), _windowed(ledger.reports(rows)), ["window_start"])
-
-
-@query("reconcile_scope", _reconciled_sql("window_start_us, customer_id"))
-def reconcile_scope(spark, sf):
-    """The same, scoped further: reports exist per customer, so scope stops there."""
-    rows, _ = judged(spark, sf)
-    source = tables.fee_events(spark, sf).withColumn("window_start", F.window("occurred_at", "1 hour").start)
-    keys = ["window_start", "customer_id"]
-    return quality.reconcile(source, _windowed(ledger.too_late(rows)), _windowed(ledger.reports(rows)), keys)
-
-
 _GAPPY = "SELECT *, lag(sequence) OVER (PARTITION BY source_partition ORDER BY sequence) AS prev FROM fee_events WHERE event_id % 97 <> 5 AND event_id % 89 <> 3"
 
 

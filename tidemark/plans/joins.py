@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import money
-from tidemark.operators import enrich, ledger, quality
+from tidemark.operators import enrich, ledger
 from tidemark.operators.scan import HOUR_US
-from tidemark.plans.inputs_sql import FEE_EVENTS, JUDGED
+from tidemark.plans.inputs_sql import FEE_EVENTS
 from tidemark.plans.registry import query
 from tidemark.sources import fixtures, tables
 
@@ -27,16 +27,6 @@ RECONCILED = """CAST(a.fee AS DOUBLE) AS source_fee, a.n AS source_count, CAST(c
     CAST(a.n - coalesce(l.n, 0) - coalesce(r.n, 0) AS BIGINT) AS count_delta"""
 
 
-@query("reconcile", f"""WITH {JUDGED},
-  a AS (SELECT sum(fee) AS fee, count(*) AS n FROM fee_events),
-  l AS (SELECT sum(fee) AS fee, count(*) AS n FROM classified WHERE class = 'too_late'),
-  r AS (SELECT sum(fee) AS fee, count(*) AS n FROM classified WHERE class <> 'too_late')
-  SELECT {RECONCILED} FROM a, l, r""")
-def reconcile(spark, sf):
-    rows, _ = judged(spark, sf)
-    return quality.reconcile(tables.fee_events(spark, sf), ledger.too_late(rows), ledger.reports(rows))
-
-
 @query("scalar_subqueries", f"""WITH {FEE_EVENTS} SELECT (SELECT count(*) FROM fee_events) AS events,
   (SELECT count(DISTINCT customer_id) FROM fee_events) AS customers,
   (SELECT CAST(max(fee) AS DOUBLE) FROM fee_events) AS largest_fee""")

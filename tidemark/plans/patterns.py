@@ -77,13 +77,22 @@ def cdc_materialize(spark, sf):
     return without_deleted(changes, ["user_id"], ["position"], "deleted")
 
 
-@query("journey", f"""WITH {LOGINS}, {session_sql(12 * HOUR, 'logins', 'user_id', 'ts',
-    "count(*) AS actions, count(*) FILTER (WHERE event_type = 'view') AS pages, count(*) FILTER (WHERE event_type = 'click') AS carts, count(*) FILTER (WHERE event_type = 'purchase') AS purchases")}
-  SELECT *, purchases > 0 AS converted FROM sessions""")
+_STEPS = {"pages": "view", "carts": "click", "purchases": "purchase"}
+_COUNTS = ", ".join(f"count(*) FILTER (WHERE event_type = '{kind}') AS {name}" for name, kind in _STEPS.items())
+
+
+@query("journey", f"""WITH {LOGINS}, {session_sql(12 * HOUR, 'logins', 'user_id', 'ts', f"count(*) AS actions, {_COUNTS}")},
+  placed AS (SELECT l.event_type, l.user_id, s.session_start, row_number() OVER (PARTITION BY l.user_id ORDER BY l.ts, l.event_id) AS pos
+    FROM logins l JOIN sessions s ON l.user_id = s.user_id AND l.ts >= s.session_start AND l.ts < s.session_end),
+  p1 AS (SELECT user_id, session_start, min(pos) AS pos FROM placed WHERE event_type = 'view' GROUP BY ALL),
+  p2 AS (SELECT user_id, session_start, min(p.pos) AS pos FROM placed p JOIN p1 USING (user_id, session_start) WHERE event_type = 'click' AND p.pos > p1.pos GROUP BY ALL),
+  p3 AS (SELECT user_id, session_start, min(p.pos) AS pos FROM placed p JOIN p2 USING (user_id, session_start) WHERE event_type = 'purchase' AND p.pos > p2.pos GROUP BY ALL)
+  SELECT s.*, CAST((p1.pos IS NOT NULL)::INT + (p2.pos IS NOT NULL)::INT + (p3.pos IS NOT NULL)::INT AS INTEGER) AS reached, p3.pos IS NOT NULL AS converted
+  FROM sessions s LEFT JOIN p1 USING (user_id, session_start) LEFT JOIN p2 USING (user_id, session_start) LEFT JOIN p3 USING (user_id, session_start)""")
 def journey(spark, sf):
-    kind = F.col("event_type")
-    steps = {"pages": kind == "view", "carts": kind == "click", "purchases": kind == "purchase"}
-    return behaviour.journeys(tables.logins(spark, sf), "user_id", "ts", 12 * HOUR_US, steps)
+    """Sessions with the steps page, cart, purchase taken in this order."""
+    steps = {name: F.col("event_type") == kind for name, kind in _STEPS.items()}
+    return behaviour.journeys(tables.logins(spark, sf), "user_id", "ts", 12 * HOUR_US, steps, "event_id")
 
 
 @query("features", f"""WITH {LOGINS}, c AS (SELECT event_id, user_id, ts, count(*) FILTER (WHERE event_type = 'purchase') OVER w AS orders_before,

@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tidemark import schemas
+from tidemark.operators import digests, quality
 from tidemark.operators.scan import HOUR_US
 from tidemark.operators.windows import fee_merge, windowed_fees
 from tidemark.plans.inputs_sql import CLASSIFIED, FEE_EVENTS, HOUR, PURCHASES, watermarks
+from tidemark.plans.joins import RECONCILED
 from tidemark.plans.registry import query
 from tidemark.plans.state import TTL_MS, cart_sql
 from tidemark.session import keep, new_folder
@@ -102,6 +105,62 @@ def upsert_too_late(spark, sf):
     return billing_run(spark, sf).rejected.view(spark)
 
 
+def _reconciled_sql(keys: str = "") -> str:
+    by, using = (f" GROUP BY {keys}", f"USING ({keys})") if keys else ("", "ON true")
+    named = f"{keys.replace('window_start_us', 'make_timestamp(window_start_us) AS window_start')}, " if keys else ""
+    part = lambda rows: f"SELECT {keys + ', ' if keys else ''}sum(fee) AS fee, count(*) AS n FROM classified{rows}{by}"
+    return f"""WITH {_JUDGED},
+  a AS ({part('')}), l AS ({part(" WHERE class = 'too_late'")}), r AS ({part(" WHERE class <> 'too_late'")})
+  SELECT {named}{RECONCILED} FROM a LEFT JOIN l {using} LEFT JOIN r {using}"""
+
+
+def _reconciled(spark, sf, *keys):
+    """What landed against what the job wrote: records, too-late table and reports, each read from its own files."""
+    job = billing_run(spark, sf)
+    hour = lambda df: df.withColumn("window_start", F.window("occurred_at", "1 hour").start)
+    landed = wire.decode_orders(spark.read.schema(schemas.RECORD).parquet(f"{job.root}/landing"))
+    return quality.reconcile(hour(landed), hour(job.rejected.view(spark)), job.reports.view(spark), list(keys))
+
+
+@query("reconcile", _reconciled_sql())
+def reconcile(spark, sf):
+    return _reconciled(spark, sf)
+
+
+@query("reconcile_window", _reconciled_sql("window_start_us"))
+def reconcile_window(spark, sf):
+    return _reconciled(spark, sf, "window_start")
+
+
+@query("reconcile_scope", _reconciled_sql("window_start_us, customer_id"))
+def reconcile_scope(spark, sf):
+    """By window and customer; ``reconcile_rows`` goes on to partition and sequence."""
+    return _reconciled(spark, sf, "window_start", "customer_id")
+
+
+_FAULTS = "CASE WHEN event_id % 211 = 7 THEN 'missing' WHEN event_id % 223 = 9 THEN 'repeated' WHEN event_id % 227 = 11 THEN 'altered' END"
+
+
+@query("reconcile_rows", f"""WITH {FEE_EVENTS}, f AS (SELECT *, {_FAULTS} AS fault FROM fee_events)
+  SELECT source_partition, sequence, fault, CAST(1 AS BIGINT) AS left_rows, CAST(CASE fault WHEN 'missing' THEN 0 WHEN 'repeated' THEN 2 ELSE 1 END AS BIGINT) AS right_rows
+  FROM f WHERE fault IS NOT NULL""")
+def reconcile_rows(spark, sf):
+    """The audit table with some rows lost, doubled and changed against what landed: every such row by name.
+
+    Digests of window, customer and partition are compared first; only what differs is compared row by row.
+    """
+    job = billing_run(spark, sf)
+    columns = ["source_partition", "sequence", "customer_id", "fee", "occurred_at", "window_start"]
+    hour = lambda df: df.withColumn("window_start", F.window("occurred_at", "1 hour").start)
+    landed = hour(wire.decode_orders(spark.read.schema(schemas.RECORD).parquet(f"{job.root}/landing"))).select(*columns)
+    audit = hour(job.audit.view(spark).withColumnRenamed("sequence_number", "sequence")).select(*columns)
+    fault = F.expr(_FAULTS.replace("event_id", "((sequence - 1) * 16 + source_partition)"))
+    broken = audit.withColumn("fault", fault).where("fault is null or fault <> 'missing'")
+    broken = broken.withColumn("fee", F.when(F.col("fault") == "altered", F.col("fee") + 1).otherwise(F.col("fee")).cast("decimal(19,2)"))
+    broken = broken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("fault") == "repeated", 2).otherwise(1)))).select(*columns)
+    return digests.differing_rows(landed, broken, [["window_start"], ["customer_id"], ["source_partition"]], ["source_partition", "sequence"], ["fee", "occurred_at"])
+
+
 @query("stream_watermarks", f"WITH {_STAGED},\n{watermarks()} SELECT arrival_batch, wm_us FROM wm")
 def stream_watermarks(spark, sf):
     """The streaming ledger reaches the same watermarks as the batch ledger."""
