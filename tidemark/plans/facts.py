@@ -11,6 +11,7 @@ from tidemark.plans.registry import query
 from tidemark.plans.rows import YEAR
 from tidemark.session import new_folder
 from tidemark.sources import fixtures, tables
+from tidemark.sources.tiered import TieredTable
 
 _STORED: dict[tuple[str, str, str], str] = {}
 
@@ -119,18 +120,17 @@ def late_version_case(spark, sf):
 @query("retention_tier", f"""WITH {WORKLOAD} SELECT CASE WHEN event_time >= TIMESTAMP '2000-01-01' THEN 'hot' ELSE 'cold' END AS tier, count(*) AS rows,
     min(event_time) AS first_at, max(event_time) AS last_at FROM workload GROUP BY 1""")
 def retention_tier(spark, sf):
-    """Cold months move to their own table; both tiers together lose nothing."""
-    hot, cold = layout.split_by_age(spark.read.parquet(stored(spark, sf, "user")), 200001)
-    tiers = []
-    for name, rows in (("hot", hot), ("cold", cold)):
-        path = new_folder(spark, f"tier-{name}")
-        rows.write.partitionBy("event_month").parquet(path)
-        tiers.append(
-            spark.read.parquet(path).agg(
-                F.count(F.lit(1)).alias("rows"), F.min("event_time").alias("first_at"), F.max("event_time").alias("last_at")
-            ).select(F.lit(name).alias("tier"), "rows", "first_at", "last_at")
-        )
-    return tiers[0].unionByName(tiers[1])
+    """Cold months change their tier in the manifest, no file is written again; both tiers together lose nothing."""
+    rows = tables.workload(spark, sf)
+    table = TieredTable(new_folder(spark, "tiers"), rows.schema, layout.USER_FIRST)
+    table.append(rows.where("event_time < timestamp'1999-01-01'"), 0)
+    table.append(rows.where("event_time >= timestamp'1999-01-01'"), 1)
+    table.retier(spark, 200001)
+    parts = []
+    for name in ("hot", "cold"):
+        found = table.read(spark, name).agg(F.count(F.lit(1)).alias("rows"), F.min("event_time").alias("first_at"), F.max("event_time").alias("last_at"))
+        parts.append(found.select(F.lit(name).alias("tier"), "rows", "first_at", "last_at"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("tombstones", f"""WITH {FACTS}, t AS (SELECT *, order_id % 15 = 2 AS deleted FROM facts),

@@ -10,6 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions import money
 from tidemark.operators import digests, quality
 from tidemark.operators.scan import HOUR_US
 from tidemark.operators.windows import fee_merge, windowed_fees
@@ -25,6 +26,7 @@ from tidemark.streaming.checkpoints import batch_log, committed_offsets, offsets
 from tidemark.streaming.processors import cart_stream as cart_stream_rows
 from tidemark.streaming.processors import state_store
 from tidemark.streaming.progress import ProgressTable
+from tidemark.streaming.rules import ARRIVING, RuledStream
 from tidemark.streaming.purchases import SpendStream
 
 STAGES = 4
@@ -234,6 +236,32 @@ def cart_stream(spark, sf):
     return _cart_rows(spark, sf, "write").unionByName(_cart_rows(spark, sf, "read_write"))
 
 
+_RULES = """rules AS (SELECT event_type AS key, ts AS at, max(CAST(user_id % 7 + 1 AS DOUBLE)) AS weight FROM events WHERE event_id % 101 = 3 GROUP BY ALL)"""
+
+
+@query("enrich_rules_stream", f"""WITH {_RULES} SELECT e.event_id, e.event_type, r.weight, r.at AS rule_at, CAST(CAST(e.value AS DECIMAL(19,2)) AS DOUBLE) * r.weight AS weighted
+  FROM events e ASOF LEFT JOIN rules r ON e.event_type = r.key AND e.ts >= r.at""")
+def enrich_rules_stream(spark, sf):
+    """Events weighed by the rule of their type that held at their time; every second rule arrives two batches late."""
+    root = new_folder(spark, "rules")
+    job, events = RuledStream(root), tables.events(spark, sf)
+    quarter = events.agg(F.expr("max(event_id) div 4 + 1")).scalar()
+    stage = F.floor(F.col("event_id") / quarter)
+    records = events.select(F.col("event_id").alias("id"), F.col("event_type").alias("key"), F.col("ts").alias("at"), F.lit(None).cast("double").alias("weight"), stage.alias("stage"))
+    late = stage + F.when(F.expr("event_id div 101") % 2 == 1, 2).otherwise(0)
+    rules = events.where("event_id % 101 = 3").select(
+        F.lit(None).cast("bigint").alias("id"), F.col("event_type").alias("key"), F.col("ts").alias("at"), (F.col("user_id") % 7 + 1).cast("double").alias("weight"), late.alias("stage")
+    )
+    arriving = keep(records.unionByName(rules), "arriving")
+    for batch in range(6):
+        arriving.where(F.col("stage") == batch).drop("stage").coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    stream = readers.table_stream(spark, f"{root}/landing", ARRIVING, max_files=1)
+    job.start(stream, f"{root}/checkpoint", available_now=True).awaitTermination()
+    amounts = events.select(F.col("event_id").alias("id"), money(F.col("value")).cast("double").alias("amount"))
+    found = job.judged.view(spark).join(amounts, "id")
+    return found.select(F.col("id").alias("event_id"), F.col("key").alias("event_type"), "weight", "rule_at", (F.col("amount") * F.col("weight")).alias("weighted"))
+
+
 @query("src_replay", f"WITH {FEE_EVENTS} SELECT event_id, customer_id, CAST(fee AS DOUBLE) AS fee FROM fee_events")
 def src_replay(spark, sf):
     """A finite source replayed in two runs: the checkpoint remembers the position."""

@@ -121,6 +121,11 @@ class KeyedTable:
         touched = {r[0] for r in keyed.select(self.part().alias("p")).distinct().collect()}
         return self._latest(self._read(spark, self.manifest(spark).latest().of(touched)), before)
 
+    def since(self, spark: SparkSession, period: str, before: int | None = None) -> DataFrame:
+        """The view of the periods from ``period`` on, by the order of their names; earlier ones are not read."""
+        files = [f for f in self.manifest(spark).latest().files if f.part.rsplit(".", 1)[0] >= period]
+        return self._latest(self._read(spark, files), before)
+
     def _latest(self, rows: DataFrame, before: int | None) -> DataFrame:
         if before is not None:
             rows = rows.where(F.col("batch_id") < before)
