@@ -342,3 +342,20 @@ def test_entropy(spark):
     rows = [("", 0.0), ("aaaa", 0.0), ("ab", 1.0), ("abcd", 2.0)]
     got = spark.createDataFrame(rows, "t string, e double").select("e", urls.entropy(F.col("t")).alias("g")).collect()
     assert all(r.g == pytest.approx(r.e) for r in got)
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "² ½"), (2, "Ⅷ ①"), (3, "x² y½ the")], "doc_id bigint, text string")
+    model = languages.learn(spark.createDataFrame([("the cat and the dog", "en"), ("der Hund und die Katze", "de")], "text string, lang string"))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in languages.identified(docs, model).collect()}
+    assert found[1] == found[2] == ("und", 0.0) and found[3][0] == "en"
+    assert languages.letters("x²y Ⅷa") == ["x", "y", "a"]
+
+
+def test_chunks_close_by_their_different_words(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_SPELLED", 400)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(20)), False, True) for i in range(30)], "doc_id bigint, text string, held_out boolean, learn boolean").coalesce(1)
+    small = {r.doc_id: (r.n_known, r.base_score) for r in mixing.scored(docs).collect()}
+    assert mixing.chunked(docs.select("doc_id", F.col("text").cast("binary"), "held_out", "learn")).select("chunk").distinct().count() > 10
+    monkeypatch.setattr(mixing, "CHUNK_SPELLED", 10**9)
+    assert small == {r.doc_id: (r.n_known, r.base_score) for r in mixing.scored(docs).collect()} and len(small) == 30
