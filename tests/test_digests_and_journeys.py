@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import automaton, digests
+from tidemark.operators import automaton, digests, quality
 from tidemark.operators.behaviour import journeys
 
 ROWS = "day int, customer string, part int, seq int, fee int, note string"
@@ -79,3 +79,28 @@ def test_a_purchase_before_its_page_is_not_converted(spark):
     kind = F.col("kind")
     found = journeys(df, "user", "at", 600_000_000, {"pages": kind == "page", "buys": kind == "buy"}, "id").orderBy("user", "session_start").collect()
     assert [(r.user, r.pages, r.buys, r.reached, r.converted) for r in found] == [("a", 1, 1, 1, False), ("a", 0, 1, 0, False), ("b", 1, 1, 2, True), ("c", 0, 0, 0, False)]
+
+
+def test_the_gate_reads_its_input_once(spark, tmp_path):
+    rows = [(i, i % 3 or None, i % 40, 10 * i - (200 if i == 30 else 0)) for i in range(100)]
+    spark.createDataFrame(rows, "id int, part int, seq int, meter int").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    back = quality.goes_back(df, ["part"], "id", "meter", "back", width=None)
+    gated = quality.gate(back, {"went back": F.col("back"), "even": F.col("id") % 2 == 0}, ["part", "seq"], "id", width=None)
+    plan = gated._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    counts = quality.split_and_count(gated, str(tmp_path / "out"), ["went back", "even", "duplicate"])
+    want = {}
+    first, last = {}, {}
+    for i, part, seq, meter in rows:
+        reasons = ["went back"] * (part in last and meter < last[part]) + ["even"] * (i % 2 == 0)
+        last[part] = meter
+        if part is not None:
+            reasons += ["duplicate"] * ((part, seq) in first)
+            first[part, seq] = i
+        want[i] = reasons
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert {r.id: r.reasons for r in out.collect()} == want
+    assert {r.id for r in out.where("valid = 1").collect()} == {i for i, r in want.items() if not r}
+    assert counts["rows"] == 100 and counts["valid"] == sum(not r for r in want.values())
+    assert all(counts[n] == sum(n in r for r in want.values()) for n in ("went back", "even", "duplicate"))

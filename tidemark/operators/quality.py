@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions import micros, money, row_digest
+from tidemark.operators.enrich import small_or_plain
 from tidemark.operators.scan import AUTO, PER_ROWS, Running, running
 
 _SIDES = ("source", "too_late", "reported")
@@ -88,21 +89,51 @@ def arrival_disorder(df: DataFrame, keys: Sequence[str], order: str, ts: str = "
     return ahead.withColumn("behind_us", F.col("_seen_us") - us).drop("_seen_us")
 
 
-def gate(df: DataFrame, rules: dict[str, Column], duplicates_of: Sequence[str] = (), order: str | None = None) -> DataFrame:
+def gate(df: DataFrame, rules: dict[str, Column], duplicates_of: Sequence[str] = (), order: str | None = None,
+         width: int | str | None = AUTO) -> DataFrame:
     """Add ``reasons``: the names of the rules a row breaks (empty means valid).
 
     A rule is a condition that marks a bad row; an unknown condition counts as
     bad. With ``duplicates_of`` every row but the first of a key is bad too; a
-    key with a null part is incomplete, not repeated.
+    key with a null part is incomplete, not repeated. Repeats are told by a
+    running count, so the table is scanned once and a key that repeats very
+    often is cut into chunks.
     """
     reasons = [F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in rules.items()]
     if duplicates_of:
-        # The first position per key, brought back on the key: no group is gathered.
-        firsts = df.dropna(subset=list(duplicates_of)).groupBy(*duplicates_of).agg(F.min(order).alias("_first"))
-        match = reduce(lambda a, b: a & b, [df[k] == firsts[k] for k in duplicates_of])
-        df = df.join(firsts, match, "left").select(df["*"], "_first")
-        reasons.append(F.when(F.col(order) > F.col("_first"), F.lit("duplicate")))
-    return df.withColumn("reasons", F.array_compact(F.array(*reasons))).drop("_first")
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in duplicates_of])
+        # Incomplete keys are no key of many rows: each stands for itself.
+        alone = F.when(~whole, F.col(order))
+        df = running(df.withColumn("_alone", alone), [*duplicates_of, "_alone"], order, [Running("_times", "sum", F.lit(1))], width, slice_width=PER_ROWS)
+        reasons.append(F.when(whole & (F.col("_times") > 1), F.lit("duplicate")))
+    return df.withColumn("reasons", F.array_compact(F.array(*reasons))).drop("_times", "_alone")
+
+
+def goes_back(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, width: int | str | None = AUTO) -> DataFrame:
+    """Add ``name``: whether a value that only ever grows is below the one before it in its series; false for the first.
+
+    Null values are no step of the series.
+    """
+    before = running(df, list(keys), order, [Running("_last", "last", F.col(value), -1)], width, slice_width=PER_ROWS)
+    return before.withColumn(name, F.coalesce(F.col(value) < F.col("_last"), F.lit(False))).drop("_last")
+
+
+def unknown_to(df: DataFrame, dim: DataFrame, on: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``: whether a row has no row in ``dim``; a null key is unknown to it."""
+    known = dim.select(*on).distinct().withColumn("_known", F.lit(True))
+    return df.join(small_or_plain(known), list(on), "left").withColumn(name, F.col("_known").isNull()).drop("_known")
+
+
+def split_and_count(gated: DataFrame, path: str, names: Sequence[str]) -> dict[str, int]:
+    """Write valid and quarantined rows apart in one pass, counting rows, valid rows and each reason on the way.
+
+    The counts are those of the rows as they are written: nothing is read again for them.
+    """
+    seen = Observation()
+    each = [F.count(F.when(F.array_contains("reasons", n), 1)).alias(n) for n in names]
+    counted = gated.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.size("reasons") == 0, 1)).alias("valid"), *each)
+    counted.withColumn("valid", F.when(F.size("reasons") == 0, 1).otherwise(0)).write.partitionBy("valid").parquet(path)
+    return seen.get
 
 
 def valid(gated: DataFrame) -> DataFrame:

@@ -49,8 +49,13 @@ def arrival_disorder(spark, sf):
     return spread.select("source_partition", "n", "min", "max", *[F.round(p, 3).alias(p) for p in ("p50", "p99")])
 
 
+GATE_REASONS = ("customer missing", "fee not positive", "time out of range", "currency unknown", "reading went back", "customer unknown", "duplicate")
+_GATES: dict[tuple[str, str], tuple[str, dict[str, int]]] = {}
+
+
 def gated(spark, sf):
-    """Events with derived faults: no customer, seconds for microseconds, repeats, negative fees."""
+    """Events with derived faults: no or an unknown customer, seconds for microseconds, repeats, negative fees, another
+    currency, a meter reading below the one before it."""
     i = F.col("event_id")
     dirty = tables.fee_events(spark, sf).select(
         "arrival",
@@ -62,44 +67,56 @@ def gated(spark, sf):
         F.when(i % 37 == 0, F.timestamp_seconds((F.unix_seconds("occurred_at") / 1000).cast("bigint")))
         .otherwise(F.col("occurred_at"))
         .alias("occurred_at"),
+        F.when(i % 43 == 0, "XXX").otherwise("EUR").alias("currency"),
+        (F.expr("event_id div 3") - F.when(i % 53 == 0, 50).otherwise(0)).alias("reading"),
     )
-    return quality.gate(
-        dirty,
-        {
-            "customer missing": F.col("customer_id").isNull(),
-            "fee not positive": F.col("fee") <= 0,
-            "time out of range": ~F.col("occurred_at").between(
-                F.lit("2023-01-01").cast("timestamp"), F.lit("2025-01-01").cast("timestamp")
-            ),
-        },
-        duplicates_of=["source_partition", "sequence"],
-        order="arrival",
-    )
+    known = tables.events(spark, sf).where("user_id % 19 <> 0").select(F.format_string("user-%d", "user_id").alias("customer_id"))
+    dirty = quality.goes_back(dirty, ["source_partition"], "event_id", "reading", "went_back")
+    dirty = quality.unknown_to(dirty, known, ["customer_id"], "stranger")
+    span = F.col("occurred_at").between(F.lit("2023-01-01").cast("timestamp"), F.lit("2025-01-01").cast("timestamp"))
+    rules = [F.col("customer_id").isNull(), F.col("fee") <= 0, ~span, ~F.col("currency").isin("EUR", "USD"), F.col("went_back"), F.col("customer_id").isNotNull() & F.col("stranger")]
+    return quality.gate(dirty, dict(zip(GATE_REASONS, rules, strict=False)), duplicates_of=["source_partition", "sequence"], order="arrival")
+
+
+def gate_run(spark, sf) -> tuple[str, dict[str, int]]:
+    """One pass over the events: valid and quarantined rows stored apart, with the counts observed on the way."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _GATES:
+        path = new_folder(spark, "gate")
+        _GATES[at] = path, quality.split_and_count(gated(spark, sf), path, GATE_REASONS)
+    return _GATES[at]
 
 
 _GATED = f"""{FEE_EVENTS},
   dirty AS (SELECT arrival, event_id, CASE WHEN event_id % 17 <> 0 THEN customer_id END AS customer_id, source_partition,
       sequence - (CASE WHEN event_id % 29 = 0 THEN 1 ELSE 0 END) AS sequence,
-      CASE WHEN event_id % 31 = 0 THEN -fee ELSE fee END AS fee, event_id % 37 = 0 AS bad_time FROM fee_events),
-  faults AS (SELECT *, min(arrival) OVER (PARTITION BY source_partition, sequence) < arrival AS repeated FROM dirty),
+      CASE WHEN event_id % 31 = 0 THEN -fee ELSE fee END AS fee, event_id % 37 = 0 AS bad_time, event_id % 43 = 0 AS bad_currency,
+      event_id // 3 - (CASE WHEN event_id % 53 = 0 THEN 50 ELSE 0 END) AS reading FROM fee_events),
+  faults AS (SELECT *, min(arrival) OVER (PARTITION BY source_partition, sequence) < arrival AS repeated,
+      coalesce(reading < lag(reading) OVER (PARTITION BY source_partition ORDER BY event_id), false) AS went_back,
+      customer_id NOT IN (SELECT 'user-' || user_id FROM events WHERE user_id % 19 <> 0) AS stranger FROM dirty),
   gated AS (SELECT *, concat_ws(',', CASE WHEN customer_id IS NULL THEN 'customer missing' END, CASE WHEN fee <= 0 THEN 'fee not positive' END,
-      CASE WHEN bad_time THEN 'time out of range' END, CASE WHEN repeated THEN 'duplicate' END) AS reasons FROM faults)"""
+      CASE WHEN bad_time THEN 'time out of range' END, CASE WHEN bad_currency THEN 'currency unknown' END, CASE WHEN went_back THEN 'reading went back' END,
+      CASE WHEN stranger THEN 'customer unknown' END, CASE WHEN repeated THEN 'duplicate' END) AS reasons FROM faults)"""
 
 
 @query("quality_gate", f"WITH {_GATED} SELECT event_id, reasons FROM gated WHERE reasons <> ''")
 def quality_gate(spark, sf):
-    return quality.quarantine(gated(spark, sf)).select("event_id", F.concat_ws(",", "reasons").alias("reasons"))
+    rows = spark.read.parquet(gate_run(spark, sf)[0]).where("valid = 0")
+    return rows.select("event_id", F.concat_ws(",", "reasons").alias("reasons"))
 
 
 @query("quality_valid", f"WITH {_GATED} SELECT event_id, source_partition, sequence, CAST(fee AS DOUBLE) AS fee FROM gated WHERE reasons = ''")
 def quality_valid(spark, sf):
-    return quality.valid(gated(spark, sf)).select("event_id", "source_partition", "sequence", "fee")
+    return spark.read.parquet(gate_run(spark, sf)[0]).where("valid = 1").select("event_id", "source_partition", "sequence", "fee")
 
 
 @query("quality_counts", f"""WITH {_GATED} SELECT reason, count(*) AS rows FROM (
     SELECT unnest(string_split(CASE WHEN reasons = '' THEN 'valid' ELSE reasons END, ',')) AS reason FROM gated) GROUP BY 1""")
 def quality_counts(spark, sf):
-    return quality.quality_counts(gated(spark, sf))
+    """The counts observed while the rows were written: no second look at them."""
+    counts = gate_run(spark, sf)[1]
+    return spark.createDataFrame([(n, counts[n]) for n in ("valid", *GATE_REASONS) if counts[n]], "reason string, rows bigint")
 
 
 EXPORT = ("event_id", "order_id", "event_time", "amount")
