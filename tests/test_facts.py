@@ -163,3 +163,17 @@ def test_a_hot_key_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert len(per_task) >= 6 and max(r.rows for r in per_task) < 1000
     assert out.where("k = 'hot'").agg(F.max("n")).first()[0] == 2000
+
+
+def test_searches_read_the_pages_of_their_key(spark):
+    """Short pages in sort order: the layout that a search is made for reads a small part of the year it asks for."""
+    from tidemark.operators import layout, search
+    from tidemark.plans.facts import four_searches, stored
+
+    read = {}
+    for kind in ("user", "symbol"):
+        table = spark.read.parquet(stored(spark, "/root/testdata/sf0.1", kind))
+        read[kind] = {n: layout.scan_metrics(search.counted(f))[0]["rows"] for n, f in four_searches(table).items()}
+    whole = read["user"]["date_range"]
+    assert read["user"]["user_range"] < whole / 10 and read["symbol"]["symbol_range"] < whole / 3
+    assert read["user"]["order"] < 0.1 * spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").count()

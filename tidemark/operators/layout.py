@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import month_key
 
 USER_FIRST = ("user_id", "event_time", "symbol", "order_id")
+PAGE_ROWS = 500
 SYMBOL_FIRST = ("symbol", "event_time", "user_id", "order_id")
 
 
@@ -18,13 +19,16 @@ def write_layout(df: DataFrame, path: str, sort: Sequence[str], mode: str = "app
     """Month folders with rows in sort order, so row groups have narrow bounds.
 
     Range partitioning on (month, sort key) spreads one busy user or month over
-    several tasks, which hashing the month would not. A key that no sort order
-    serves gets Bloom filters, so a point lookup skips the row groups without it.
+    several tasks, which hashing the month would not. Pages are short, so their
+    bounds follow the sort key and a search reads the pages of its key alone. A
+    key that no sort order serves gets Bloom filters, so a point lookup skips the
+    row groups without it.
     """
     keyed = df.withColumn("event_month", month_key(F.col("event_time")))
     by = ["event_month", *sort]
     ranged = keyed.repartitionByRange(files, *by) if files else keyed.repartitionByRange(*by)
     writer = ranged.sortWithinPartitions(*by).write.mode(mode).partitionBy("event_month")
+    writer = writer.option("parquet.page.row.count.limit", PAGE_ROWS)
     for key in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", True).option("parquet.bloom.filter.adaptive.enabled", True)
     writer.parquet(path)
