@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by multi-index hashing of learned binary codes.
 
-A rotation fitted on a bounded sample turns each vector into 64 bits whose differences follow the angle between vectors.
-The code is cut into s substrings, and each substring is an index of its own. Two codes within s (t + 1) - 1 bits have a
+Rotations fitted on a bounded sample turn each vector into a code of four 64-bit words whose differences follow the angle
+between vectors. The first word is cut into s substrings, and each substring is an index of its own. Two codes within s (t + 1) - 1 bits have a
 substring within t bits, so probing every substring's neighbours at distance 0, 1, .., t retrieves every code within that
-radius. Retrieved codes within the radius are reranked by the cosine of the original vectors.
+radius. The other words of the retrieved codes have a radius of their own, which is narrower for its length and is asked
+for inside the same join; codes within both are reranked by the cosine of the original vectors.
 
 The radius is each query's own: after every round it follows from the angle of the query's k-th best vector so far, as the
 distance that a vector at this angle exceeds in only ``MISS`` of all cases. Near neighbours end a search early; no number
@@ -20,13 +21,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import table_within
 from tidemark.session import keep
 
-BITS = 64
+BITS = 64  # of a word; the first is indexed
+WIDE = 3  # further words
 SAMPLE = 4096  # different vectors that the rotations, the margin and the number of substrings are learned from
 MISS = 0.05  # share of vectors at a query's last angle whose codes lie beyond the radius
 SPLITS = (16, 8, 4)  # numbers of substrings to choose from
 BUCKET = 4096  # codes of one bucket part
 QUERIES = 16_384  # queries of one grid row, as expected
 SHARD = 131_072  # vectors of one grid column, as expected
+WORDS = ["code", *(f"wide{i}" for i in range(WIDE))]
 FOUND = "query bigint, score double, vec_id bigint, row bigint"
 
 
@@ -48,14 +51,14 @@ def unit(x):
 
 
 def rotation(x, dim: int, rounds: int = 30):
-    """A (dim, BITS) matrix whose signs are a vector's code: blocks of at most ``dim`` bits, each the main directions of the
+    """A (dim, BITS * (1 + WIDE)) matrix whose signs are a vector's code: blocks of at most ``dim`` bits, each the main directions of the
     sample turned so that its members lie near the corners of a cube. Directions at random where there is no sample.
     """
     import numpy as np
 
-    rng, parts, bits = np.random.default_rng(dim), [], BITS
-    while bits:
-        c = min(dim, bits)
+    rng, parts, done = np.random.default_rng(dim), [], 0
+    while done < BITS * (1 + WIDE):
+        c = min(dim, BITS - done % BITS)
         turned = np.linalg.qr(rng.standard_normal((c, c)))[0]
         axes = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, :c] if len(x) else np.linalg.qr(rng.standard_normal((dim, dim)))[0][:, :c]
         low = x @ axes
@@ -63,25 +66,25 @@ def rotation(x, dim: int, rounds: int = 30):
             u, _, vt = np.linalg.svd(np.where(low @ turned > 0, 1.0, -1.0).T @ low)
             turned = (u @ vt).T
         parts.append(axes @ turned)
-        bits -= c
+        done += c
     return np.concatenate(parts, 1)
 
 
 def codes(x, turned):
-    """Signed 64-bit codes of unit rows."""
+    """Codes of unit rows, a signed long for each word."""
     import numpy as np
 
-    return np.packbits(x @ turned > 0, axis=1, bitorder="little").view("<i8").ravel()
+    return np.packbits(x @ turned > 0, axis=1, bitorder="little").view("<i8")
 
 
 def learn(sample, k: int, total: int):
-    """(rotations by dimension, margin, substrings) from a list of sample vectors, ``total`` being the number of all."""
+    """(rotations by dimension, margins of the first word and of the others, substrings) from a list of sample vectors, ``total`` being the number of all."""
     import numpy as np
 
     by_dim: dict[int, list] = {}
     for v in sample:
         by_dim.setdefault(len(v), []).append(v)
-    turned, over, radii = {}, [], []
+    turned, over, radii = {}, ([], []), []
     for dim, some in by_dim.items():
         x = unit(np.array(some, float))
         turned[dim] = rotation(x, dim)
@@ -93,9 +96,11 @@ def learn(sample, k: int, total: int):
             cos[at] = -2
             near = np.argpartition(-cos, k - 1)[:k]
             p = np.clip(np.arccos(cos[near]) / math.pi, 1 / BITS, 1 - 1 / BITS)
-            over.append((np.bitwise_count(own[near] ^ own[at]) - BITS * p) / np.sqrt(BITS * p * (1 - p)))
+            apart = np.bitwise_count(own[near] ^ own[at])
+            for found, bits, counts in zip(over, (BITS, BITS * WIDE), (apart[:, 0], apart[:, 1:].sum(1)), strict=True):
+                found.append((counts - bits * p) / np.sqrt(bits * p * (1 - p)))
             radii.append(cos[near].min())
-    margin = max(1.3, float(np.quantile(np.concatenate(over), 1 - MISS))) if over else 2.0
+    margin, wide = (max(1.3, float(np.quantile(np.concatenate(found), 1 - MISS))) if found else 2.0 for found in over)
     p = math.acos(float(np.median(radii))) / math.pi if radii else 0.5
     radius = int(BITS * p + margin * math.sqrt(BITS * p * (1 - p)))
 
@@ -104,14 +109,14 @@ def learn(sample, k: int, total: int):
         deep = min(b, math.ceil((radius + 1) / s) - 1)
         return sum(s * math.comb(b, t) for t in range(deep + 1)) * (1 + total / 2.0**b)
 
-    return turned, margin, min(SPLITS, key=cost)
+    return turned, (margin, wide), min(SPLITS, key=cost)
 
 
-def _radius(cosine: Column, margin: float) -> Column:
+def _radius(cosine: Column, margin: float, bits: int = BITS) -> Column:
     """The number of differing bits that a vector at this cosine exceeds in MISS of all cases; all bits for null."""
     p = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) / math.pi
     # A null must be asked for by name: least and greatest pass over it.
-    return F.when(cosine.isNull(), BITS).otherwise(F.floor(BITS * p + margin * F.sqrt(BITS * p * (1 - p))).cast("int"))
+    return F.when(cosine.isNull(), bits).otherwise(F.floor(bits * p + margin * F.sqrt(bits * p * (1 - p))).cast("int"))
 
 
 def _coded(turned):
@@ -123,14 +128,14 @@ def _coded(turned):
         for batch in batches:
             vecs = batch.column("vec")
             sizes = np.asarray(vecs.value_lengths())
-            out = np.zeros(len(sizes), np.int64)
+            out = np.zeros((len(sizes), 1 + WIDE), np.int64)
             for dim in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == dim)
                 x = np.asarray(vecs.take(pa.array(at)).flatten()).reshape(len(at), dim)
                 if dim not in known:
                     known[dim] = rotation(np.zeros((0, dim)), dim)
                 out[at] = codes(unit(x), known[dim])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int32()), pa.array(out)], names=["node", "dim", "code"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int32()), *(pa.array(w) for w in out.T.copy())], names=["node", "dim", *WORDS])
 
     return run
 
@@ -148,29 +153,34 @@ def _substrings(code: Column, splits: int) -> Column:
 def retrieved(asked: DataFrame, coded: DataFrame, splits: int, distance: int) -> DataFrame:
     """(query, node): codes within ``most`` bits whose nearest substring lies at exactly ``distance`` bits, each pair once.
 
-    ``asked`` has (query, dim, code, most), ``coded`` (node, dim, code). Buckets of more than BUCKET codes are dealt to
+    ``asked`` has (query, dim, code, most), ``coded`` (node, dim, code); both may have further words, which ``most_wide``
+    then bounds. Buckets of more than BUCKET codes are dealt to
     parts, and their probes go to every part.
     """
     from itertools import combinations
 
     width = BITS // splits
     flips = ",".join(f"{sum(1 << i for i in c)}L" for c in combinations(range(width), distance))
-    cut = coded.select("node", "dim", "code", F.inline(_substrings(F.col("code"), splits)))
+    wide = [w for w in WORDS[1:] if w in coded.columns]
+    cut = coded.select("node", "dim", "code", *wide, F.inline(_substrings(F.col("code"), splits)))
     # At most one bucket in BUCKET codes is crowded, so this table stays small; it is looked at before it is broadcast.
     crowded = keep(cut.groupBy("dim", "sub", "key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts")).where("parts > 1"), "codes-crowded")
     crowded = table_within(crowded, 64)
     at = ["dim", "sub", "key"]
     part = F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")
-    listed = cut.join(crowded, at, "left").select("node", *at, F.col("code").alias("their"), part.alias("part"))
-    probes = asked.select("query", "dim", "code", "most", F.inline(_substrings(F.col("code"), splits)))
+    listed = cut.join(crowded, at, "left").select("node", *at, *[F.col(w).alias(f"their_{w}") for w in ("code", *wide)], part.alias("part"))
+    probes = asked.select("query", "dim", "code", "most", *(["most_wide", *wide] if wide else []), F.inline(_substrings(F.col("code"), splits)))
     probes = probes.withColumn("flip", F.explode(F.expr(f"array({flips})"))).withColumn("key", F.col("key").bitwiseXOR(F.col("flip"))).drop("flip")
     probes = probes.join(crowded, at, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    found = probes.join(listed, [*at, "part"]).withColumn("apart", F.col("code").bitwiseXOR(F.col("their")))
+    found = probes.join(listed, [*at, "part"]).withColumn("apart", F.col("code").bitwiseXOR(F.col("their_code")))
     first = F.lit(True)
     for i in range(splits):
         here = F.bit_count(F.shiftright("apart", i * width).bitwiseAND(F.lit((1 << width) - 1)))
         first = first & F.when(F.col("sub") > i, here > distance).otherwise(here >= distance)
-    return found.where((F.bit_count("apart") <= F.col("most")) & first).select("query", "node")
+    near = F.bit_count("apart") <= F.col("most")
+    if wide:
+        near = near & (sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"their_{w}"))) for w in wide), F.lit(0)) <= F.col("most_wide"))
+    return found.where(near & first).select("query", "node")
 
 
 def _reranked(k):
@@ -251,15 +261,15 @@ def nearest(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str
     total, n_asking = nodes.count(), asking.select("node").distinct().count()
 
     some = nodes.orderBy("hash", "vec").limit(sample).select("vec").toArrow().column("vec").to_pylist()
-    turned, margin, best_split = learn(some, k, total)
+    turned, (margin, margin_wide), best_split = learn(some, k, total)
     splits = split or best_split
-    coded = keep(nodes.select("node", "vec").mapInArrow(_coded(turned), "node bigint, dim int, code bigint"), "codes")
-    asked = keep(coded.join(asking.select("node").distinct(), "node").select(F.col("node").alias("query"), "dim", "code"), "codes-asked")
+    coded = keep(nodes.select("node", "vec").mapInArrow(_coded(turned), f"node bigint, dim int, {', '.join(f'{w} bigint' for w in WORDS)}"), "codes")
+    asked = keep(coded.join(asking.select("node").distinct(), "node").select(F.col("node").alias("query"), "dim", *WORDS), "codes-asked")
     grid = max(1, math.ceil(n_asking / QUERIES))
     shards = max(math.ceil(total / SHARD), math.ceil(vectors.sparkSession.sparkContext.defaultParallelism / grid))
     blocks = nodes.select(F.col("node").alias("query"), "vec").join(asked.select("query"), "query")
 
-    best, active = None, asked.withColumn("most", F.lit(BITS))
+    best, active = None, asked.withColumns({"most": F.lit(BITS), "most_wide": F.lit(BITS * WIDE)})
     for distance in range(BITS // splits + 1):
         pairs = retrieved(active, coded, splits, distance).withColumn("qblock", F.pmod(F.xxhash64("query"), F.lit(grid)).cast("int"))
         # At most the queries of one grid row in a list.
@@ -274,7 +284,7 @@ def nearest(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str
         best = keep(_best(found if best is None else best.unionByName(found), k + 1), "codes-best")
         last = best.groupBy("query").agg(F.when(F.count("*") > k, F.min("score")).alias("last"))
         reached = splits * (distance + 1) - 1
-        active = asked.join(last, "query", "left").withColumn("most", _radius(F.col("last"), margin)).where(F.col("most") > reached).drop("last")
+        active = asked.join(last, "query", "left").withColumns({"most": _radius(F.col("last"), margin), "most_wide": _radius(F.col("last"), margin_wide, BITS * WIDE)}).where(F.col("most") > reached).drop("last")
         active = keep(active, "codes-active")
         if not active.count():
             break
