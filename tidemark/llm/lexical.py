@@ -97,7 +97,7 @@ def _inverted(table):
 
 
 def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_postings: int = BLOCK_POSTINGS) -> DataFrame:
-    """The index of all documents that have a term, stored in the order of m; a table of blocks, see ``BLOCK``.
+    """The index of all documents that have a term, a table of blocks, see ``BLOCK``; each file holds blocks in the order of m.
 
     Repeated rows and ids are documents of their own, a null id stays null, other columns are ignored. A stratum of many
     documents is dealt to as many blocks as its postings need, so no length is hot.
@@ -111,7 +111,7 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_pos
     # The lengths of all documents add up to L, so there are no more than sqrt(50 N) + 1 strata.
     strata = keep(placed.groupBy("m").agg(F.ceil(postings / block_postings).cast("int").alias("parts")), "lexical-strata")
     dealt = placed.join(table_within(strata, 16), "m").select("doc_id", "n", "words", "counts", "m", F.pmod(F.xxhash64("row"), "parts").cast("int").alias("block"))
-    blocks = dealt.repartitionByRange("m", "block").groupBy("m", "block").applyInArrow(_inverted, BLOCK)
+    blocks = dealt.groupBy("m", "block").applyInArrow(_inverted, BLOCK)
     path = new_folder(docs.sparkSession, "lexical-index")
     blocks.write.option("maxRecordsPerFile", BLOCKS_A_FILE).parquet(path)
     return docs.sparkSession.read.schema(blocks.schema).parquet(path)
@@ -264,7 +264,7 @@ def _search(blocks: DataFrame, asked, n_docs: int, k: int) -> DataFrame:
         low, high = asks.agg(F.min("m"), F.max("m")).first()
         if low is None:  # an item's bounds fall with its visits: what comes later cannot matter either
             return best
-        # Stored in the order of m: blocks outside these strata are not read.
+        # Files lie in the order of m: many hold none of these strata and are skipped by their bounds.
         found = blocks.where(F.col("m").between(low, high)).join(table_within(asks, 64), "m")
         found = found.select("m", "docs", "terms", "of_term", "tf", "size", "members", "asks").mapInArrow(_scored(vocabulary, item, term, weight, k), HITS)
         best = keep(_best(best.select("item", "score", "doc_id").unionByName(found), k), "lexical-best")
