@@ -225,8 +225,8 @@ def pack(docs: DataFrame, encode_with: tuple, doc_id: str = "doc_id", text: str
                 for at in range(0, int(sizes[d] - rest[d]), window):
                     parts.append((d, at, window, first, 0))
                     first += 1
-            for at in range(0, len(parts), 8192):
-                some = parts[at : at + 8192]
+            for at in range(0, len(parts), 2048):
+                some = parts[at : at + 2048]
                 columns = [
                     pa.array([names[p[0]] for p in some], pa.int64()),
                     pa.array([p[1] for p in some], pa.int64()),
@@ -248,6 +248,7 @@ def pack(docs: DataFrame, encode_with: tuple, doc_id: str = "doc_id", text: str
                 if held >= RUN_TOKENS:
                     yield from packed(names, texts)
                     names, texts, held = [], [], 0
+                    pa.default_memory_pool().release_unused()
         if names:
             yield from packed(names, texts)
 
