@@ -356,6 +356,6 @@ def test_chunks_close_by_their_different_words(spark, monkeypatch):
     monkeypatch.setattr(mixing, "CHUNK_SPELLED", 400)
     docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(20)), False, True) for i in range(30)], "doc_id bigint, text string, held_out boolean, learn boolean").coalesce(1)
     small = {r.doc_id: (r.n_known, r.base_score) for r in mixing.scored(docs).collect()}
-    assert mixing.chunked(docs.select("doc_id", F.col("text").cast("binary"), "held_out", "learn")).select("chunk").distinct().count() > 10
+    assert mixing.chunked(docs.select("doc_id", F.col("text").cast("binary"), "held_out", "learn")).select("chunk").distinct().count() == 8  # four texts each
     monkeypatch.setattr(mixing, "CHUNK_SPELLED", 10**9)
     assert small == {r.doc_id: (r.n_known, r.base_score) for r in mixing.scored(docs).collect()} and len(small) == 30
