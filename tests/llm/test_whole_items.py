@@ -48,7 +48,7 @@ FRUIT = "A farmer sold 3 apples and walked 60 km to the town before he bought 5
         FRUIT.replace("3 apples", "three apples"),
         FRUIT.replace("60 km", "60 kilometres"),
         FRUIT.replace("60 km", "1 000 km"),
-        FRUIT.replace("60 km", "seventy kilometers").replace("5 new", "nine new"),
+        FRUIT.replace("60 km", "70 kilometers").replace("5 new", "nine new"),
         FRUIT.upper().replace("KM", "km").lower(),
     ],
 )

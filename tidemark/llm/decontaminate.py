@@ -67,8 +67,13 @@ _SIGNS = "%$€£°"
 _NUMBER = r"\d+(?:[.,]\d+)*"
 # Scripts written without spaces: each character is a token.
 _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-_LETTER = rf"[\p{{L}}&&[^{_UNSPACED}]]"
-_TOKEN = rf"[\p{{L}}&&[{_UNSPACED}]]\p{{M}}*|{_MARKS}?{_LETTER}(?:{_LETTER}|[\p{{M}}'’])*|{_NUMBER}|[{_SIGNS}]"
+# Latin letters are told by their range first; the scripts are looked up for other letters alone.
+_LATIN = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_OTHER = rf"[\p{{L}}&&[^{_UNSPACED}]]"
+_TOKEN = (
+    rf"{_MARKS}?[{_LATIN}{_OTHER}][{_LATIN}'’{_OTHER}\p{{M}}]*+|{_NUMBER}|[{_SIGNS}]"
+    rf"|[\p{{L}}&&[{_UNSPACED}]]\p{{M}}*+"
+)
 # Six slots with two words between them at most: windows of which two words are plain, or fewer, lie in such stretches.
 _DENSE = f"{_SLOT}(?: (?:[^ {NAME}{UNIT}{NUMBER}]+ ){{0,2}}{_SLOT}){{5}}"
 
@@ -79,15 +84,13 @@ def surface_tokens(text: Column) -> Column:
     A capitalised word is a name after a lower-case letter, digit or comma and a space; elsewhere (at a sentence or line
     start) it is a word or a name. Digits grouped by spaces are one number in front of a unit.
     """
-    text = F.regexp_replace(text, _MARKS, "")
+    text = F.translate(text, NAME + UNIT + START + NUMBER, "")
     grouped = rf"(?<=\d)[ \u00a0\u202f](?=(?:\d{{3}}[ \u00a0\u202f])*\d{{3}}[ \u00a0\u202f](?:{UNITS})(?![\p{{L}}\p{{N}}]))"
-    text = F.when(text.rlike(r"\d[ \u00a0\u202f]\d{3}[ \u00a0\u202f]"), F.regexp_replace(text, grouped, "")).otherwise(text)
+    text = F.regexp_replace(text, grouped, "")
     text = F.regexp_replace(text, rf"(?<=\d)([ \u00a0\u202f]?)((?:{UNITS})(?![\p{{L}}\p{{N}}]))", f" {UNIT}$2")
-    text = F.regexp_replace(text, r"(?<=[\p{Ll}\p{Nd},;] )(?=\p{Lu}\p{Ll})", NAME)
-    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{M}}'’{NAME}{UNIT}{START}])(?=\p{{Lu}}\p{{Ll}})", START)
-    words = "|".join(NUMBER_WORDS)
-    after = rf"(?<![^\s])((?:{words})) ((?:{UNITS})(?![\p{{L}}\p{{N}}]))"  # three km: a unit after a number word
-    text = F.regexp_replace(text, after, f"$1 {UNIT}$2")
+    # Capitals are looked for first: few places go on to look behind.
+    text = F.regexp_replace(text, r"(?=[A-Z\p{Lu}][a-z\p{Ll}])(?<=[a-z0-9,;\p{Ll}\p{Nd}] )", NAME)
+    text = F.regexp_replace(text, rf"(?=[A-Z\p{{Lu}}][a-z\p{{Ll}}])(?<![a-zA-Z\p{{L}}\p{{M}}'’{NAME}{UNIT}{START}])", START)
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
@@ -191,11 +194,14 @@ def document_windows(tokens: DataFrame, kinds: set[tuple[str, int, bool]], *colu
     lists = []
     for width, every in sorted({(n, not long) for _, n, long in kinds}):
         starts = F.sequence(F.lit(0), F.size("words") - width, F.lit(1) if every else F.col("step"))
-        each = F.transform(starts, lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), F.array_distinct(F.array(*(_window(F.col(f), i, width) for f in forms))).alias("hashes")))  # noqa: B023
-        none = F.array().cast("array<struct<pos:int,width:int,hashes:array<bigint>>>")
+        each = F.transform(starts, lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), *(_window(F.col(f), i, width).alias(f) for f in forms)))  # noqa: B023
+        none = F.array().cast(f"array<struct<pos:int,width:int,{','.join(f'{f}:bigint' for f in forms)}>>")
         lists.append(F.when(F.size("words") >= width, each).otherwise(none))
-    placed = hashes.select(*columns, F.explode(F.concat(*lists) if len(lists) > 1 else lists[0]).alias("w"))
-    return placed.select(*columns, "w.pos", "w.width", F.explode("w.hashes").alias("hash"))
+    placed = hashes.select(*columns, F.inline(F.concat(*lists) if len(lists) > 1 else lists[0]))
+    # Most windows are the same in both forms and looked up once.
+    other = F.when(F.col("words") == F.col("names"), F.array("words")).otherwise(F.array("words", "names"))
+    wanted = F.concat(other, F.array("exact")) if "exact" in forms else other
+    return placed.select(*columns, "pos", "width", F.explode(wanted).alias("hash"))
 
 
 def whole_match(item: Column, doc: Column, shift: Column) -> Column:
