@@ -140,6 +140,32 @@ def _coded(turned):
     return run
 
 
+def _bars(sample, k):
+    """(query, last): the ``k``-th best cosine of a query among the sample; null where the sample has fewer."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        known: dict[int, list] = {}
+        for v in sample:
+            known.setdefault(len(v), []).append(v)
+        blocks = {dim: unit(np.array(some, float)) for dim, some in known.items() if len(some) >= k}
+        for batch in batches:
+            vecs = batch.column("vec")
+            sizes = np.asarray(vecs.value_lengths())
+            last = np.full(len(sizes), np.nan)
+            for dim in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == dim)
+                for some in np.split(at, range(512, len(at), 512)) if dim in blocks else ():
+                    x = np.asarray(vecs.take(pa.array(some)).flatten()).reshape(len(some), dim)
+                    # A hair lower, as sums are not added up in the same order everywhere.
+                    last[some] = np.partition(unit(x) @ blocks[dim].T, -k, axis=1)[:, -k] - 1e-9
+            yield pa.RecordBatch.from_arrays([batch.column("query"), pa.array(last, pa.float64(), mask=np.isnan(last))], names=["query", "last"])
+
+    return run
+
+
 def _signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
@@ -269,7 +295,13 @@ def nearest(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str
     shards = max(math.ceil(total / SHARD), math.ceil(vectors.sparkSession.sparkContext.defaultParallelism / grid))
     blocks = nodes.select(F.col("node").alias("query"), "vec").join(asked.select("query"), "query")
 
-    best, active = None, asked.withColumns({"most": F.lit(BITS), "most_wide": F.lit(BITS * WIDE)})
+    def limited(last: DataFrame) -> DataFrame:
+        """The queries with the radii that follow from their last cosine."""
+        radii = {"most": _radius(F.col("last"), margin), "most_wide": _radius(F.col("last"), margin_wide, BITS * WIDE)}
+        return asked.join(last, "query", "left").withColumns(radii).drop("last")
+
+    # The sample is part of the table: no query's last vector can be farther than its last one there.
+    best, active = None, keep(limited(blocks.mapInArrow(_bars(some, k + 1), "query bigint, last double")), "codes-active")
     for distance in range(BITS // splits + 1):
         pairs = retrieved(active, coded, splits, distance).withColumn("qblock", F.pmod(F.xxhash64("query"), F.lit(grid)).cast("int"))
         # At most the queries of one grid row in a list.
@@ -284,7 +316,7 @@ def nearest(vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str
         best = keep(_best(found if best is None else best.unionByName(found), k + 1), "codes-best")
         last = best.groupBy("query").agg(F.when(F.count("*") > k, F.min("score")).alias("last"))
         reached = splits * (distance + 1) - 1
-        active = asked.join(last, "query", "left").withColumns({"most": _radius(F.col("last"), margin), "most_wide": _radius(F.col("last"), margin_wide, BITS * WIDE)}).where(F.col("most") > reached).drop("last")
+        active = limited(last).where(F.col("most") > reached)
         active = keep(active, "codes-active")
         if not active.count():
             break
