@@ -14,10 +14,10 @@ VECTORS = "vec_id bigint, embedding array<float>, score string, rank int"
 def brute_topk(rows, every, k, scale=1024):
     ok = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, qv in ok:
+    for row, (q, qv) in enumerate(ok):
         if q % every:
             continue
-        found = sorted((-sum(a * b for a, b in zip(qv, cv, strict=True)), c) for c, cv in ok if c != q and len(cv) == len(qv))[:k]
+        found = sorted((-sum(a * b for a, b in zip(qv, cv, strict=True)), c) for other, (c, cv) in enumerate(ok) if other != row and len(cv) == len(qv))[:k]
         out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(found)]
     return sorted(out)
 
@@ -28,6 +28,7 @@ def vectors():
     rows = [(i, [rng.choice([-1.5, -0.25, 0.0, 0.125, 2.0]) for _ in range(6)]) for i in range(150)]
     rows += [(200 + i, rows[0][1]) for i in range(40)]  # one very common vector: ties by id
     rows += [(7, rows[3][1]), (7, rows[3][1])]  # repeated candidate rows
+    rows += [(50, rows[50][1]), (50, rows[51][1]), (50, [9.0] * 6), (60, [8.0] * 6), (60, [8.0] * 6)]  # repeated query ids
     rows += [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [1.0] * 6), (310, [1.0, 2.0]), (320, [3.0, 1.0]), (330, [])]
     return rows
 

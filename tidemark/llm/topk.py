@@ -13,7 +13,7 @@ BLOCK = 16_384  # queries held by one task
 SHARD = 131_072  # candidates of one grid column
 FAN_IN = 16  # lists merged in one step
 
-TOP = "array<struct<score:bigint,vec_id:bigint>>"
+TOP = "array<struct<score:bigint,vec_id:bigint,same:boolean>>"
 
 
 def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -25,7 +25,7 @@ def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataF
 
 
 def _tile(ids, block, own, vectors, k):
-    """The k best candidates of each query of a block in one tile: exact integer products."""
+    """The k best candidates of each query of a block in one tile: exact integer products, and which rows equal the query."""
     import numpy as np
 
     top = max(1.0, float(np.abs(block).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, block.shape[1]))
@@ -36,17 +36,18 @@ def _tile(ids, block, own, vectors, k):
         exact = [[sum(int(a) * int(b) for a, b in zip(q, c, strict=True)) for c in vectors] for q in wide]
         scores = np.clip(np.array(exact, object).reshape(len(block), len(vectors)), -(2**63) + 1, 2**63 - 1).astype(np.int64)
     for i in range(len(block)):
-        other = np.flatnonzero(ids != own[i])
-        row = scores[i, other]
+        other, row = np.arange(len(ids)), scores[i]
         if len(row) > k:  # all scores tied with the k-th stay until ids decide
             bar = np.partition(row, len(row) - k)[len(row) - k]
             other, row = other[row >= bar], row[row >= bar]
         best = np.lexsort((ids[other], -row))[:k]
-        yield i, row[best], ids[other[best]]
+        chosen = other[best]
+        same = (ids[chosen] == own[i]) & (vectors[chosen] == block[i]).all(1)
+        yield i, row[best], ids[chosen], same
 
 
-def _merged(old, scores, ids, k):
-    both = sorted([*old, *zip((-scores).tolist(), ids.tolist(), strict=True)])
+def _merged(old, scores, ids, same, k):
+    both = sorted([*old, *zip((-scores).tolist(), ids.tolist(), same.tolist(), strict=True)])
     return both[:k]
 
 
@@ -63,9 +64,9 @@ def _tiles(k):
         cell, held, lists = None, [], {}
 
         def finish():
-            out = [(q, cell[1], [(-s, i) for s, i in v]) for q, v in lists.items() if v]
-            kind = pa.list_(pa.struct([("score", pa.int64()), ("vec_id", pa.int64())]))
-            tops = pa.array([[{"score": s, "vec_id": i} for s, i in r[2]] for r in out], kind)
+            out = [(q, cell[1], [(-s, i, e) for s, i, e in v]) for q, v in lists.items() if v]
+            kind = pa.list_(pa.struct([("score", pa.int64()), ("vec_id", pa.int64()), ("same", pa.bool_())]))
+            tops = pa.array([[{"score": s, "vec_id": i, "same": e} for s, i, e in r[2]] for r in out], kind)
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()), tops], names=["query", "node", "top"])
 
         for batch in batches:
@@ -88,20 +89,22 @@ def _tiles(k):
                     for names, own, block in held:
                         for start in range(0, len(names), 1024):
                             piece = slice(start, start + 1024)
-                            for i, scores, found in _tile(ids[at : at + 4096], block[piece], own[piece], vectors[at : at + 4096], k):
+                            for i, scores, found, same in _tile(ids[at : at + 4096], block[piece], own[piece], vectors[at : at + 4096], k):
                                 q = int(names[start + i])
-                                lists[q] = _merged(lists.get(q, []), scores, found, k)
+                                lists[q] = _merged(lists.get(q, []), scores, found, same, k)
         if lists:
             yield finish()
 
     return run
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query row's ``k`` best candidates of another id and the same length.
+def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, block: int = BLOCK, shard: int = SHARD, own: bool = True) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query row's ``k`` best candidates of the same length.
 
-    Both inputs are (vec_id, v) from ``quantised``. Ties go to the smaller id; fewer candidates give fewer ranks; repeated
-    candidate rows rank each for itself, repeated query rows give repeated results. Scores beyond a long are held at its
+    Both inputs are (vec_id, v) from ``quantised``. With ``own``, the queries are rows of the candidates, and each leaves
+    out one candidate row equal to it in id and vector: its own. Rows that share an id find each other, and each gives its
+    own ranks under that ``query_id``. Ties go to the smaller id; fewer candidates give fewer ranks; repeated candidate
+    rows rank each for itself. Scores beyond a long are held at its
     ends. Queries are laid out as grid rows and candidates as grid columns; every cell is one bounded piece of work, and a
     task holds one block of queries while candidates stream past. No query or candidate set is ever in one place.
     """
@@ -116,17 +119,22 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, block: int = B
     right = candidates.select(F.lit(-1).cast("long").alias("query"), "vec_id", "v", spread(cols, F.monotonically_increasing_id()).alias("col")).withColumn("row", every(rows))
     both = left.unionByName(right).withColumn("dim", F.size("v"))
     cells = both.repartition(rows * cols, "row", "col", "dim").sortWithinPartitions("row", "col", "dim", F.col("query") < 0)
-    lists = cells.select("row", "col", "dim", "query", "vec_id", "v").mapInArrow(_tiles(k), f"query bigint, node int, top {TOP}")
+    lists = cells.select("row", "col", "dim", "query", "vec_id", "v").mapInArrow(_tiles(k + own), f"query bigint, node int, top {TOP}")
     order = lambda a, b: F.when(a.score != b.score, F.when(a.score > b.score, -1).otherwise(1)).when(a.vec_id < b.vec_id, -1).when(a.vec_id > b.vec_id, 1).otherwise(0)
     while True:
         lists = lists.withColumn("node", F.floor(F.col("node") / FAN_IN).cast("int"))
-        best = F.slice(F.array_sort(F.flatten(F.collect_list("top")), order), 1, k)
+        best = F.slice(F.array_sort(F.flatten(F.collect_list("top")), order), 1, k + own)
         lists = lists.groupBy("query", "node").agg(best.alias("top"))
         cols = math.ceil(cols / FAN_IN)
         if cols <= 1:
             break
     names = asked.select("query", F.col("vec_id").alias("query_id"))
-    ranked = lists.join(names, "query").select("query_id", F.posexplode("top").alias("at", "hit"))
+    ranked = lists.join(names, "query")
+    if own:
+        # Among equal ids and scores it does not matter which row goes: the others read alike.
+        at = F.array_position(F.transform("top", lambda x: x.same & (x.vec_id == F.col("query_id"))), F.lit(True))
+        ranked = ranked.withColumn("own", at).withColumn("top", F.slice(F.filter("top", lambda x, i: i + 1 != F.col("own")), 1, k))
+    ranked = ranked.select("query_id", F.posexplode("top").alias("at", "hit"))
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))
 
 
