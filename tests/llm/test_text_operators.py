@@ -338,6 +338,31 @@ def test_url_trees_predict_held_out_labels(spark):
     assert sum(got[1000 + i].verdict == ("block" if i % 2 else "allow") for i in range(100)) >= 90
 
 
+def test_url_trees_learn_from_different_urls(spark, monkeypatch):
+    """A sample of 60 out of 300 URLs, one of them on most rows: verdicts come from the URLs, not from its copies."""
+    monkeypatch.setattr(urls, "LEAST", 20)
+    rules = [("block", "bad.example", "/"), ("allow", "good.example", "/")]
+    rows = [(i, f"http://s{i}.{'bad' if i % 10 == 0 else 'good'}.example/{'x9-' * (i % 10 == 0)}{i}") for i in range(300)]
+    rows += [(1000 + i, f"http://t{i}.other.example/{'x9-' * (i % 2)}{i}") for i in range(60)] + [(5000, "http://s1.good.example/1")] * 3000
+    got = urls.judge(spark.createDataFrame(rows, "page_id bigint, url string"), rules=rules, sample=60, trees=3).where("page_id between 1000 and 1059").collect()
+    assert sum(r.verdict == ("block" if r.page_id % 2 else "allow") for r in got) >= 54
+
+
+def test_url_rules_over_whole_pages(spark):
+    """Host, path, rule and given verdict of every page, by plain Python."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: r for r in urls.judge(pages, trees=2).collect()}
+    for page in pages.select("page_id", "url").collect():
+        rest = (page.url or "").partition("://")[2]
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host) :])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        fits = [(len(h) + len(p), h + p, v) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule = max(fits, default=(0, None, None))
+        r = got[page.page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule[1]) and (rule[2] is None or r.verdict == rule[2])
+
+
 def test_entropy(spark):
     rows = [("", 0.0), ("aaaa", 0.0), ("ab", 1.0), ("abcd", 2.0)]
     got = spark.createDataFrame(rows, "t string, e double").select("e", urls.entropy(F.col("t")).alias("g")).collect()

@@ -20,6 +20,7 @@ RULES = (
     ("block", "com", "/de/"),
 )
 
+LEAST = 1_000  # different URLs of a verdict that training sees, if there are so many
 SAMPLE = 20_000  # labelled URLs that train the trees, expected
 SUFFIXES = 4096  # hashed host suffixes with statistics
 
@@ -95,7 +96,8 @@ def judge(pages: DataFrame, url: str = "url", row_id: str = "page_id", rules=RUL
     """(page_id, host, path, rule, verdict, block_score) for every row.
 
     URLs that a rule covers are the labelled ones. The trees learn from about ``sample`` different labelled URLs, chosen by
-    hash; suffix statistics count all labelled rows, in a fixed number of hashed buckets. A URL without a rule is blocked
+    hash before anything is shuffled, each verdict in its share but with ``LEAST`` URLs or all it has; suffix statistics
+    count all labelled rows, in a fixed number of hashed buckets, less the learned row's own URL while learning. A URL without a rule is blocked
     at a score over one half. Without labelled URLs of both kinds there is nothing to learn: all such URLs get the only
     kind there is, or ``allow``. Null URLs count as empty. Repeated rows are judged each.
     """
@@ -111,20 +113,23 @@ def judge(pages: DataFrame, url: str = "url", row_id: str = "page_id", rules=RUL
     totals = suffixes.agg(F.sum("n"), F.sum("blocked")).first()
     seen, blocked = totals[0] or 0, totals[1] or 0.0
     prior = blocked / seen if seen else 0.0
-    rate = ((F.coalesce("blocked", F.lit(0.0)) + 10 * prior) / (F.coalesce("n", F.lit(0)) + 10)).alias("suffix_rate")
 
-    def whole(frame):
+    def whole(frame, own_n=F.lit(0), own_blocked=F.lit(0.0)):
         joined = frame.join(F.broadcast(suffixes), "suffix", "left")
-        return joined.select(*frame.columns, rate, F.log1p(F.coalesce("n", F.lit(0)).cast("double")).alias("suffix_weight"))
+        n, hits = F.coalesce("n", F.lit(0)) - own_n, F.coalesce("blocked", F.lit(0.0)) - own_blocked
+        return joined.select(*frame.columns, ((hits + 10 * prior) / (n + 10)).alias("suffix_rate"), F.log1p(n.cast("double")).alias("suffix_weight"))
 
     score = F.lit(1.0 if blocked else 0.0)
     judged = rows
     if 0 < blocked < seen:
-        parts = 1 << 20
-        different = labelled.groupBy("url").agg(*(F.first(c).alias(c) for c in ("suffix", "label", *FEATURES[:-2])))
-        share = min(1.0, sample / seen)
-        chosen = different.where(F.pmod(F.xxhash64("url"), F.lit(parts)) < int(share * parts) + 1)
-        chosen = keep(whole(chosen).orderBy("url").coalesce(4), "url-sample")
+        parts = 1 << 40
+        different = {r.label: r.n for r in labelled.groupBy("label").agg(F.approx_count_distinct("url").alias("n")).collect()}  # two rows
+        shares = {x: max(sample / sum(different.values()), LEAST / n) for x, n in different.items()}
+        limit = {x: int(min(1.0, share) * parts) for x, share in shares.items()}
+        bar = F.when(F.col("label") == 1.0, F.lit(limit[1.0])).otherwise(F.lit(limit[0.0]))
+        some = labelled.where(F.pmod(F.xxhash64("url"), F.lit(parts)) < bar)
+        chosen = some.groupBy("url").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("suffix", "label", *FEATURES[:-2])))
+        chosen = keep(whole(chosen, F.col("copies"), F.col("copies") * F.col("label")).orderBy("url").coalesce(4), "url-sample")
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
         learner = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.3, cacheNodeIds=False)
         if chosen.select("label").distinct().count() == 2:
