@@ -85,8 +85,8 @@ def test_no_python_in_native_plans(spark):
 
 
 def test_licences(spark):
-    mit = next(t for n, t in licences.KNOWN if n == "MIT" and "Permission" in t)
-    rows = [(1, mit.replace("<year> <holder>", "2019 Some One").upper().replace("LICENSE", "LICENCE")), (2, "text\nreleased under the MIT  licence!\nmore"), (3, None), (4, ""), (5, "x " * 50000), (1, "MIT"), (None, "Licensed under CC BY 4.0")]
+    mit = next(f"{title}. Copyright (c) 2019 Some One\n{t}" for n, title, t in licences.KNOWN if n == "MIT" and title)
+    rows = [(1, mit.upper().replace("LICENSE", "LICENCE")), (2, "text\nreleased under the MIT  licence!\nmore"), (3, None), (4, ""), (5, "x " * 50000), (1, "MIT"), (None, "Licensed under CC BY 4.0")]
     got = licences.scan(docs_of(spark, rows), licences.known_digests(spark)).collect()
     assert sorted((str(r.doc_id), str(r.text_licence), r.line_licences) for r in got) == sorted(
         [("1", "MIT", ["MIT"]), ("2", "None", ["MIT"]), ("3", "None", []), ("4", "None", []), ("5", "None", []), ("1", "None", []), ("None", "CC-BY-4.0", ["CC-BY-4.0"])]
@@ -95,6 +95,25 @@ def test_licences(spark):
     assert none.where("text_licence is not null").count() == 0 and none.count() == len(rows)
 
 
+def test_ordinary_licence_files(spark):
+    """Title, blank line, copyright, blank line, text over many lines; also without the title and with reserved rights."""
+    rows, want = [], []
+    for i, (name, title, words) in enumerate(w for w in licences.KNOWN if w[1]):
+        broken = re.sub(r"(.{40}\S*) ", r"\1\n", words)
+        for j, file in enumerate((f"{title}\n\nCopyright (c) 2020, Some One\n\n{broken}\n", f"Copyright 2021 X\nAll rights reserved.\n\n{broken}", f"# {title}\n{words}")):
+            rows.append((10 * i + j, file))
+            want.append((10 * i + j, name))
+    got = {r.doc_id: r for r in licences.scan(docs_of(spark, rows), licences.known_digests(spark)).collect()}
+    assert [(i, got[i].text_licence) for i, _ in want] == want
+    assert all(got[i].line_licences == [n] for i, n in want if i % 10 == 2)
+
+
+def test_own_wordings_are_found_in_lines(spark):
+    own = licences.digests_of(spark.createDataFrame([(0, "house", "Nur für Hausgebrauch"), (1, "empty", "?!")], "at int, licence string, wording string"))
+    got = licences.scan(docs_of(spark, [(1, "a\n* nur für HAUSGEBRAUCH!\nb"), (2, "a b"), (3, "?")]), own).orderBy("doc_id").collect()
+    assert [r.line_licences for r in got] == [["house"], [], []] and all(r.text_licence is None for r in got)
+
+
 # --- op4
 
 

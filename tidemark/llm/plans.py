@@ -45,7 +45,7 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _canonical_sql(text: str) -> str:
     """``licences.canonical`` as DuckDB SQL."""
     out = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    out = f"regexp_replace({out}, '{licences.COPYRIGHT_LINE}', ' ', 'g')"
+    out = f"regexp_replace({out}, '{licences.COPYRIGHT}', ' ', 'g')"
     out = f"trim(regexp_replace(replace({out}, '&', ' and '), '{licences.NOT_WORD}', ' ', 'g'))"
     for old, new in licences.SPELLINGS:
         out = f"replace({out}, '{old}', '{new}')"
@@ -53,7 +53,8 @@ def _canonical_sql(text: str) -> str:
 
 
 def _known_sql() -> str:
-    rows = ", ".join(f"({i}, '{name}', '{words.replace(chr(39), chr(39) * 2)}')" for i, (name, words) in enumerate(licences.KNOWN))
+    texts = [(name, wording) for name, title, words in licences.KNOWN for wording in (f"{title}\n{words}", words)]
+    rows = ", ".join(f"({i}, '{name}', '{words.replace(chr(39), chr(39) * 2)}')" for i, (name, words) in enumerate(texts))
     return f"SELECT sha256({_canonical_sql('wording')}) AS digest, arg_min(licence, pos) AS licence FROM (VALUES {rows}) k(pos, licence, wording) GROUP BY 1"
 
 
