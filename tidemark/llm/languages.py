@@ -26,14 +26,18 @@ WORDS_KEPT = 50_000
 MISC = "und"
 
 # Signs that Python counts among the letters of words and Unicode among the numbers: superscripts, fractions, Roman numerals.
-_NUMERAL = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isdecimal() and not category(c).startswith("L"))
-_WORD = re.compile(rf"[^\W\d_{re.escape(_NUMERAL)}]+")
+_NUMERALS = frozenset(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isdecimal() and not category(c).startswith("L"))
+_AS_SPACES = dict.fromkeys(map(ord, _NUMERALS), " ")
+_WORD = re.compile(r"[^\W\d_]+")
 
 RESULT = "lang_pred string, score double, accepted boolean, languages array<struct<lang:string,share:double>>"
 
 
 def letters(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    lower = (text or "").lower()
+    if not lower.isascii() and not _NUMERALS.isdisjoint(lower):
+        lower = lower.translate(_AS_SPACES)
+    return _WORD.findall(lower)
 
 
 def grams(word: str) -> list[int]:
