@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -174,6 +175,25 @@ def test_surrogates(spark):
     assert pii.replaced(docs_of(spark, []), "key").count() == 0
 
 
+@pytest.mark.parametrize("local, script", [("李小明", "CJK"), ("たなか", "HIRAGANA"), ("タナカ", "KATAKANA"), ("김민수", "HANGUL"), ("محمد", "ARABIC"), ("דוד", "HEBREW"), ("राम", "DEVANAGARI"), ("สมชย", "THAI"), ("Ελένη", "GREEK"), ("Олег", "CYRILLIC"), ("Zoë", "LATIN")])
+def test_surrogates_keep_their_script(spark, local, script):
+    rows = [(i, f"{local}{i}@{local}.com") for i in range(40)]
+    for r in pii.replaced(docs_of(spark, rows), "k").collect():
+        assert r.pii_kinds == ["email"] and r.clean_text != r.text and r.clean_text.endswith(".com")
+        assert all(unicodedata.category(c)[0] != "C" for c in r.clean_text)
+        assert all(unicodedata.name(c).startswith(script) for c in r.clean_text.removesuffix(".com") if c.isalpha())
+
+
+def test_further_formats(spark):
+    values = ("555-123-4567", "555.123.4567", "0171 1234567", "3782 822463 10005", "2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1ff:fe23:4567:890a")
+    kinds = ["phone", "phone", "phone", "card", "ip", "ip"]
+    rows = [(i, f"see {v}, or not") for i, v in enumerate(values)] + [(9, "at 10:20:30 on 2020-01-02, std::vector, 1.5.2020")]
+    got = pii.replaced(docs_of(spark, rows), "k").orderBy("doc_id").collect()
+    assert [r.pii_kinds for r in got] == [[k] for k in kinds] + [[]] and got[-1].clean_text == got[-1].text
+    for r in got[:-1]:
+        assert r.clean_text != r.text and re.sub("[0-9a-f]", "x", r.clean_text[4:-8]) == re.sub("[0-9a-f]", "x", r.text[4:-8])
+
+
 def test_surrogates_stay_distinct_in_a_narrow_format(spark):
     """120 of 1000 values taken: some first surrogates collide with a value or with each other."""
     rows = [(i, f"a PIN{i:03d} b PIN{(i * 7) % 120:03d}") for i in range(120)]

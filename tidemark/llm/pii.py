@@ -29,18 +29,31 @@ FIRST_NAMES = {
 _TITLES = "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)
 #: Kinds by priority: where two could begin at one place, the first is taken.
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
-    "ip": r"(?<![\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\p{N}]|\.[0-9])",
-    "card": r"(?<![\p{N}-])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![\p{N}-])",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]+@[\p{L}\p{M}\p{N}-]+(?:\.[\p{L}\p{M}\p{N}-]+)+",
+    "ip": r"(?<![\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\p{N}]|\.[0-9])"
+    r"|(?<![\p{L}\p{N}:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])",
+    "card": r"(?<![\p{N}-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|3[0-9]{3}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![\p{N}-])",
     "ssn": r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",
-    "phone": r"(?<![\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![\p{N}])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![\p{N}])",
+    "phone": r"(?<![\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![\p{N}])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![\p{N}])"
+    r"|(?<![\p{N}+.-])(?:[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}|0[0-9]{2,4}[ /-][0-9]{6,8})(?![\p{N}-]|\.[0-9])",
     "name": rf"(?<![\p{{L}}])(?:{_TITLES})\.? \p{{Lu}}[\p{{Ll}}]+(?: \p{{Lu}}[\p{{Ll}}]+)?",
 }
-HINT = rf"[0-9@]|(?:{_TITLES})"
+HINT = rf"[0-9@]|::|(?:{_TITLES})"
 
 _SMALL, _LARGE = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SMALL_CYRILLIC, _LARGE_CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"
 _SMALL_GREEK, _LARGE_GREEK = "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"
+#: Letters of scripts without case, by Unicode's name of the script.
+CASELESS = {
+    "Han": "".join(map(chr, range(0x4E00, 0x4F00))),
+    "Hiragana": "".join(map(chr, range(0x3042, 0x3094))),
+    "Katakana": "".join(map(chr, range(0x30A2, 0x30F4))),
+    "Hangul": "".join(map(chr, range(0xAC00, 0xAD00))),
+    "Arabic": "".join(map(chr, [*range(0x0627, 0x063B), *range(0x0641, 0x064B)])),
+    "Hebrew": "".join(map(chr, range(0x05D0, 0x05EB))),
+    "Devanagari": "".join(map(chr, range(0x0905, 0x093A))),
+    "Thai": "".join(map(chr, range(0x0E01, 0x0E2F))),
+}
 ROUNDS = 40
 
 
@@ -82,20 +95,22 @@ def _pick(letters: str, number: Column) -> Column:
 
 
 def _mapped(value: Column, stream: Column) -> Column:
-    """Each letter or digit replaced by one of its script and case, the rest kept."""
+    """Each letter or digit replaced by one of its script and case (Latin for scripts without an alphabet here), the rest kept."""
 
     def chosen(c, n):
-        return (
-            F.when(c.rlike("[0-9]"), _pick("0123456789", n))
+        out = (
+            F.when(c.rlike("[a-z]"), _pick(_SMALL, n))
+            .when(c.rlike("[0-9]"), _pick("0123456789", n))
+            .when(c.rlike("[A-Z]"), _pick(_LARGE, n))
+            .when(~c.rlike(r"\p{L}"), c)
             .when(c.rlike(r"[\p{Lu}&&\p{IsCyrillic}]"), _pick(_LARGE_CYRILLIC, n))
             .when(c.rlike(r"\p{IsCyrillic}"), _pick(_SMALL_CYRILLIC, n))
             .when(c.rlike(r"[\p{Lu}&&\p{IsGreek}]"), _pick(_LARGE_GREEK, n))
             .when(c.rlike(r"\p{IsGreek}"), _pick(_SMALL_GREEK, n))
-            .when(c.rlike(r"[\p{IsHan}]"), F.char(F.lit(0x4E00) + n))
-            .when(c.rlike(r"\p{Lu}"), _pick(_LARGE, n))
-            .when(c.rlike(r"\p{L}"), _pick(_SMALL, n))
-            .otherwise(c)
         )
+        for script, letters in CASELESS.items():
+            out = out.when(c.rlike(rf"\p{{Is{script}}}"), _pick(letters, n))
+        return out.when(c.rlike(r"\p{Lu}"), _pick(_LARGE, n)).otherwise(_pick(_SMALL, n))
 
     def one(c, i):
         return let(_byte(stream, i), lambda n: chosen(c, n))
@@ -115,6 +130,12 @@ def _digits(value: Column, stream: Column, kept: Column) -> Column:
     return F.array_join(F.transform(letters, one), "")
 
 
+def _hexadecimal(value: Column, stream: Column) -> Column:
+    """Hexadecimal digits replaced by others, colons kept."""
+    letters = F.filter(F.split(value, ""), lambda c: c != "")
+    return F.array_join(F.transform(letters, lambda c, i: F.when(c == ":", c).otherwise(_pick("0123456789abcdef", _byte(stream, i)))), "")
+
+
 def surrogate(value: Column, kind: Column, attempt: Column, key: str) -> Column:
     """The keyed replacement of one mention."""
     seed = F.concat_ws("|", F.lit(key), kind, identity(value, kind), attempt.cast("string"))
@@ -138,6 +159,7 @@ def _made(value: Column, kind: Column, stream: Column) -> Column:
 
     return (
         F.when(kind == "email", address)
+        .when((kind == "ip") & F.contains(value, F.lit(":")), _hexadecimal(value, stream))
         .when(kind == "ip", octets)
         .when(kind == "name", person(F.regexp_extract(value, r"^[^ ]+ ", 0), F.regexp_extract(value, r"^[^ ]+ (.*)$", 1)))
         .otherwise(_digits(value, stream, F.when(kind == "phone", country).otherwise(0)))
