@@ -423,3 +423,16 @@ def test_chunks_close_by_their_different_words(spark, monkeypatch):
     assert mixing.chunked(docs.select("doc_id", F.col("text").cast("binary"), "held_out", "learn")).select("chunk").distinct().count() == 8  # four texts each
     monkeypatch.setattr(mixing, "CHUNK_SPELLED", 10**9)
     assert small == {r.doc_id: (r.n_known, r.base_score) for r in mixing.scored(docs).collect()} and len(small) == 30
+
+
+def test_mixing_sees_the_word_before(spark):
+    """The order of words tells on the score: pairs that were learned cost less than the same words in another order."""
+    rows = [(i, "alpha beta gamma delta epsilon zeta " * 5, False, True) for i in range(40)]
+    rows += [(100 + i, "beta alpha delta gamma zeta epsilon " * 5, False, True) for i in range(2)]
+    rows += [(200, "alpha beta gamma delta epsilon zeta", True, False), (201, "zeta gamma alpha epsilon beta delta", True, False)]
+    got = {r.doc_id: r for r in scored(spark, rows)}
+    assert got[200].base_score == pytest.approx(got[201].base_score) and got[200].score > 2 * got[201].score
+
+
+def test_mixing_slots_grow_with_the_words():
+    assert [mixing.slots_for(n) for n in (0, 20_000, 10**6, 10**8)] == [16, 17, 20, 20]
