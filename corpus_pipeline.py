@@ -34,7 +34,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word Jaccard 0.8) stays, that with the smallest doc_id."""
+    """One document of each group of near copies (5-word Jaccard 0.8) stays, that with the smallest doc_id.
+
+    Pairs come from SimHash fingerprints under covering masks, and from MinHash bands where those differ in too many bits.
+    """
     return jaccard.one_of_each(docs)
 
 

@@ -67,6 +67,19 @@ def test_stage_against_all_pairs(spark, monkeypatch, small):
     assert sorted(r.doc_id for r in kept) == sorted(want)
 
 
+def test_fingerprints_find_near_copies_by_themselves(spark, monkeypatch):
+    """With bands that never meet, pairs within the radius are still found, and checked by their exact sets."""
+    rng = random.Random(3)
+    base = [[f"w{rng.randint(0, 10**6)}" for _ in range(3000)] for _ in range(6)]
+    rows = [(10 * i + j, " ".join([*words, *["end"] * (j > 0), *["more"] * (j > 1)])) for i, words in enumerate(base) for j in range(3)]
+    monkeypatch.setattr(jaccard, "band_keys", lambda hashes, factors: [])
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    prints = {r.doc_id: r["print"] for r in jaccard.with_sets(df, "text", 5, True).collect()}
+    assert all((prints[10 * i] ^ prints[10 * i + 1]).bit_count() <= jaccard.RADIUS for i in range(6))
+    kept = corpus_pipeline.near_copies(spark, df, "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(brute_kept(rows)[0]) == [10 * i for i in range(6)]
+
+
 def test_no_documents(spark):
     df = spark.createDataFrame([], DOCS)
     assert corpus_pipeline.near_copies(spark, df, "").count() == 0

@@ -1,6 +1,7 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands find candidates, exact sets decide.
+"""Near copies by the Jaccard similarity of word shingles: SimHash links and MinHash bands find candidates, exact sets decide.
 
-Equal sets are one node. Two sets at similarity 0.8 share no band in (1 - 0.8^4)^28, 4 of 10 million cases;
+Equal sets are one node. Fingerprints of the sets are linked by covering masks as in ``simhash``, which loses no pair within
+``RADIUS`` bits. Most pairs at 0.8 differ in more bits (about ten of 64), so bands find the others. Two sets at similarity 0.8 share no band in (1 - 0.8^4)^28, 4 of 10 million cases;
 sets whose sizes alone rule the similarity out are never compared. All pairs
 of a band of up to ``SMALL`` sets are compared; a larger one is compared with a few of its sets at a time, and only as
 long as it holds sets of different components, so a large group of copies costs a fixed number of pairs a member.
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import small_or_plain, unused
-from tidemark.llm.simhash import smallest_reachable
+from tidemark.llm.simhash import links as print_links
+from tidemark.llm.simhash import majority, smallest_reachable
 from tidemark.session import keep
 
 BANDS, ROWS = 28, 4
+RADIUS = 2  # bits in which linked fingerprints differ at most
 SMALL = 16  # sets of a band that are all compared
 PIVOTS = 32  # most sets of a larger band that are compared with all others in one round
 SPREAD = 64  # a set with many candidates is compared in so many tasks
@@ -64,9 +67,9 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def with_sets(docs: DataFrame, text: str, words: int, bands: bool, names: tuple[str, str, str] = ("node", "size", "set")) -> DataFrame:
-    """All columns of ``docs`` and, under ``names``, a digest of the text's shingles, their number, and the bands or the set."""
-    added = [T.StructField(n, k) for n, k in zip(names, (T.LongType(), T.LongType(), T.ArrayType(T.LongType())), strict=True)]
+def with_sets(docs: DataFrame, text: str, words: int, bands: bool, names: tuple[str, str, str, str] = ("node", "size", "print", "set")) -> DataFrame:
+    """All columns of ``docs`` and, under ``names``, a digest of the text's shingles, their number, their SimHash fingerprint, and the bands or the set."""
+    added = [T.StructField(n, k) for n, k in zip(names, (T.LongType(), T.LongType(), T.LongType(), T.ArrayType(T.LongType())), strict=True)]
     schema = T.StructType([*docs.schema.fields, *added])
     source, position = docs.withColumn(unused([*docs.columns, *names], "raw_text"), F.col(f"`{text}`").cast("binary")), len(docs.columns)
 
@@ -79,13 +82,14 @@ def with_sets(docs: DataFrame, text: str, words: int, bands: bool, names: tuple[
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
-                nodes, sizes, lists = [], [], []
+                nodes, sizes, prints, lists = [], [], [], []
                 for raw in some.column(position):
                     own = shingles(raw.as_py(), words)
                     nodes.append(_signed(xxhash.xxh64_intdigest(own.tobytes(), 7)))
                     sizes.append(len(own))
+                    prints.append(majority(own) if bands else None)
                     lists.append([_signed(x) for x in band_keys(own, factors)] if bands else own.view(np.int64))
-                columns = [*some.columns[:position], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
+                columns = [*some.columns[:position], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(add, schema)
@@ -106,13 +110,32 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return right.join(left, ["a", "part"]).where(enough).select("a", "b")
 
 
+def near_prints(marked: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of nodes whose fingerprints are equal or linked by covering masks; empty sets take no part.
+
+    Nodes of one fingerprint meet at its smallest node, which also stands for them in links to other fingerprints.
+    """
+    nodes = marked.where("size > 0").groupBy("node").agg(F.first("size").alias("size"), F.first("print").alias("print"))
+    nodes = keep(nodes, "jaccard-prints")
+    centres = keep(nodes.groupBy("print").agg(F.min(F.struct("node", "size")).alias("centre")), "jaccard-centres")
+    ends = centres.select("print", F.col("centre.node").alias("node"), F.col("centre.size").alias("size"))
+    same = nodes.join(centres, "print").select(F.col("centre.node").alias("a"), F.col("centre.size").alias("size_a"), F.col("node").alias("b"), F.col("size").alias("size_b"))
+    linked = keep(print_links(centres.select("print"), RADIUS, "print"), "jaccard-print-links")
+    linked = linked.join(ends.toDF("a", "node_a", "size_a"), "a").join(ends.toDF("b", "node_b", "size_b"), "b")
+    pairs = same.where("a <> b").unionByName(linked.select(F.col("node_a").alias("a"), "size_a", F.col("node_b").alias("b"), "size_b"))
+    pairs = pairs.where(alike_in_size(F.col("size_a"), F.col("size_b"), least))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links(marked: DataFrame, words: int, least: float) -> DataFrame:
-    """Links (a, b) that connect what all pairs of nodes at ``least`` or more connect; ``marked`` (node, size, bands, text) is stored."""
+    """Links (a, b) that connect what all pairs of nodes at ``least`` or more connect; ``marked`` (node, size, print, bands, text) is stored."""
+    close = keep(near_prints(marked, least), "jaccard-close")
     nodes = marked.groupBy("node", "size").agg(F.first("bands").alias("bands")).select("node", "size", F.explode("bands").alias("key"))
     nodes = keep(nodes, "jaccard-bands")
     sizes = keep(nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "jaccard-sizes")
     shared = keep(nodes.join(small_or_plain(sizes), "key"), "jaccard-shared")
-    wanted = small_or_plain(keep(shared.select("node").distinct(), "jaccard-wanted"))
+    wanted = shared.select("node").unionByName(close.select(F.col("a").alias("node"))).unionByName(close.select(F.col("b").alias("node")))
+    wanted = small_or_plain(keep(wanted.distinct(), "jaccard-wanted"))
     texts = marked.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("text")
     sets = keep(with_sets(texts, "text", words, False).select("node", "set"), "jaccard-sets")
 
@@ -121,7 +144,7 @@ def links(marked: DataFrame, words: int, least: float) -> DataFrame:
     later = F.filter("members", lambda y: (y.node > F.col("x.node")) & alike_in_size(y["size"], F.col("x")["size"], least))
     pairs = small.select(F.col("x.node").alias("a"), F.explode(later).alias("y")).select("a", F.col("y.node").alias("b"))
     left, pivots = shared.where(F.col("n") > SMALL).select("key", "node", "size"), 1
-    found, tried = None, None
+    found, tried = keep(similar(close, sets, least), "jaccard-links"), close
     while True:
         # The smallest nodes of each crowded band against its larger ones; they need no further comparison then.
         rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
@@ -133,10 +156,10 @@ def links(marked: DataFrame, words: int, least: float) -> DataFrame:
             against = against.join(small_or_plain(mine), ["key", "a"]).where("root <> root_a")
         new = against.select("a", F.col("node").alias("b"))
         new = new.unionByName(pairs).distinct() if pairs is not None else new.distinct()
-        new = keep(new if tried is None else new.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-        tried = new if tried is None else tried.unionByName(new)
+        new = keep(new.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        tried = tried.unionByName(new)
         near = keep(similar(new, sets, least), "jaccard-links")
-        found, pairs = near if found is None else found.unionByName(near), None
+        found, pairs = found.unionByName(near), None
         last = chosen.groupBy("key").agg(F.max("node").alias("last"))
         left = left.select("key", "node", "size").join(small_or_plain(keep(last, "jaccard-last")), "key").where("node > last").select("key", "node", "size")
         left = keep(left, "jaccard-left")
@@ -159,11 +182,11 @@ def one_of_each(docs: DataFrame, words: int = 5, least: float = 0.8, text: str =
     Texts without a word are copies of each other. Rows without an id come last.
     """
     columns = docs.columns
-    names = [unused(columns, n) for n in ("near_node", "near_size", "near_bands", "near_row")]
-    node, size, bands, row = names
-    marked = with_sets(docs, text, words, True, (node, size, bands)).withColumn(row, F.monotonically_increasing_id())
+    names = [unused(columns, n) for n in ("near_node", "near_size", "near_print", "near_bands", "near_row")]
+    node, size, print_, bands, row = names
+    marked = with_sets(docs, text, words, True, (node, size, print_, bands)).withColumn(row, F.monotonically_increasing_id())
     marked = keep(marked, "jaccard-docs")  # row numbers are fixed once stored
-    own = marked.select("doc_id", F.col(f"`{text}`").alias("text"), *[F.col(n).alias(a) for n, a in zip(names, ("node", "size", "bands", "row"), strict=True)])
+    own = marked.select("doc_id", F.col(f"`{text}`").alias("text"), *[F.col(n).alias(a) for n, a in zip(names, ("node", "size", "print", "bands", "row"), strict=True)])
     roots = smallest_reachable(links(own, words, least))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
     # First inside each node, then across: only one row of each node is moved by component.

@@ -33,6 +33,13 @@ def _fingerprint(text: bytes | None, words: int):
         ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
         starts = np.concatenate(([0], ends[: len(tokens) - words] + 1))
         hashes = [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist(), strict=True)]
+    return majority(hashes)
+
+
+def majority(hashes) -> int:
+    """The bits that are set in over half of the hashes, as a signed long."""
+    import numpy as np
+
     set_bits = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 65536):  # bounded memory for very long texts
         block = np.array(hashes[at : at + 65536], "<u8").view(np.uint8).reshape(-1, 8)
