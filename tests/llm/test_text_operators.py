@@ -402,6 +402,19 @@ def test_url_rules_over_whole_pages(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule[1]) and (rule[2] is None or r.verdict == rule[2])
 
 
+def test_packing_encodes_few_texts_at_once(spark, monkeypatch):
+    def counting(*_):
+        def encode(texts):
+            assert len(texts) <= 250
+            return [b"\1\0\0\0" * len(t) for t in texts]
+
+        return encode
+
+    monkeypatch.setattr(packing, "encoder", counting)
+    docs = spark.range(1200).selectExpr("id AS doc_id", "'abc' AS text").coalesce(1)
+    assert packing.pack(docs, tokenizer()).agg(F.sum("length")).first()[0] == 4 * 1200
+
+
 def test_entropy(spark):
     rows = [("", 0.0), ("aaaa", 0.0), ("ab", 1.0), ("abcd", 2.0)]
     got = spark.createDataFrame(rows, "t string, e double").select("e", urls.entropy(F.col("t")).alias("g")).collect()

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 WINDOW = 1024
 RUN_TOKENS = 1_000_000
-CACHE_WORDS = 50_000
+CACHE_WORDS = 150_000  # more than the different words of ``AT_ONCE`` texts, so that words outlive a call
+AT_ONCE = 250  # texts encoded in one call
 
 # Unicode White_Space, as the tokenizer's own splitting pattern counts it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -240,8 +241,8 @@ def pack(docs: DataFrame, encode_with: tuple, doc_id: str = "doc_id", text: str
 
         names, texts, held = [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                some = batch.slice(at, AT_ONCE)
                 texts += [ids + closing for ids in encode([t or "" for t in some.column(1).to_pylist()])]
                 names += some.column(0).to_pylist()
                 held += sum(map(len, texts[-some.num_rows :])) // 4
