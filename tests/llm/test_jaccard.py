@@ -83,3 +83,39 @@ def test_fingerprints_find_near_copies_by_themselves(spark, monkeypatch):
 def test_no_documents(spark):
     df = spark.createDataFrame([], DOCS)
     assert corpus_pipeline.near_copies(spark, df, "").count() == 0
+
+
+@pytest.mark.parametrize("changed", [0.06, 0.012])
+def test_compared_pairs_do_not_grow_with_the_square_of_a_group(spark, monkeypatch, changed):
+    """Texts of one base share most bands: far ones never become pairs, copies meet at a few of them."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    base = [word() for _ in range(300)]
+    rows = [(i, " ".join(w if rng.random() > changed else word() for w in base)) for i in range(120)]
+    compared, similar = [], jaccard.similar
+    monkeypatch.setattr(jaccard, "similar", lambda pairs, *rest: (compared.append(pairs.count()), similar(pairs, *rest))[1])
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = corpus_pipeline.near_copies(spark, df, "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(brute_kept(rows)[0])
+    assert sum(compared) < 15 * len(rows)  # of 7,140 pairs
+
+
+def test_parities_rule_out_no_similar_pair(spark):
+    """Sets at exactly the similarity pass, whatever their size; far ones do not."""
+    rng = random.Random(9)
+    rows, far = [], []
+    for n in (10, 90, 900, 9000):
+        shared = [rng.getrandbits(64) for _ in range(n * 8 // 9)]
+        more = [rng.getrandbits(64) for _ in range(n * 2 // 9)]
+        rows.append((shared + more[: len(more) // 2], shared + more[len(more) // 2 :]))
+        far.append((more, shared))
+
+    def passes(pairs):
+        import numpy as np
+
+        words = lambda x: [int(p) for p in jaccard.parities(np.unique(np.array(x, "<u8")))]
+        df = spark.createDataFrame([(words(a), words(b), len(a), len(b)) for a, b in pairs], "a array<bigint>, b array<bigint>, m bigint, n bigint")
+        return [r.x for r in df.select(jaccard.alike_in_parity(df.a, df.b, df.m, df.n, 0.8).alias("x")).collect()]
+
+    assert passes(rows) == [True] * 4
+    assert passes(far[1:3]) == [False] * 2
