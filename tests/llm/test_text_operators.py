@@ -449,3 +449,18 @@ def test_mixing_sees_the_word_before(spark):
 
 def test_mixing_slots_grow_with_the_words():
     assert [mixing.slots_for(n) for n in (0, 20_000, 10**6, 10**8)] == [16, 17, 20, 20]
+
+
+def test_templates_search_whole_strings(spark):
+    """Marks and signs are replaced in whole strings, numbers are looked for behind blanks: the forms are as they were."""
+    from tidemark.llm import decontaminate as d
+
+    text = "Ten of 20 kg cost $5 and tender Seven, one Hundred 1,000.5 m of stone; eighty-one twothree 3"
+    rows = spark.createDataFrame([(1, text), (2, ""), (3, "two"), (4, "12"), (5, "Two")], "i int, t string")
+    made = {r.i: r for r in d.templates(rows.select("i", d.surface_tokens(F.col("t")).alias("x")), F.col("x"), "i").collect()}
+    n, u = d.NUMBER, d.UNIT
+    assert made[1].words == f"{n} of {n} {u} cost {u} {n} and tender {d.NAME} one {d.NAME} {n} {u} of stone {n} one twothree {n}"
+    assert made[1].exact == "ten of 20 kg cost $ 5 and tender seven one hundred 1,000.5 m of stone eighty one twothree 3"
+    assert [(made[i].words, made[i].names) for i in (2, 3, 4, 5)] == [("", ""), (n, n), (n, n), (n, n)]
+    plan = d.templates(rows.select("i", d.surface_tokens(F.col("t")).alias("x")), F.col("x"), "i")._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan

@@ -78,13 +78,20 @@ _TOKEN = (
 _DENSE = f"{_SLOT}(?: (?:[^ {NAME}{UNIT}{NUMBER}]+ ){{0,2}}{_SLOT}){{5}}"
 
 
+def _without(text: Column, signs: str, instead: str = "") -> Column:
+    """``text`` with each of the signs replaced; whole strings are searched, where translate looks up every character."""
+    for sign in signs:
+        text = F.replace(text, F.lit(sign), F.lit(instead))
+    return text
+
+
 def surface_tokens(text: Column) -> Column:
     """Words, numbers and unit signs in order; names, units and words that may be names carry their mark.
 
     A capitalised word is a name after a lower-case letter, digit or comma and a space; elsewhere (at a sentence or line
     start) it is a word or a name. Digits grouped by spaces are one number in front of a unit.
     """
-    text = F.translate(text, NAME + UNIT + START + NUMBER, "")
+    text = _without(text, NAME + UNIT + START + NUMBER)
     grouped = rf"(?<=\d)[ \u00a0\u202f](?=(?:\d{{3}}[ \u00a0\u202f])*\d{{3}}[ \u00a0\u202f](?:{UNITS})(?![\p{{L}}\p{{N}}]))"
     text = F.regexp_replace(text, grouped, "")
     text = F.regexp_replace(text, rf"(?<=\d)([ \u00a0\u202f]?)((?:{UNITS})(?![\p{{L}}\p{{N}}]))", f" {UNIT}$2")
@@ -95,7 +102,7 @@ def surface_tokens(text: Column) -> Column:
 
 
 def bare(token: Column) -> Column:
-    return F.lower(F.translate(token, NAME + UNIT + START, ""))
+    return F.lower(_without(token, NAME + UNIT + START))
 
 
 def _either(word: Column, names) -> Column:
@@ -127,11 +134,13 @@ def templates(frame: DataFrame, tokens: Column, *columns: str) -> DataFrame:
 
     Slots are single marks. The whole text is rewritten at once, so no token passes through an interpreted function.
     """
-    number = rf"(?<![^ ]){START}?(?:\d[^ ]*|(?:{'|'.join(NUMBER_WORDS)})(?![^ ]))"
+    # A blank stands before each token here, so numbers are looked for behind blanks alone.
+    number = rf" {START}?(?=[\d{''.join(sorted({w[0] for w in NUMBER_WORDS}))}])(?:\d[^ ]*|(?:{'|'.join(NUMBER_WORDS)})(?![^ ]))"
     lower = frame.select(*columns, F.lower(F.array_join(tokens, " ")).alias("lower"))
-    slots = F.translate(F.regexp_replace("lower", f"([{NAME}{UNIT}])[^ ]+", "$1"), _SIGNS, UNIT * len(_SIGNS))
-    slots = lower.select(*columns, F.regexp_replace(slots, number, NUMBER).alias("slots"), F.translate("lower", NAME + UNIT + START, "").alias("exact"))
-    return slots.select(*columns, F.translate("slots", START, "").alias("words"), F.regexp_replace("slots", f"{START}[^ ]+", NAME).alias("names"), "exact")
+    slots = _without(F.regexp_replace(F.concat(F.lit(" "), "lower"), f"([{NAME}{UNIT}])[^ ]+", "$1"), _SIGNS, UNIT)
+    slots = F.substring(F.regexp_replace(slots, number, f" {NUMBER}"), 2, 1 << 30)
+    slots = lower.select(*columns, slots.alias("slots"), _without(F.col("lower"), NAME + UNIT + START).alias("exact"))
+    return slots.select(*columns, _without(F.col("slots"), START).alias("words"), F.regexp_replace("slots", f"{START}[^ ]+", NAME).alias("names"), "exact")
 
 
 def _split(text: str) -> Column:
