@@ -4,8 +4,11 @@ import collections
 import hashlib
 import math
 import re
+import subprocess
+import sys
 import unicodedata
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -296,6 +299,20 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(ids, "<u4").tolist() == main.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_encoder_starts_no_threads():
+    """A task has one core: words of other letters, which go through the JSON tokenizer, take no threads beside it."""
+    code = """
+import os
+from tidemark.llm import packing
+from tidemark.llm.plans import tokenizer
+encode = packing.encoder(*tokenizer())
+before = len(os.listdir("/proc/self/task"))
+assert len(encode(["\u4e2d\u6587 \u4e2d %d \u0431\u044b\u043b" % i for i in range(500)])) == 500
+assert len(os.listdir("/proc/self/task")) == before
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(packing.__file__).parents[2])
+
+
 @pytest.mark.parametrize("run_tokens", [4_000_000, 5000])
 def test_packing_round_trip(spark, monkeypatch, run_tokens):
     monkeypatch.setattr(packing, "RUN_TOKENS", run_tokens)

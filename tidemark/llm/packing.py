@@ -80,8 +80,8 @@ def encoder(json_path: str, ranks_path: str | None, pattern: str | None):
             flat = np.array(fast.encode_ordinary(lead + f"\n{lead}".join(some)), "<u4")
             marks, raw = (np.flatnonzero(flat == newline) * 4).tolist(), flat.tobytes()
             known.update(zip(some, map(raw.__getitem__, map(slice, [0, *(m + 4 for m in marks)], [*marks, len(raw)])), strict=True))
-        for word, found in zip(other, main.encode_batch([lead + w for w in other], add_special_tokens=False), strict=True):
-            known[word] = np.array(found.ids, "<u4").tobytes()
+        for word in other:  # one by one: a call for many starts threads of its own, which cost a task more than they save
+            known[word] = np.array(main.encode(lead + word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def joined(known, lists, lead):
         if len(known) > CACHE_WORDS:
