@@ -30,6 +30,7 @@ from tidemark.streaming.rules import ARRIVING, RuledStream
 from tidemark.streaming.purchases import SpendStream
 
 STAGES = 4
+LANDED_ROWS = 50_000  # of a landed file of purchases, at least, where a stretch has several
 _DONE: dict[tuple[str, str, str], object] = {}
 
 
@@ -171,22 +172,38 @@ def stream_watermarks(spark, sf):
     return progress.groupBy(F.col("batch_id").cast("bigint").alias("arrival_batch")).agg(F.max("wm_us").alias("wm_us"))
 
 
-def spend_run(spark, sf) -> SpendStream:
-    """Purchases land in six files and are read one file a batch, by both queries of the job."""
+def landed_in_sixths(spark, sf, landing: str) -> int:
+    """Land purchases in six stretches of arrival, one after the other, each of equally many files; how many these are.
+
+    A trigger of so many files is then one stretch. Stretches are cut at quantiles, so gaps between arrivals do not matter.
+    """
+    raw = tables.purchases(spark, sf)
+    bounds = raw.approxQuantile("arrival", [i / 6 for i in range(1, 6)], 0.001) or [0.0] * 5
+    arrival = F.col("arrival")
+    edges = [None, *[F.lit(int(b)) for b in bounds], None]
+    stretches = [arrival.isNotNull() if low is None else arrival >= low for low in edges[:-1]]
+    stretches = [s if high is None else s & (arrival < high) for s, high in zip(stretches, edges[1:], strict=True)]
+    # With so many rows a file, none of a stretch's files can stay without rows.
+    files = max(1, min(raw.agg(*[F.count_if(s) for s in stretches]).first()) // LANDED_ROWS)
+    for stretch in stretches:
+        wire.encode_purchases(raw.where(stretch).repartition(files)).write.mode("append").parquet(landing)
+    return files
+
+
+def spend_run(spark, sf) -> tuple[SpendStream, int]:
+    """Purchases land in six stretches and are read one stretch a batch, by both queries of the job at once; the files of a stretch."""
 
     def run():
         root = new_folder(spark, "spend")
         job = SpendStream(root, buckets=4)
-        raw = tables.purchases(spark, sf)
-        records = wire.encode_purchases(raw)
-        sixth = raw.agg(F.expr("max(arrival) div 6 + 1")).scalar()
-        for part in range(6):
-            chosen = records.where(F.floor(F.col("offset") / sixth) == part)
-            chosen.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        files = landed_in_sixths(spark, sf, f"{root}/landing")
+        started = []
         for start, checkpoint in ((job.start, "totals"), (job.start_running, "rows")):
-            stream = readers.record_stream(spark, f"{root}/landing", max_files=1)
-            start(stream, f"{root}/checkpoint-{checkpoint}", available_now=True).awaitTermination()
-        return job
+            stream = readers.record_stream(spark, f"{root}/landing", max_files=files)
+            started.append(start(stream, f"{root}/checkpoint-{checkpoint}", available_now=True))
+        for query_ in started:
+            query_.awaitTermination()
+        return job, files
 
     return _once(spark, sf, "spend", run)
 
@@ -199,20 +216,22 @@ _RUNNING = f"""WITH {PURCHASES} SELECT arrival, customer_id, CASE WHEN row_numbe
 @query("upsert_spend", _SPEND)
 def upsert_spend(spark, sf):
     """Totals kept in the stream's state over six batches, upserted batch by batch."""
-    return spend_run(spark, sf).customer_spend(spark)
+    job, _ = spend_run(spark, sf)
+    return job.customer_spend(spark)
 
 
 @query("running_spend_stream", _RUNNING)
 def running_spend_stream(spark, sf):
     """One row per purchase from a state of one's own, the arrivals split over six batches."""
-    return spend_run(spark, sf).running(spark)
+    job, _ = spend_run(spark, sf)
+    return job.running(spark)
 
 
 @query("src_purchase_stream", f"WITH {PURCHASES} SELECT arrival, customer_id, product, CAST(amount AS DOUBLE) AS amount, occurred_at FROM valid")
 def src_purchase_stream(spark, sf):
     """What the stream read: every landed purchase once, decoded and cleaned."""
-    job, root = spend_run(spark, sf), new_folder(spark, "purchases")
-    rows = job.cleaned(readers.record_stream(spark, f"{job.root}/landing", max_files=2))
+    (job, files), root = spend_run(spark, sf), new_folder(spark, "purchases")
+    rows = job.cleaned(readers.record_stream(spark, f"{job.root}/landing", max_files=2 * files))
     _run_to_end(rows, f"{root}/checkpoint", "append", "parquet", path=f"{root}/out")
     return spark.read.parquet(f"{root}/out").select("arrival", "customer_id", "product", "amount", "occurred_at")
 

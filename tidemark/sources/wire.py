@@ -25,8 +25,12 @@ def _parsed(value: Column, schema: T.StructType, strict: bool) -> Column:
 
 
 def decode_purchases(records: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Purchases from message values; a bad value fails the job when strict."""
-    body = records.select(*keep, _parsed(F.col("value"), schemas.PURCHASE_WIRE, strict).alias("b"))
+    """Purchases from message values; a bad value fails the job when strict.
+
+    The payload is an array's only element, taken out: conditions on its fields cannot be moved below that, where each
+    would parse the value again.
+    """
+    body = records.select(*keep, F.explode(F.array(_parsed(F.col("value"), schemas.PURCHASE_WIRE, strict))).alias("b"))
     columns = [
         F.col("b.customerId").alias("customer_id"),
         F.col("b.product").alias("product"),
