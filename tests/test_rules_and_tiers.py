@@ -47,6 +47,22 @@ def test_late_versions_judge_earlier_records_again(spark):
     assert len({w for w, _ in found.values()}) > 3
 
 
+def test_earlier_records_meet_no_spans_of_their_key(spark):
+    """Late versions find their records along the time line: work grows with rows, not with records times versions of a key."""
+    job, plans = RuledStream(new_folder(spark, "rules-many")), []
+    n = 400
+    records = [(i, "k", at(10 * i + 5), None) for i in range(n)]
+    versions = [(None, "k", at(10 * i), float(i)) for i in range(n)]
+    job.process(spark.createDataFrame(records + versions[::2], ARRIVING), 0)
+    real = job.judged.write
+    object.__setattr__(job.judged, "write", lambda rows, batch: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), real(rows, batch)))
+    job.process(spark.createDataFrame(versions[1::2], ARRIVING), 1)
+    assert "array_sort" not in plans[0] and "collect_list" not in plans[0]
+    assert {r.id: r.weight for r in job.judged.view(spark).collect()} == {i: float(i) for i in range(n)}
+    # Records whose version did not change are not written again.
+    assert job.judged.history(spark).where("batch_id = 1").count() == n // 2
+
+
 def test_moving_a_month_leaves_its_files_alone(spark):
     rows = spark.range(4000).selectExpr("id % 50 user_id", "id order_id", "timestamp'2025-11-01' + make_interval(0, 0, 0, id % 120) event_time", "'S' symbol", "cast(id as decimal(12,2)) amount")
     table = TieredTable(new_folder(spark, "tiers"), rows.schema, layout.USER_FIRST)

@@ -30,7 +30,7 @@ from tidemark.streaming.rules import ARRIVING, RuledStream
 from tidemark.streaming.purchases import SpendStream
 
 STAGES = 4
-LANDED_ROWS = 50_000  # of a landed file of purchases, at least, where a stretch has several
+LANDED_ROWS = 50_000  # of a landed file, at least, where a batch has several
 _DONE: dict[tuple[str, str, str], object] = {}
 
 
@@ -272,10 +272,13 @@ def enrich_rules_stream(spark, sf):
         F.lit(None).cast("bigint").alias("id"), F.col("event_type").alias("key"), F.col("ts").alias("at"), (F.col("user_id") % 7 + 1).cast("double").alias("weight"), late.alias("stage")
     )
     arriving = keep(records.unionByName(rules), "arriving")
+    landed = {r["stage"]: r["count"] for r in arriving.groupBy("stage").count().collect()}
     for batch in range(6):
-        arriving.where(F.col("stage") == batch).drop("stage").coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = readers.table_stream(spark, f"{root}/landing", ARRIVING, max_files=1)
-    job.start(stream, f"{root}/checkpoint", available_now=True).awaitTermination()
+        # The late versions are far fewer than records, so each batch has files of its own number and a run of its own.
+        files = max(1, landed.get(batch, 0) // LANDED_ROWS)
+        arriving.where(F.col("stage") == batch).drop("stage").repartition(files).write.mode("append").parquet(f"{root}/landing")
+        stream = readers.table_stream(spark, f"{root}/landing", ARRIVING)
+        job.start(stream, f"{root}/checkpoint", available_now=True).awaitTermination()
     amounts = events.select(F.col("event_id").alias("id"), money(F.col("value")).cast("double").alias("amount"))
     found = job.judged.view(spark).join(amounts, "id")
     return found.select(F.col("id").alias("event_id"), F.col("key").alias("event_type"), "weight", "rule_at", (F.col("amount") * F.col("weight")).alias("weighted"))

@@ -55,7 +55,9 @@ class KeyedTable:
     def _put(self, rows: DataFrame, batch: int, name: str) -> list[Live]:
         """Write rows that carry their ``batch_id``: one file for each part among them."""
         folder = f"files/{name}-{uuid.uuid4().hex[:12]}"
-        placed = rows.withColumn("part", self.part()).repartition("part")
+        # A number of its own keeps adaptive execution from writing the files of all parts in one task.
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = rows.withColumn("part", self.part()).repartition(tasks, "part")
         placed.write.partitionBy("part").parquet(f"{self.path}/{folder}")
         found = self.manifest(rows.sparkSession).folder.files_below(folder)
         parts = [(p, size, p.rsplit("/", 2)[-2]) for p, size, _ in found if p.endswith(".parquet")]

@@ -54,23 +54,24 @@ class RuledStream:
         self.rules.write(arrived, batch_id)
         self.records.write(fresh, batch_id)
         rules = keep(self.rules.view(spark), "rules-known")
-        again = self._touched(spark, rules, arrived, batch_id)
-        whole = fresh.where("at is not null") if again is None else fresh.where("at is not null").unionByName(again)
-        versions = rules.select("key", "at", F.struct("weight", F.col("at").alias("rule_at")).alias("rule"))
-        found = as_of(whole, versions, ["key"], "at", "rule").select("id", "key", "at", "rule.weight", "rule.rule_at")
+        dated = fresh.where("at is not null").withColumn("_fresh", F.lit(True))
+        earlier = self._earlier(spark, arrived, batch_id)
+        whole = dated if earlier is None else keep(dated.unionByName(earlier.withColumn("_fresh", F.lit(False))), "ruled-records")
+        # An earlier record is judged again if the version that holds at its time is one that just arrived.
+        new = arrived.select("key", "at", F.lit(True).alias("new"))
+        versions = rules.join(new, ["key", "at"], "left").select("key", "at", F.struct("weight", F.col("at").alias("rule_at"), "new").alias("rule"))
+        found = as_of(whole, versions, ["key"], "at", "rule").where("_fresh or rule.new").select("id", "key", "at", "rule.weight", "rule.rule_at")
         undated = fresh.where("at is null").select("id", "key", "at", F.lit(None).cast("double").alias("weight"), F.lit(None).cast("timestamp").alias("rule_at"))
         self.judged.write(found.unionByName(undated), batch_id)
 
-    def _touched(self, spark: SparkSession, rules: DataFrame, arrived: DataFrame, batch_id: int) -> DataFrame | None:
-        """Earlier records in the spans of the versions that just arrived; days before the first span are not read."""
+    def _earlier(self, spark: SparkSession, arrived: DataFrame, batch_id: int) -> DataFrame | None:
+        """Earlier records of keys that versions just arrived for; days before the first of these versions are not read."""
         first = arrived.agg(F.date_format(F.min("at"), "yyyyMMdd")).first()[0]
         if first is None or batch_id == 0:
             return None
-        earlier = self.records.since(spark, first, before=batch_id)
-        nexts = rules.groupBy("key").agg(F.array_sort(F.collect_list("at")).alias("versions"))  # a key's versions: a short list
-        spans = arrived.join(nexts, "key").select("key", F.col("at").alias("low"), F.array_min(F.filter("versions", lambda v: v > F.col("at"))).alias("high"))
-        within = (F.col("at") >= F.col("low")) & (F.col("high").isNull() | (F.col("at") < F.col("high")))
-        return earlier.join(small_or_plain(spans), "key").where(within).select(*RECORD.names)
+        keys = arrived.groupBy("key").agg(F.min("at").alias("first"))
+        earlier = self.records.since(spark, first, before=batch_id).join(small_or_plain(keys), "key")
+        return earlier.where(F.col("at") >= F.col("first")).select(*RECORD.names)
 
     def start(self, arriving: DataFrame, checkpoint: str, available_now: bool = False, every: str = "10 seconds") -> StreamingQuery:
         trigger = {"availableNow": True} if available_now else {"processingTime": every}
