@@ -110,3 +110,19 @@ def test_similar_vectors_need_few_rounds(spark, monkeypatch):
     hits = [len({j for _, j in near} & {j for _, j, _ in found[q]}) for q, near in brute(rows)]
     assert max(seen) <= 1 and sum(hits) >= 0.9 * 5 * len(hits)
     assert df.where(F.col("vec_id") % 50 == 0).count() == len(found)
+
+
+def test_probes_are_bounded_and_never_broadcast(spark):
+    """Far neighbours among many vectors: few substrings would need tens of thousands of probes a query."""
+    rng = np.random.default_rng(2)
+    far = rng.standard_normal((600, 64)).tolist()
+    _, (margin, _), splits = multi_index.learn(far, 5, 5_000_000)
+    assert splits >= 8
+    near = [(np.eye(64)[i % 20] + 0.01 * rng.standard_normal(64)).tolist() for i in range(600)]
+    assert multi_index.learn(near, 5, 5_000_000)[2] == 4
+    asked = spark.createDataFrame([(0, 64, 5, 11)], "query bigint, dim int, code bigint, most int")
+    coded = spark.createDataFrame([(i, 64, i) for i in range(50)], "node bigint, dim int, code bigint")
+    found = multi_index.retrieved(asked, coded, 8, 0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+    assert found.count() == sum((5 ^ i).bit_count() <= 11 for i in range(50))

@@ -26,6 +26,7 @@ WIDE = 3  # further words
 SAMPLE = 4096  # different vectors that the rotations, the margin and the number of substrings are learned from
 MISS = 0.05  # share of vectors at a query's last angle whose codes lie beyond the radius
 SPLITS = (16, 8, 4)  # numbers of substrings to choose from
+PROBES = 2048  # of a query in all rounds: as many as substrings of 8 bits have keys, so that 8 and more substrings always may be chosen
 BUCKET = 4096  # codes of one bucket part
 QUERIES = 16_384  # queries of one grid row, as expected
 SHARD = 131_072  # vectors of one grid column, as expected
@@ -102,14 +103,16 @@ def learn(sample, k: int, total: int):
             radii.append(cos[near].min())
     margin, wide = (max(1.3, float(np.quantile(np.concatenate(found), 1 - MISS))) if found else 2.0 for found in over)
     p = math.acos(float(np.median(radii))) / math.pi if radii else 0.5
-    radius = int(BITS * p + margin * math.sqrt(BITS * p * (1 - p)))
+    farthest = math.acos(float(np.clip(min(radii), -1, 1))) / math.pi if radii else 0.5
 
-    def cost(s):
-        b = BITS // s
+    def probes(s, p):
+        b, radius = BITS // s, int(BITS * p + margin * math.sqrt(BITS * p * (1 - p)))
         deep = min(b, math.ceil((radius + 1) / s) - 1)
-        return sum(s * math.comb(b, t) for t in range(deep + 1)) * (1 + total / 2.0**b)
+        return sum(s * math.comb(b, t) for t in range(deep + 1))
 
-    return turned, (margin, wide), min(SPLITS, key=cost)
+    # Rounds go on for the queries without near neighbours, and a round's probes are shuffled.
+    bounded = [s for s in SPLITS if probes(s, farthest) <= PROBES]
+    return turned, (margin, wide), min(bounded, key=lambda s: probes(s, p) * (1 + total / 2.0 ** (BITS // s)))
 
 
 def _radius(cosine: Column, margin: float, bits: int = BITS) -> Column:
@@ -198,7 +201,8 @@ def retrieved(asked: DataFrame, coded: DataFrame, splits: int, distance: int) ->
     probes = asked.select("query", "dim", "code", "most", *(["most_wide", *wide] if wide else []), F.inline(_substrings(F.col("code"), splits)))
     probes = probes.withColumn("flip", F.explode(F.expr(f"array({flips})"))).withColumn("key", F.col("key").bitwiseXOR(F.col("flip"))).drop("flip")
     probes = probes.join(crowded, at, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    found = probes.join(listed, [*at, "part"]).withColumn("apart", F.col("code").bitwiseXOR(F.col("their_code")))
+    # The planner takes the probes for as many as the queries, and would send all of them to the driver and to every task.
+    found = probes.hint("merge").join(listed, [*at, "part"]).withColumn("apart", F.col("code").bitwiseXOR(F.col("their_code")))
     first = F.lit(True)
     for i in range(splits):
         here = F.bit_count(F.shiftright("apart", i * width).bitwiseAND(F.lit((1 << width) - 1)))
