@@ -525,3 +525,15 @@ def test_templates_search_whole_strings(spark):
     assert [(made[i].words, made[i].names) for i in (2, 3, 4, 5)] == [("", ""), (n, n), (n, n), (n, n)]
     plan = d.templates(rows.select("i", d.surface_tokens(F.col("t")).alias("x")), F.col("x"), "i")._jdf.queryExecution().optimizedPlan().toString()
     assert "translate(" not in plan
+
+
+def test_first_weights_over_pairs_come_from_every_chunk(spark):
+    """Pairs that stand in one chunk of sixty alone: theirs is the only high count, and it has a weight of its own."""
+    for heavy in (7, 23, 41):
+        texts = [(i, "the cat sat on the mat " * 3 + (f"rare{i} word{i} " * (4000 if i == heavy else 2)), False, True) for i in range(60)]
+        chunks = mixing.chunked(spark.createDataFrame(texts, "doc_id bigint, text string, held_out boolean, learn boolean").selectExpr("doc_id", "cast(text as binary) text", "held_out", "learn").coalesce(1), 1)
+        counted = mixing.words_of(chunks).groupBy("word").agg(F.sum(F.shiftright("place", 32)).alias("n")).where("n > 0")
+        vocabulary = mixing.vocabulary_of(counted, counted.agg(F.sum("n")).first()[0])
+        weights = mixing.weights_behind(chunks, vocabulary, mixing.counts_behind(chunks, vocabulary, 17))
+        grade = 1 + int(np.log2(3998))
+        assert chunks.count() == 60 and tuple(weights[grade]) != (1.0, 0.0)
